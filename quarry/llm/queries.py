@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, oracles, sharding
+from . import fingerprints, language, mixing, oracles, quality, sharding
 from .storage import documents
 
 N_SHARDS = 24
@@ -16,12 +16,29 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), N_SHARDS)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judge(docs, model).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(documents(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.learn(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op7_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op3_quality, op6_fingerprints, op7_mixing, op8_language)}
 
 
 def oracle_sql() -> dict[str, str]:
