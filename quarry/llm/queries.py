@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, language, mixing, oracles, quality, sharding
+from . import fingerprints, language, mixing, oracles, packing, quality, sharding
 from .storage import documents
 
 N_SHARDS = 24
+PACKING_VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +26,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path(PACKING_VOCABULARY))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(documents(spark, sf_dir))
 
@@ -38,7 +44,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op3_quality, op6_fingerprints, op7_mixing, op8_language)}
+    return {f.__name__: f for f in (op1_sharding, op3_quality, op4_packing, op6_fingerprints, op7_mixing, op8_language)}
 
 
 def oracle_sql() -> dict[str, str]:
