@@ -87,13 +87,14 @@ def _thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
             .select("_s", "_next", (F.col("_upto") - F.col("_sum")).alias("_start"), "_sum")
         )
         # a source whose rest is never passed has no boundary; its bucket stays above all hashes
-        found = found.drop("_bucket", "_before", "_inside").join(
+        # one row per source, written so that the next level's joins are planned by its size
+        found = settle(found.drop("_bucket", "_before", "_inside").join(
             crossing, found["source"].eqNullSafe(F.col("_s")), "left"
         ).select(
             "source", "source_size", "target", "whole_copies", "_rest",
             F.coalesce("_next", F.lit(1 << (HASH_BITS - shift))).alias("_bucket"),
             F.coalesce("_start", F.lit(0)).alias("_before"), F.coalesce("_sum", F.lit(0)).alias("_inside"),
-        )
+        ), f"mix-level-{shift}")
     return found.select(
         F.col("source").alias("_s"), "source_size", "target", "whole_copies", F.col("_bucket").alias("threshold"),
         ((F.col("_before") + F.col("_inside") - F.col("_rest")) < (F.col("_rest") - F.col("_before"))).alias("passed"),
