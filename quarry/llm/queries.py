@@ -7,17 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, language, mixing, oracles, packing, quality, sharding
+from . import fingerprints, language, licenses, mixing, oracles, packing, quality, sharding, simhash, token_counts
 from .storage import documents
 
 N_SHARDS = 24
 PACKING_VOCABULARY = "byte_bpe_50k.json"
+COUNTING_VOCABULARY = "piece_bpe_32k.model"
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), N_SHARDS)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -30,6 +35,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path(PACKING_VOCABULARY))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(COUNTING_VOCABULARY))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(documents(spark, sf_dir))
 
@@ -43,8 +52,16 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op3_quality, op4_packing, op6_fingerprints, op7_mixing, op8_language)}
+    found = (
+        op1_sharding, op2_simhash, op3_quality, op4_packing, op5_token_counts, op6_fingerprints,
+        op7_mixing, op8_language, op10_licenses,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
