@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, language, licenses, mixing, oracles, packing, quality, sharding, simhash, token_counts
+from . import fingerprints, language, licenses, mixing, oracles, packing, quality, sharding, simhash, suffix_dedup, token_counts
 from .storage import documents
 
 N_SHARDS = 24
@@ -52,6 +52,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(documents(spark, sf_dir))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
@@ -59,7 +63,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_sharding, op2_simhash, op3_quality, op4_packing, op5_token_counts, op6_fingerprints,
-        op7_mixing, op8_language, op10_licenses,
+        op7_mixing, op8_language, op9_suffix_dedup, op10_licenses,
     )
     return {f.__name__: f for f in found}
 
