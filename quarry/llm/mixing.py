@@ -101,7 +101,7 @@ def _thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def mix(
+def plan(
     docs: DataFrame,
     weights: Sequence[int] = (3, 1, 2),
     share: float = 1.5,
@@ -110,7 +110,29 @@ def mix(
     key: str = "doc_id",
     text: str = "text",
     source: str = "source",
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, source, size, hash), and the limits of every source that ``copies`` needs."""
+    rows = settle(
+        docs.select(
+            F.col(key).alias("doc_id"),
+            F.col(source).alias("source"),
+            F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            key_hash(F.col(key)).alias("hash"),
+        ),
+        "mix-sizes",
+    )
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = settle(source_targets(sizes, weights, share, most), "mix-targets")
+    return rows, settle(_thresholds(rows, targets).withColumn("_most", F.lit(most)), "mix-limits")
+
+
+def _with_copies(rows: DataFrame, limits: DataFrame, source: str, place: Column) -> DataFrame:
+    extra = (place < F.col("threshold")) | ((place == F.col("threshold")) & F.col("passed"))
+    copies = F.least(F.col("_most"), F.col("whole_copies") + F.when(extra, 1).otherwise(0))
+    return rows.join(limits, rows[source].eqNullSafe(F.col("_s"))).withColumn("_copies", copies.cast("int"))
+
+
+def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2, **columns: str) -> DataFrame:
     """How often each row enters a mix of ``share`` times the corpus.
 
     Size is the number of words. Returns doc_id, source, size, source_size, target,
@@ -123,24 +145,25 @@ def mix(
     columns are not read. The per-source tables are not hinted for broadcast; the
     planner decides by their measured size, and a hot source is split by it.
     """
-    rows = settle(
-        docs.select(
-            F.col(key).alias("doc_id"),
-            F.col(source).alias("source"),
-            F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            key_hash(F.col(key)).alias("hash"),
-        ),
-        "mix-sizes",
-    )
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    limits = _thresholds(rows, settle(source_targets(sizes, weights, share, most), "mix-targets"))
-    extra = (F.col("hash") < F.col("threshold")) | ((F.col("hash") == F.col("threshold")) & F.col("passed"))
-    copies = F.least(F.lit(most), F.col("whole_copies") + F.when(extra & (F.col("whole_copies") < most), 1).otherwise(0))
-    return (
-        rows.join(limits, rows["source"].eqNullSafe(F.col("_s")))
-        .withColumn("copies", copies.cast("int"))
-        .select(
-            "doc_id", "source", "size", "source_size", "target", "copies",
-            (F.col("copies") * F.col("size")).cast("long").alias("taken"),
-        )
+    rows, limits = plan(docs, weights, share, most, **columns)
+    return _with_copies(rows, limits, "source", F.col("hash")).select(
+        "doc_id", "source", "size", "source_size", "target", F.col("_copies").alias("copies"),
+        (F.col("_copies") * F.col("size")).cast("long").alias("taken"),
     )
+
+
+def mixed(
+    docs: DataFrame,
+    weights: Sequence[int] = (3, 1, 2),
+    share: float = 1.5,
+    most: int = 2,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as many times as ``mix`` says, same columns."""
+    _, limits = plan(docs, weights, share, most, key=key, text=text, source=source)
+    counted = _with_copies(docs, limits, source, key_hash(docs[key]))
+    again = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_k")
+    return counted.where("_copies > 0").select(*(docs[c] for c in docs.columns), again).drop("_k")

@@ -40,27 +40,32 @@ def features(stats: np.ndarray) -> np.ndarray:
     )
 
 
-def base_rule(n_words: np.ndarray, n_repeat_words: np.ndarray) -> np.ndarray:
-    """True where a text fails outright: under 10 words, or over a fifth of them repeated."""
-    return (n_words < 10) | (100 * n_repeat_words > 20 * n_words)
-
-
-def with_stats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id and the statistics of the whole text; ``keep`` names columns to carry along."""
-    carried = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"), *keep)
-    out = carried.drop("_text").schema.simpleString()[len("struct<") : -1]
+def with_stats(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    keep: tuple[str, ...] = (),
+    model: boosting.FlatTrees | None = None,
+) -> DataFrame:
+    """doc_id, the columns named in ``keep``, the statistics of the whole text, and score.
+
+    score is the model's probability of good quality, 1 without a model.
+    """
+    carried = docs.select(F.col(key).alias("doc_id"), *keep, F.col(text).alias("_text"))
+    rest = [c for c in carried.columns if c != "_text"]
+    kinds = ", ".join(f"`{c}` {carried.schema[c].dataType.simpleString()}" for c in rest)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = np.array([text_stats(t) for t in batch.column("_text").to_pylist()], np.int64)
             table = table.reshape(-1, len(COUNTS) + len(SHAPE))
-            rest = [c for c in batch.schema.names if c != "_text"]
+            score = np.ones(len(table)) if model is None else model.probability(features(table))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in rest] + [pa.array(col) for col in table.T],
-                names=[*rest, *COUNTS, *SHAPE],
+                [batch.column(c) for c in rest] + [pa.array(col) for col in (*table.T, score)],
+                names=[*rest, *COUNTS, *SHAPE, "score"],
             )
 
-    return carried.mapInArrow(count, f"{out.replace(':', ' ')}, {STATS_SCHEMA}")
+    return carried.mapInArrow(count, f"{kinds}, {STATS_SCHEMA}, score double")
 
 
 def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, seed: int = 7) -> boosting.FlatTrees | None:
@@ -97,19 +102,7 @@ def judge(docs: DataFrame, model: boosting.FlatTrees | None, *, threshold: float
     are judged like any other, each row by its own text. Columns besides doc_id, text
     and ``keep`` are not read. An empty table gives an empty result.
     """
-    stats = with_stats(docs, keep=keep)
-    base = F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words")
-    if model is None:
-        scored = stats.withColumn("score", F.lit(1.0))
-    else:
-
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                table = np.stack([batch.column(c).to_numpy() for c in (*COUNTS, *SHAPE)], axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(model.probability(features(table)))], names=[*batch.schema.names, "score"]
-                )
-
-        schema = stats.schema.simpleString()[len("struct<") : -1].replace(":", " ")
-        scored = stats.mapInArrow(score, f"{schema}, score double")
-    return scored.withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    judged = with_stats(docs, keep=keep, model=model).withColumn(
+        "base_failed", F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words")
+    )
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))

@@ -213,9 +213,10 @@ def _runs(batches: Iterator[pa.RecordBatch], rows: int = 1 << 18) -> Iterator[tu
 def near_duplicates(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 3, budget: int = 2, bucket_rows: int = 20_000
 ) -> DataFrame:
-    """doc_id, simhash, fingerprint (16 hex digits) and component_id for every row.
+    """doc_id, simhash, fingerprint (16 hex digits), component_id and component for every row.
 
-    component_id is the smallest doc_id that links of ``budget`` or fewer bits reach.
+    component_id is the smallest doc_id that links of ``budget`` or fewer bits reach;
+    component is the component's smallest simhash.
     Null and empty texts, and texts without a word, have fingerprint 0 and link like
     any other. Repeated rows are rows of one component; null ids take part but never
     name a component unless all its ids are null. An empty table gives an empty
@@ -231,7 +232,36 @@ def near_duplicates(
     )
     rooted = settle(rooted, "simhash-roots")
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = settle(rooted.join(names, "root").select("simhash", "component_id"), "simhash-labels")
+    labels = settle(rooted.join(names, "root").select("simhash", "component_id", F.col("root").alias("component")), "simhash-labels")
     return hashed.join(labels, "simhash").select(
-        "doc_id", "simhash", F.lpad(F.lower(F.hex("simhash")), 16, "0").alias("fingerprint"), "component_id"
+        "doc_id", "simhash", F.lpad(F.lower(F.hex("simhash")), 16, "0").alias("fingerprint"), "component_id", "component"
     )
+
+
+def one_per_group(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, that of the smallest id.
+
+    Same columns. Of repeated rows one stays, of a group without an id one of its
+    texts. Rows that share an id but belong to different groups all stay.
+    """
+    groups = near_duplicates(docs, key=key, text=text, **options).select("doc_id", "simhash", "component_id", "component")
+    groups = settle(groups, "groups")
+    rows = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    chosen = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(
+        F.min("simhash").alias("simhash"), F.min("doc_id").alias("_id")
+    )
+    chosen = chosen.join(rows, F.col("_id").eqNullSafe(F.col("doc_id"))).select("_id", "simhash", "n")
+    chosen = settle(chosen, "chosen")
+    kept = docs.join(chosen.where("n = 1 AND _id IS NOT NULL").select("_id"), docs[key] == F.col("_id"), "left_semi")
+    unclear = chosen.where("n > 1 OR _id IS NULL").select("_id", F.col("simhash").alias("_h"))
+    if unclear.isEmpty():
+        return kept
+    # ids of more than one row: tell the rows apart by fingerprint, and keep one of each that is wanted
+    again = docs.join(unclear.select("_id").distinct(), docs[key].eqNullSafe(F.col("_id")), "left_semi")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    hashed = with_simhash(again.select(row.alias("row"), F.col(text).alias("_t")), key="row", text="_t", width=options.get("width", 3))
+    wanted = hashed.join(
+        unclear, (F.col("simhash") == F.col("_h")) & F.col(f"doc_id.`{key}`").eqNullSafe(F.col("_id")), "left_semi"
+    )
+    one = wanted.groupBy(F.col(f"doc_id.`{key}`").alias("_id"), "simhash").agg(F.first("doc_id").alias("row"))
+    return kept.unionByName(one.select("row.*"))
