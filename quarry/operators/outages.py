@@ -27,10 +27,10 @@ def alarms_to_events(alarms: DataFrame) -> DataFrame:
     ).select("device_id", "alarm_id", "alarm_type", "scope", "e.state", "e.us")
 
 
-def payload_field(payload: Column, names: Sequence[str]) -> Column:
-    """The first non-blank of the named fields, in the payload or its ``data``."""
-    picks = [F.get_json_object(payload, f"$.{p}{n}") for n in names for p in ("", "data.")]
-    return F.coalesce(*(F.nullif(F.trim(p), F.lit("")) for p in picks))
+def payload_field(fields: Column, data: Column, names: Sequence[str]) -> Column:
+    """The first non-blank of the named fields, in a payload's fields or in those of its ``data``."""
+    picks = [F.try_element_at(m, F.lit(n)) for n in names for m in (fields, data)]
+    return F.get(F.filter(F.array(*picks), lambda v: F.trim(v) != ""), F.lit(0))
 
 
 def classify_events(events: DataFrame) -> DataFrame:
@@ -40,10 +40,12 @@ def classify_events(events: DataFrame) -> DataFrame:
     state (else null).
     """
     kind = F.upper("event_type")
-    parsed = events.withColumns(
+    json = "map<string, string>"
+    parsed = events.withColumn("_fields", F.from_json("payload", json)).withColumn("_data", F.from_json(F.col("_fields.data"), json))
+    parsed = parsed.withColumns(
         {
-            "_method": F.lower(payload_field(F.col("payload"), ["method", "event", "action", "type", "status", "state"])),
-            "_blob": F.coalesce(payload_field(F.col("payload"), ["alarmType", "type", "name"]), F.col("payload")),
+            "_method": F.lower(F.trim(payload_field(F.col("_fields"), F.col("_data"), ["method", "event", "action", "type", "status", "state"]))),
+            "_blob": F.coalesce(F.trim(payload_field(F.col("_fields"), F.col("_data"), ["alarmType", "type", "name"])), F.col("payload")),
         }
     )
     method, blob = F.coalesce("_method", F.lit("")), F.col("_blob")
@@ -59,7 +61,7 @@ def classify_events(events: DataFrame) -> DataFrame:
         .when(alarm & blob.rlike(V.ALARM_OFFLINE_TEXT) & ~blob.rlike(V.ALARM_ONLINE_TEXT), "alarm_offline")
         .when(alarm & blob.rlike(V.ALARM_ONLINE_TEXT), "alarm_cleared")
         .when(kind == "ERROR", "error_event")
-        .when(F.get_json_object("payload", "$.data.currentAttr").isNotNull(), "current_attr_snapshot")
+        .when(F.col("_data.currentAttr").isNotNull(), "current_attr_snapshot")
     )
     strength = F.create_map(*(F.lit(x) for pair in V.EVIDENCE_STRENGTH.items() for x in pair))
     found = parsed.select(*events.columns, evidence.alias("evidence_type")).where("evidence_type IS NOT NULL")
