@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.operators import trailing
 from quarry.sources.tables import shape
 
-from . import features, fleet, labels, registry  # noqa: F401
+from . import exchange, features, fleet, labels, registry, streams  # noqa: F401
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
