@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bit_filter import maybe_in
 from .storage import settle
 
 Digest = Callable[[bytes], str]
@@ -63,9 +64,10 @@ def verified_groups(
     """
     shared = digests.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
     among = digests.join(shared, "digest", "left_semi").select(F.col("doc_id").alias("_id")).distinct()
-    texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(
-        among, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"
-    )
+    among = settle(among, "fingerprint-shared")
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    # the filter keeps most texts out of the shuffle that the join may need
+    texts = maybe_in(rows, "doc_id", among).join(among, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     groups = with_digest(texts, digest=digest).groupBy("digest", "canonical").agg(
         F.min("doc_id").alias("group_id"), F.count(F.lit(1)).alias("rows")
     )
