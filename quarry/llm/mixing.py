@@ -96,8 +96,9 @@ def _thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
             F.coalesce("_start", F.lit(0)).alias("_before"), F.coalesce("_sum", F.lit(0)).alias("_inside"),
         ), f"mix-level-{shift}")
     return found.select(
-        F.col("source").alias("_s"), "source_size", "target", "whole_copies", F.col("_bucket").alias("threshold"),
-        ((F.col("_before") + F.col("_inside") - F.col("_rest")) < (F.col("_rest") - F.col("_before"))).alias("passed"),
+        F.col("source").alias("__mix_source"), F.col("source_size").alias("__mix_source_size"), F.col("target").alias("__mix_target"),
+        F.col("whole_copies").alias("__mix_whole"), F.col("_bucket").alias("__mix_threshold"),
+        ((F.col("_before") + F.col("_inside") - F.col("_rest")) < (F.col("_rest") - F.col("_before"))).alias("__mix_passed"),
     )
 
 
@@ -123,13 +124,15 @@ def plan(
     )
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = settle(source_targets(sizes, weights, share, most), "mix-targets")
-    return rows, settle(_thresholds(rows, targets).withColumn("_most", F.lit(most)), "mix-limits")
+    return rows, settle(_thresholds(rows, targets).withColumn("__mix_most", F.lit(most)), "mix-limits")
 
 
 def _with_copies(rows: DataFrame, limits: DataFrame, source: str, place: Column) -> DataFrame:
-    extra = (place < F.col("threshold")) | ((place == F.col("threshold")) & F.col("passed"))
-    copies = F.least(F.col("_most"), F.col("whole_copies") + F.when(extra, 1).otherwise(0))
-    return rows.join(limits, rows[source].eqNullSafe(F.col("_s"))).withColumn("_copies", copies.cast("int"))
+    """Rows with their source's limits and __mix_copies; the prefix keeps clear of the rows' own columns."""
+    threshold = F.col("__mix_threshold")
+    extra = (place < threshold) | ((place == threshold) & F.col("__mix_passed"))
+    copies = F.least(F.col("__mix_most"), F.col("__mix_whole") + F.when(extra, 1).otherwise(0))
+    return rows.join(limits, rows[source].eqNullSafe(F.col("__mix_source"))).withColumn("__mix_copies", copies.cast("int"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2, **columns: str) -> DataFrame:
@@ -147,8 +150,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
     """
     rows, limits = plan(docs, weights, share, most, **columns)
     return _with_copies(rows, limits, "source", F.col("hash")).select(
-        "doc_id", "source", "size", "source_size", "target", F.col("_copies").alias("copies"),
-        (F.col("_copies") * F.col("size")).cast("long").alias("taken"),
+        "doc_id", "source", "size", F.col("__mix_source_size").alias("source_size"), F.col("__mix_target").alias("target"),
+        F.col("__mix_copies").alias("copies"), (F.col("__mix_copies") * F.col("size")).cast("long").alias("taken"),
     )
 
 
@@ -165,5 +168,5 @@ def mixed(
     """The mix itself: each row of ``docs`` as many times as ``mix`` says, same columns."""
     _, limits = plan(docs, weights, share, most, key=key, text=text, source=source)
     counted = _with_copies(docs, limits, source, key_hash(docs[key]))
-    again = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_k")
-    return counted.where("_copies > 0").select(*(docs[c] for c in docs.columns), again).drop("_k")
+    again = F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))).alias("__mix_turn")
+    return counted.where("__mix_copies > 0").select(*(docs[c] for c in docs.columns), again).drop("__mix_turn")

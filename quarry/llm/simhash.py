@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bit_filter import maybe_in, surely_not_in
 from .components import components
 from .storage import settle
 
@@ -248,20 +249,29 @@ def one_per_group(docs: DataFrame, *, key: str = "doc_id", text: str = "text", *
     groups = settle(groups, "groups")
     rows = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     chosen = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(
-        F.min("simhash").alias("simhash"), F.min("doc_id").alias("_id")
+        F.min("simhash").alias("simhash"), F.min("doc_id").alias("__group_id")
     )
-    chosen = chosen.join(rows, F.col("_id").eqNullSafe(F.col("doc_id"))).select("_id", "simhash", "n")
+    chosen = chosen.join(rows, F.col("__group_id").eqNullSafe(F.col("doc_id"))).select("__group_id", "simhash", "n")
     chosen = settle(chosen, "chosen")
-    kept = docs.join(chosen.where("n = 1 AND _id IS NOT NULL").select("_id"), docs[key] == F.col("_id"), "left_semi")
-    unclear = chosen.where("n > 1 OR _id IS NULL").select("_id", F.col("simhash").alias("_h"))
+    # most rows are neither to go nor in doubt: the bit filter lets them stay where they are
+    go = groups.select("doc_id").distinct().join(
+        chosen.where("n = 1 AND __group_id IS NOT NULL").select("__group_id"), F.col("doc_id") == F.col("__group_id"), "left_anti"
+    )
+    go = settle(go, "doubtful")
+    kept = surely_not_in(docs, key, go)
+    rest = maybe_in(docs, key, go)
+    kept = kept.unionByName(
+        rest.join(chosen.where("n = 1 AND __group_id IS NOT NULL").select("__group_id"), rest[key] == F.col("__group_id"), "left_semi")
+    )
+    unclear = chosen.where("n > 1 OR __group_id IS NULL").select("__group_id", F.col("simhash").alias("__group_hash"))
     if unclear.isEmpty():
         return kept
     # ids of more than one row: tell the rows apart by fingerprint, and keep one of each that is wanted
-    again = docs.join(unclear.select("_id").distinct(), docs[key].eqNullSafe(F.col("_id")), "left_semi")
+    again = rest.join(unclear.select("__group_id").distinct(), rest[key].eqNullSafe(F.col("__group_id")), "left_semi")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     hashed = with_simhash(again.select(row.alias("row"), F.col(text).alias("_t")), key="row", text="_t", width=options.get("width", 3))
     wanted = hashed.join(
-        unclear, (F.col("simhash") == F.col("_h")) & F.col(f"doc_id.`{key}`").eqNullSafe(F.col("_id")), "left_semi"
+        unclear, (F.col("simhash") == F.col("__group_hash")) & F.col(f"doc_id.`{key}`").eqNullSafe(F.col("__group_id")), "left_semi"
     )
-    one = wanted.groupBy(F.col(f"doc_id.`{key}`").alias("_id"), "simhash").agg(F.first("doc_id").alias("row"))
+    one = wanted.groupBy(F.col(f"doc_id.`{key}`").alias("__group_id"), "simhash").agg(F.first("doc_id").alias("row"))
     return kept.unionByName(one.select("row.*"))

@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bit_filter import maybe_in, surely_not_in
 from .induced_sort import repeated_starts
 from .storage import settle
 
@@ -190,12 +191,12 @@ def find_repeats(
     rows = settle(_described(plain, length, gram, ["doc_id"]), "described")
     each = rows.select("text_id", F.explode("segments").alias("s")).select("text_id", "s.*")
     meeting = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("total")).where("total > 1").select("anchor")
-    # copies of a text are merged here; from now on a row is a segment of one text
+    # copies of a text are merged here; from now on a row is a segment of one text. Its text and place
+    # are the grouping key, not its anchor: so the join may split the rows of a frequent anchor
+    same = [F.min(c).alias(c) for c in ("anchor", "name", "starts")]
     candidates = settle(
-        each.join(meeting, "anchor").groupBy("text_id", "anchor", "name", "first", "starts", "ahead")
-        .agg(F.count(F.lit(1)).alias("copies")),
-        "candidates",
-    )
+        each.join(meeting, "anchor").groupBy("text_id", "first").agg(*same, F.count(F.lit(1)).alias("copies")), "candidates"
+    )
     named = settle(
         candidates.groupBy("anchor", "name").agg(
             F.sum("copies").alias("n"), F.min(F.struct("text_id", "first", "starts")).alias("one")
@@ -207,7 +208,8 @@ def find_repeats(
 
     # only texts that may lose something are shuffled on; one row each
     ids = candidates.select("text_id").distinct()
-    texts = plain.select(_identity(F.col("text")).alias("text_id"), F.col("text")).join(ids, "text_id", "left_semi")
+    named_texts = plain.select(_identity(F.col("text")).alias("text_id"), F.col("text"))
+    texts = maybe_in(named_texts, "text_id", ids).join(ids, "text_id", "left_semi")
     texts = settle(texts.groupBy("text_id").agg(F.first("text").alias("text")), "texts")
 
     covered = F.substring(_bytes(F.col("text")), F.col("first") + 1, F.col("starts") + length - 1)
@@ -231,6 +233,7 @@ def find_repeats(
         .groupBy("text_id")
         .agg(F.collect_set("s").alias("ranges"))
     )
+    spans = settle(spans, "spans")
     return rows.drop("segments"), texts.join(spans, "text_id")
 
 
@@ -277,12 +280,17 @@ def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             for content, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist()):
                 data = content.encode("utf-8")
                 kept.append(_without(data, whole_characters(data, merged(ranges))).decode("utf-8"))
-            yield pa.RecordBatch.from_arrays([batch.column("text_id"), pa.array(kept, pa.string())], names=["_id", "_kept"])
-
-    changed = repeats.mapInArrow(cut, "_id binary, _kept string")
-    joined = docs.withColumn("_text_id", _identity(F.col(text))).join(changed, F.col("_text_id") == F.col("_id"), "left")
-    new = F.when(F.col(text).isNotNull(), F.coalesce("_kept", F.col(text)))
-    return joined.select(*(new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns))
+            yield pa.RecordBatch.from_arrays([batch.column("text_id"), pa.array(kept, pa.string())], names=["__cut_id", "__cut_kept"])
+
+    changed = repeats.mapInArrow(cut, "__cut_id binary, __cut_kept string")
+    changed = settle(changed, "cut-texts")
+    named = docs.withColumn("__cut_text_id", _identity(F.col(text)))
+    ids = changed.select("__cut_id")
+    # texts that lose nothing are most; the bit filter lets them stay where they are
+    same = surely_not_in(named, "__cut_text_id", ids).select(docs.columns)
+    rest = maybe_in(named, "__cut_text_id", ids).join(changed, F.col("__cut_text_id") == F.col("__cut_id"), "left")
+    new = F.when(F.col(text).isNotNull(), F.coalesce("__cut_kept", F.col(text)))
+    return same.unionByName(rest.select(*(new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns)))
 
 
 def removal_report(docs: DataFrame, **options: object) -> DataFrame:
