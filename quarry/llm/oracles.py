@@ -62,3 +62,20 @@ SELECT doc_id, size, source_size, target, size * least(2, whole + CASE
     WHEN upto - own <= rest AND upto - rest < rest - (upto - own) THEN 1 ELSE 0 END)::BIGINT AS taken
 FROM summed
 """
+
+#: Every 400-byte string of every text, counted; runs of those that repeat; the rest put together again.
+SUFFIX_DEDUP = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT *, length(h) // 2 AS n FROM d),
+w AS (SELECT rid, unnest(range(n - 399)) AS i, h FROM n WHERE n >= 400),
+r AS (SELECT rid, i, count(*) OVER (PARTITION BY m) AS c FROM (SELECT rid, i, md5(substr(h, 2 * i + 1, 800)) AS m FROM w)),
+p AS (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before FROM r WHERE c > 1),
+g AS (SELECT rid, i, sum(CASE WHEN i <= before + 400 THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY i) AS k FROM p),
+s AS (SELECT rid, k, min(i) AS a, max(i) + 400 AS b FROM g GROUP BY ALL),
+removed AS (SELECT rid, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM s GROUP BY 1),
+ends AS (SELECT rid, b AS from_, a AS upto FROM s UNION ALL SELECT rid, 0, -1 FROM n),
+gaps AS (SELECT e.rid, from_, coalesce(lead(upto) OVER (PARTITION BY e.rid ORDER BY upto), n) AS to_, h FROM ends e JOIN n USING (rid)),
+kept AS (SELECT rid, sha256(unhex(string_agg(substr(h, 2 * from_ + 1, 2 * (to_ - from_)), '' ORDER BY from_))) AS kept_sha256 FROM gaps GROUP BY 1)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, kept_sha256
+FROM n JOIN kept USING (rid) LEFT JOIN removed USING (rid)
+"""

@@ -69,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": oracles.SHARDING, "op7_mixing": oracles.MIXING}
+    return {"op1_sharding": oracles.SHARDING, "op7_mixing": oracles.MIXING, "op9_suffix_dedup": oracles.SUFFIX_DEDUP}
