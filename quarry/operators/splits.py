@@ -29,15 +29,27 @@ def group_splits(samples: DataFrame, group: str, *, targets: Sequence[float] = (
             "n": F.count(F.lit(1)).over(Window.partitionBy()),
         }
     )
-    first = upto.select(F.col("k").alias("c1"), F.col("upto").alias("u1"), "total", "n")
-    second = upto.select(F.col("k").alias("c2"), F.col("upto").alias("u2"))
-    a, b, c = (F.lit(x) for x in targets)
-    pairs = first.join(second, (F.col("c1") < F.col("c2")) & (F.col("c2") < F.col("n"))).select(
-        "c1", "c2",
-        (F.abs(F.col("u1") - a * F.col("total")) + F.abs(F.col("u2") - F.col("u1") - b * F.col("total"))
-         + F.abs(F.col("total") - F.col("u2") - c * F.col("total"))).alias("off"),
+    a, b, c = targets
+    u1, u2, total = F.col("u1"), F.col("u2"), F.col("total")
+    off = F.abs(u1 - F.lit(a) * total) + F.abs(u2 - u1 - F.lit(b) * total) + F.abs(total - u2 - F.lit(c) * total)
+    # for one first cut the deviation is convex in u2 and least between these two values, so the best second
+    # cut is the first at or after the lesser one, the last before it, or the next group
+    lesser = F.least(F.col("upto") + F.lit(b) * total, F.lit(1 - c) * total)
+    inner = upto.where("k < n")
+    cuts = inner.select(F.col("k").alias("c"), F.col("upto").cast("double").alias("at"), F.lit(1).alias("point"), F.lit(None).cast("struct<c1: int, u1: bigint>").alias("one"), "upto", "total")
+    wanted = inner.select(F.lit(None).cast("int").alias("c"), lesser.alias("at"), F.lit(0).alias("point"), F.struct(F.col("k").alias("c1"), F.col("upto").alias("u1")).alias("one"), F.lit(None).cast("long").alias("upto"), "total")
+    along = Window.orderBy("at", "point", "c")
+    cut = F.when(F.col("point") == 1, F.struct(F.col("c").alias("c2"), F.col("upto").alias("u2")))
+    near = cuts.unionByName(wanted).select(
+        "one", "total", F.first(cut, ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("x"),
+        F.last(cut, ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("y"),
+    ).where("one IS NOT NULL").select("one.*", "total", F.explode(F.array("x", "y")).alias("s"))
+    following = inner.select(
+        F.col("k").alias("c1"), F.col("upto").alias("u1"), "total",
+        F.struct(F.lead("k").over(order).alias("c2"), F.lead("upto").over(order).alias("u2")).alias("s"),
     )
-    two = first.where("n < 3 AND (c1 < n OR n = 1)").select("c1", F.col("n").alias("c2"), F.abs(F.col("u1") - a * F.col("total")).alias("off"))
+    pairs = near.unionByName(following).select("c1", "u1", "total", "s.*").where("c2 > c1").select("c1", "c2", off.alias("off"))
+    two = upto.where("n < 3 AND (k < n OR n = 1)").select(F.col("k").alias("c1"), F.col("n").cast("int").alias("c2"), F.abs(F.col("upto") - F.lit(a) * total).alias("off"))
     best = pairs.unionByName(two).orderBy(F.round("off", 6), "c1", "c2").limit(1)
     split = F.when(F.col("k") <= F.col("c1"), SPLITS[0]).when(F.col("k") <= F.col("c2"), SPLITS[1]).otherwise(SPLITS[2])
     return upto.join(F.broadcast(best)).select(group, "median_us", "rows", split.alias("split"))  # best: one row

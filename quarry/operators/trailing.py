@@ -37,14 +37,16 @@ def _among(anchors: DataFrame, readings: DataFrame, by: Sequence[str], values: S
 
 def trailing_stats(
     anchors: DataFrame, readings: DataFrame, hours: Sequence[int], *, by: Sequence[str] = ("device_id", "key"),
-    closed: bool = False, min_n: int = 6, cadence_s: int = 300,
+    closed: bool = False, min_n: int = 6, cadence_s: int = 300, with_last: bool = False,
 ) -> DataFrame:
     """n, mean, min, max, std, slope (per hour) and missing_frac of value_num before each anchor.
 
     The window is (T - w, T], or [T - w, T] if ``closed``. std and slope need
     max(2, min_n) values; closed windows give std 0 for a single value instead.
+    ``with_last`` adds source_us and value_num of the last reading at or before T, in
+    the same pass.
     """
-    rows = _among(anchors, readings, by, ["value_num"])
+    rows = _among(anchors, readings, by, ["value_num", "arrival_seq"] if with_last else ["value_num"])
     value, x = F.col("value_num"), F.when(F.col("value_num").isNotNull(), F.col("us") / float(HOUR_US))
     out = []
     for h in hours:
@@ -61,7 +63,15 @@ def trailing_stats(
             out.append(F.when(enough & (F.var_pop(x).over(w) > 0), F.regr_slope(value, x).over(w)).alias(f"slope_{h}h"))
             expected = max(1.0, h * 3600 / cadence_s)
             out.append(F.greatest(F.lit(0.0), F.lit(1.0) - n / F.lit(expected)).alias(f"missing_frac_{h}h"))
-    return rows.select(*by, "us", "_anchor", *out).where("_anchor = 1").drop("_anchor").withColumnRenamed("us", "anchor_us")
+    if with_last:
+        # the greatest (time, arrival) so far is the last reading; its frame shares order and shuffle with the others
+        so_far = Window.partitionBy(*by).orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
+        reading = F.struct("us", "arrival_seq", "value_num")
+        out.append(F.max(F.when(F.col("_anchor") == 0, reading)).over(so_far).alias("_last"))
+    found = rows.select(*by, "us", "_anchor", *out).where("_anchor = 1").drop("_anchor").withColumnRenamed("us", "anchor_us")
+    if with_last:
+        found = found.select(*(c for c in found.columns if c != "_last"), F.col("_last.us").alias("source_us"), F.col("_last.value_num").alias("value_num"))
+    return found
 
 
 def asof_backward(
@@ -179,7 +189,9 @@ def latest_values(rows: DataFrame, by: str, order: str, columns: Sequence[str])
     return rows.groupBy(by).agg(*(last(c).alias(c) for c in columns), F.max(order).alias(order))
 
 
-def pivot_features(long: DataFrame, keys: Sequence[str], values: Sequence[str], *, by: Sequence[str] = ("device_id", "anchor_us")) -> DataFrame:
-    """One row per anchor with columns key__value, for the keys named, in their order."""
+def pivot_features(
+    long: DataFrame, keys: Sequence[str], values: Sequence[str], *, by: Sequence[str] = ("device_id", "anchor_us"), extra: Sequence[Column] = ()
+) -> DataFrame:
+    """One row per anchor with columns key__value, for the keys named, in their order, and ``extra`` aggregates."""
     aggs: list[Column] = [F.max(F.when(F.col("key") == k, F.col(v))).alias(f"{k}__{v}") for k in keys for v in values]
-    return long.groupBy(*by).agg(*aggs)
+    return long.groupBy(*by).agg(*aggs, *extra)

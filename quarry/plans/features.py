@@ -260,13 +260,11 @@ _GLOBAL = f"""WITH {_ANCHORS}, da AS (SELECT DISTINCT device_id, anchor_us FROM
 
 def device_features(readings: DataFrame, keys: list[str]) -> DataFrame:
     """Wide features per device and anchor, sources checked against anchors: the flagship plan."""
-    anchors = anchors_of(readings)
-    stats = trailing.trailing_stats(anchors, readings, [24])
-    last = trailing.capped_last(trailing.asof_backward(anchors, readings, ["value_num"]))
-    joined = stats.join(last.select("device_id", "key", "anchor_us", "source_us", "last", "last_age_h", "stale"), ["device_id", "key", "anchor_us"])
-    wide = trailing.pivot_features(joined, keys, ["n_24h", "mean_24h", "std_24h", "last", "last_age_h", "stale"])
-    sources = joined.groupBy("device_id", "anchor_us").agg(F.max("source_us").alias("max_source_us"), F.sum("n_24h").alias("n_rows_24h"))
-    return wide.join(sources, ["device_id", "anchor_us"])
+    stats = trailing.trailing_stats(anchors_of(readings), readings, [24], with_last=True)
+    extra = [F.max("source_us").alias("max_source_us"), F.sum("n_24h").alias("n_rows_24h")]
+    return trailing.pivot_features(
+        trailing.capped_last(stats), keys, ["n_24h", "mean_24h", "std_24h", "last", "last_age_h", "stale"], extra=extra
+    )
 
 
 @query(f"""WITH {_ANCHORS}, found AS (SELECT *, (anchor_us - source_us) / {float(HOUR_US)} AS age FROM ({_ASOF})),

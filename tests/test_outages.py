@@ -201,3 +201,20 @@ def test_safe_cells_and_typed_json(spark):
     assert [tuple(r) for r in outputs.safe_rows(df).collect()] == [("'=1", "2"), ("ok", "'-3")]
     typed = spark.createDataFrame([(x,) for x in ("n/a", "5.0", "0.12345", "TRUE", 'say "x"')], "t string").select(outputs.json_value(F.col("t")).alias("j"))
     assert [r.j for r in typed.collect()] == [None, "5", "0.1235", "true", '"say \\"x\\""']
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_cuts_equal_a_full_search(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    sizes = [rng.choice([1, 1, 2, 5, 40]) for _ in range(rng.randint(3, 14))]
+    df = spark.createDataFrame([(f"g{k:02d}", k) for k, n in enumerate(sizes) for _ in range(n)], "grp string, anchor_us long")
+    total, best = sum(sizes), None
+    for one in range(1, len(sizes)):
+        for two in range(one + 1, len(sizes)):
+            parts = (sum(sizes[:one]), sum(sizes[one:two]), sum(sizes[two:]))
+            off = round(sum(abs(p - t * total) for p, t in zip(parts, (0.7, 0.15, 0.15))), 6)
+            best = min(best or (off, one, two), (off, one, two))
+    found = {r.grp: r.split for r in splits.group_splits(df, "grp").collect()}
+    assert [found[f"g{k:02d}"] for k in range(len(sizes))] == [splits.SPLITS[(k >= best[1]) + (k >= best[2])] for k in range(len(sizes))]
