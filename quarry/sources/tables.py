@@ -50,7 +50,7 @@ SHAPES = {
     "devices": """
         SELECT CAST(c_custkey AS STRING) AS device_id,
           CASE WHEN c_custkey % 17 = 0 THEN 'test-' || c_name WHEN c_custkey % 23 = 0 THEN 'demo ' || c_name ELSE c_name END AS name,
-          CASE WHEN c_custkey % 29 = 0 THEN 'simulator' WHEN c_custkey % 34 = 0 THEN 'HESTIA' ELSE 'gateway' END AS type,
+          CASE WHEN c_custkey % 29 = 0 THEN 'simulator' WHEN c_custkey % 34 = 0 THEN 'recorder' ELSE 'gateway' END AS type,
           CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE CAST(c_nationkey AS STRING) END AS customer_id,
           r_name AS bank, n_name AS zone, CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE c_mktsegment END AS branch,
           c_acctbal AS balance, c_custkey % 13 AS key_count

@@ -117,7 +117,7 @@ def test_default_deny_and_output_guard(spark):
 
 def test_device_policy(spark):
     rows = [
-        ("a", "TEST-rig", "HESTIA", "c", 10, True), ("b", "probe", "simulator", "c", 10, False), ("c", "demo-x", "x", "c", 0, False),
+        ("a", "TEST-rig", "recorder", "c", 10, True), ("b", "probe", "simulator", "c", 10, False), ("c", "demo-x", "x", "c", 0, False),
         ("d", "plain", "gw", None, 3, False), ("e", "plain", "gw", "c", 3, True), ("ok", "demo", "demo", None, 0, True), ("no", "plain", "gw", "c", 9, False),
     ]
     d = spark.createDataFrame([r[:5] for r in rows], "device_id string, name string, type string, customer_id string, key_count int")
