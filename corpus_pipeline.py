@@ -1,4 +1,9 @@
-"""A corpus pipeline in five stages, each an operator at work on what the one before kept."""
+"""A corpus pipeline in five stages, each an operator at work on what the one before kept.
+
+All stages but the last return the columns of their input, also columns that the
+operators do not know. Nulls may stand in any column; a stage's docstring says what
+becomes of them. An empty table passes through all stages and gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -16,7 +21,11 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rule and the boosted trees keep."""
+    """Documents that the base rule and the boosted trees keep.
+
+    Null, empty and very short texts have under ten words and go. Without usable labels
+    the base rule alone decides. Repeated rows are judged alike; a null id is no reason to go.
+    """
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     columns = docs.columns
     carried = docs.withColumn("_row", F.struct(*columns))
@@ -25,23 +34,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group, that of the smallest doc_id."""
+    """One document of each SimHash group, that of the smallest doc_id.
+
+    Of repeated rows one stays. Texts without a word, null ones too, are one group; rows
+    without an id belong to the groups of their texts and stay only where no id is there.
+    """
     return simhash.one_per_group(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their repeated 400-byte strings; n_chars follows the text."""
+    """Texts without their repeated 400-byte strings; n_chars follows the text.
+
+    Rows all stay: a text of which everything is repeated becomes empty, a null text stays null.
+    """
     cut = suffix_dedup.without_repeats(docs)
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as its source's target asks for: not at all, once or twice."""
+    """Every document as often as its source's target asks for: not at all, once or twice.
+
+    Null sources are one source, the last. Rows of one id, or without one, share a decision.
+    """
     return mixing.mixed(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their places in sequences of 2048 tokens."""
+    """Pieces of all documents with their places in sequences of 2048 tokens.
+
+    A null or empty text is a piece of the end id alone. Rows are packed each for itself,
+    so a document that the mix repeats has its pieces twice.
+    """
     return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY))
 
 
