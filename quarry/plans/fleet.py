@@ -164,12 +164,12 @@ def top_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.stratified(rows, ["bank", "zone"], [F.col("score").desc(), F.col("device_id")], 100)
 
 
-@query("""SELECT bank, CAST(alarm_id % 30 AS BIGINT) AS day, count(DISTINCT a.device_id) AS n_devices, round(avg(weight), 4) AS mean_weight, count_if(severity = '1-URGENT') AS n_urgent
+@query("""SELECT bank, CAST(alarm_id % 30 AS BIGINT) AS day, count(DISTINCT a.device_id) AS n_devices, CAST(sum(CAST(round(weight * 100) AS BIGINT)) AS BIGINT) AS weight_cents, count_if(severity = '1-URGENT') AS n_urgent
   FROM alarms a JOIN devices d USING (device_id) GROUP BY ALL""")
 def agg_bank_date_heat(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = shape(spark, sf_dir, "alarms").join(shape(spark, sf_dir, "devices").select("device_id", "bank"), "device_id")
     return joined.groupBy("bank", (F.col("alarm_id") % 30).cast("long").alias("day")).agg(
-        F.countDistinct("device_id").alias("n_devices"), F.round(F.avg("weight"), 4).alias("mean_weight"),
+        F.countDistinct("device_id").alias("n_devices"), F.sum(F.round(F.col("weight") * 100).cast("long")).alias("weight_cents"),
         F.count_if(F.col("severity") == "1-URGENT").alias("n_urgent"),
     )
 
