@@ -81,21 +81,27 @@ def purge(samples: DataFrame, hours: float, *, time: str = "anchor_us", both_sid
     return marked.withColumn("split", F.when(F.coalesce(near, F.lit(False)), "purged").otherwise(F.col("split"))).drop("_b1", "_b2")
 
 
-def time_splits(samples: DataFrame, *, cuts: Sequence[float] = (0.7, 0.85), by: Sequence[str]) -> DataFrame:
-    """Splits by share of rows in order of ``by`` (unique), cut at half-even rounded counts.
+def time_splits(samples: DataFrame, *, cuts: Sequence[float] = (0.7, 0.85), by: Sequence[str], slices: int = 256) -> DataFrame:
+    """Splits by share of rows in order of ``by`` (unique; the first a number), cut at half-even rounded counts.
 
-    Rows are ranked inside ranges of the order and moved up by the counts before, so
-    no task sees the whole table.
+    Rows are ranked inside slices of the first column, cut at its approximate
+    quantiles, and moved up by the counts of the slices before, so no task sees the
+    whole table. A row's slice depends on nothing but its value.
     """
-    n = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = samples.repartitionByRange(n, *by).withColumn("_part", F.spark_partition_id())
-    numbered = ranged.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*by)))
-    counts = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    shares = [k / slices for k in range(1, slices)]
+    bounds = sorted(set(samples.agg(F.percentile_approx(by[0], shares).alias("b")).first()["b"] or []))
+    slice_ = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(by[0]))) if bounds else F.lit(0)
+    placed = samples.withColumn("_part", slice_)
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    starts = counts.select(
+        F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(Window.partitionBy()).alias("_total")
+    )
+    numbered = placed.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*by)))
     place = F.col("_start") + F.col("_in")
     one, two = (F.bround(F.col("_total") * F.lit(c), 0) for c in cuts)
     split = F.when(place <= one, SPLITS[0]).when(place <= two, SPLITS[1]).otherwise(SPLITS[2])
+    # one row per slice
     return numbered.join(F.broadcast(starts), F.col("_part") == F.col("_p")).select(*samples.columns, split.alias("split"))
 
 
