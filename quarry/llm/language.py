@@ -19,6 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bit_filter import maybe_in
+from .storage import settle
+
 DIMENSIONS = 1024
 #: Letters fall into this many classes: a to z, classes for all others by code point, and the gap between words.
 CLASSES = 64
@@ -120,10 +123,16 @@ def learn(docs: DataFrame, *, max_rows_per_lang: int = 4000) -> Profiles:
     doc_id; their trigram counts are summed on the executors, so the driver gets at
     most languages * CLASSES ** 3 rows.
     """
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang")
     share = usable.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(max_rows_per_lang)) / F.count(F.lit(1))).alias("share"))
+    share = settle(share, "language-shares")  # one row per language, so that the planner knows how small it is
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = usable.join(share, "lang").where(place < F.col("share")).select("lang", "text")
+    chosen = usable.join(share, "lang").where(place < F.col("share"))
+    chosen = settle(chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct(), "language-sample")
+    # the filter leaves only the texts of chosen rows (and a few more) to the join
+    near = maybe_in(docs.select("doc_id", "lang", "text"), "doc_id", chosen.select("_id"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))
+    sample = near.where("text IS NOT NULL").join(chosen, same, "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
