@@ -104,7 +104,8 @@ def _described(docs: DataFrame, length: int, gram: int, columns: list[str]) -> D
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [*columns, "text_id"]
-        for batch in batches:
+        # segments take more room as Python objects than their text does, so few rows at a time
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             data = batch.column("_bytes").to_pylist()
             found = [[dict(zip(_SEGMENT.names, s)) for s in segments(d, length, gram)] for d in data]
             yield pa.RecordBatch.from_arrays(
