@@ -34,12 +34,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group, that of the smallest doc_id.
+    """One document of each group of near copies, that of the smallest doc_id.
+
+    Candidates are within 7 bits of three-word SimHash; the others of a group have a
+    five-word Jaccard similarity of 0.8 or more with the one that stays.
 
     Of repeated rows one stays. Texts without a word, null ones too, are one group; rows
     without an id belong to the groups of their texts and stay only where no id is there.
     """
-    return simhash.one_per_group(docs)
+    return simhash.without_near_copies(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

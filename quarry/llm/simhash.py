@@ -12,7 +12,9 @@ work. A task reports a spanning forest of its links, never all pairs of a group.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,22 +31,28 @@ SEED = 42
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def simhash(text: str | None, width: int = 3) -> int:
-    """Unsigned 64-bit SimHash of a text's lower-cased word shingles, repeats included.
+def shingles(text: str | None, width: int) -> list[int]:
+    """64-bit hashes of a text's lower-cased word shingles, repeats included.
 
-    Fewer words than ``width`` make one shingle; no word gives 0.
+    Fewer words than ``width`` make one shingle; no word makes none.
     """
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     if len(words) <= width:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words]) - 1
-        starts = np.r_[0, ends[:-1] + 1]
-        spans = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
-        hashes = [xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans]
+        return [xxhash.xxh64_intdigest(joined, SEED)]
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.r_[0, ends[:-1] + 1]
+    spans = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
+    return [xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans]
+
+
+def simhash(text: str | None, width: int = 3) -> int:
+    """Unsigned 64-bit SimHash of a text's lower-cased word shingles, repeats included; no word gives 0."""
+    hashes = shingles(text, width)
+    if not hashes:
+        return 0
     values = np.array(hashes, ">u8")
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(values), 65536):
@@ -142,13 +150,53 @@ def _bands(budget: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def links(values: DataFrame, budget: int, *, bucket_rows: int = 20_000) -> DataFrame:
+def _orders(budget: int) -> list[tuple[list[tuple[int, int]], int]]:
+    """For each pair of budget + 2 bands, all (first bit, bits) with that pair at the top, and the pair's bits.
+
+    Two values that differ in ``budget`` bits agree in two of these bands at least.
+    """
+    bands = _bands(budget + 1)
+    return [([x, y, *(b for b in bands if b not in (x, y))], x[1] + y[1]) for x, y in combinations(bands, 2)]
+
+
+def _in_order(v: np.ndarray, order: list[tuple[int, int]]) -> np.ndarray:
+    out = np.zeros(len(v), np.uint64)
+    for first, bits in order:
+        out = (out << np.uint64(bits)) | ((v >> np.uint64(BITS - first - bits)) & np.uint64((1 << bits) - 1))
+    return out
+
+
+def _out_of_order(v: np.ndarray, order: list[tuple[int, int]]) -> np.ndarray:
+    out, at = np.zeros(len(v), np.uint64), 0
+    for first, bits in order:
+        part = (v >> np.uint64(BITS - at - bits)) & np.uint64((1 << bits) - 1)
+        out |= part << np.uint64(BITS - first - bits)
+        at += bits
+    return out
+
+
+def _in_all_orders(values: DataFrame, orders: list[tuple[list[tuple[int, int]], int]]) -> DataFrame:
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = batch.column("simhash").to_numpy().view(np.uint64)
+            for k, (order, top) in enumerate(orders):
+                turned = _in_order(v, order)
+                bucket = (turned >> np.uint64(BITS - top)).view(np.int64)
+                band = pa.array(np.full(len(v), k, np.int32))
+                yield pa.RecordBatch.from_arrays([band, pa.array(turned.view(np.int64)), pa.array(bucket)], names=["band", "turned", "bucket"])
+
+    return values.select("simhash").mapInArrow(turn, "band int, turned long, bucket long")
+
+
+def links(values: DataFrame, budget: int, *, bucket_rows: int = 20_000, two_bands: bool = False) -> DataFrame:
     """Edges (a, b) that connect the different longs of ``values`` (column simhash) just as
     all pairs at ``budget`` or fewer differing bits would.
 
     Rows meet in buckets of equal band. A bucket of over ``bucket_rows`` values is cut
     into chunks by hash, and every pair of chunks is a bucket of its own, so no task
-    holds more than two chunks at a time, and every pair still meets.
+    holds more than two chunks at a time, and every pair still meets. With
+    ``two_bands`` a bucket is of two equal bands of budget + 2: more tries, but of far
+    smaller buckets, which a budget of many bits needs.
     """
     spark = values.sparkSession
     bands = _bands(budget)
@@ -160,6 +208,9 @@ def links(values: DataFrame, budget: int, *, bucket_rows: int = 20_000) -> DataF
         F.struct(F.lit(k).alias("band"), t.alias("turned"), F.shiftrightunsigned(t, BITS - bits).alias("bucket"))
         for k, (t, (_, bits)) in enumerate(zip(turned, bands))
     ))).alias("_b")).select("_b.*")
+    if two_bands:
+        orders = _orders(budget)
+        rows = settle(_in_all_orders(values, orders), "orders")
     counts = settle(
         rows.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         .select("band", "bucket", F.ceil(F.col("n") / bucket_rows).alias("chunks")),
@@ -177,13 +228,15 @@ def links(values: DataFrame, budget: int, *, bucket_rows: int = 20_000) -> DataF
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for band, turned in _runs(batches):
-            first, bits = bands[band]
+            first, bits = (0, orders[band][1]) if two_bands else bands[band]
             order = np.unique(turned.view(np.uint64))
             root = trie_roots(order, bits, budget)
             low = np.flatnonzero(root != np.arange(len(order)))
             back = [
                 (v >> np.uint64(first)) | (v << np.uint64(BITS - first)) if first else v for v in (order[low], order[root[low]])
             ]
+            if two_bands:
+                back = [_out_of_order(v, orders[band][0]) for v in back]
             yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)) for v in back], names=["a", "b"])
 
     return together.mapInArrow(walk, "a long, b long")
@@ -245,13 +298,22 @@ def one_per_group(docs: DataFrame, *, key: str = "doc_id", text: str = "text", *
     Same columns. Of repeated rows one stays, of a group without an id one of its
     texts. Rows that share an id but belong to different groups all stay.
     """
-    groups = near_duplicates(docs, key=key, text=text, **options).select("doc_id", "simhash", "component_id", "component")
+    groups = near_duplicates(docs, key=key, text=text, **options).select("doc_id", F.col("simhash").alias("mark"), "component_id", "component")
+    marks = functools.partial(with_simhash, width=options.get("width", 3))
+    return _one_of_each(docs, groups, lambda rows: marks(rows, key="row", text="_t").withColumnRenamed("simhash", "mark"), key, text)
+
+
+def _one_of_each(docs: DataFrame, groups: DataFrame, marked: Callable[[DataFrame], DataFrame], key: str, text: str) -> DataFrame:
+    """One row of each component of ``groups`` (doc_id, mark, component_id, component).
+
+    ``marked`` gives doc_id and mark of rows with the columns row and _t, the text.
+    """
     groups = settle(groups, "groups")
     rows = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     chosen = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(
-        F.min("simhash").alias("simhash"), F.min("doc_id").alias("__group_id")
+        F.min("mark").alias("mark"), F.min("doc_id").alias("__group_id")
     )
-    chosen = chosen.join(rows, F.col("__group_id").eqNullSafe(F.col("doc_id"))).select("__group_id", "simhash", "n")
+    chosen = chosen.join(rows, F.col("__group_id").eqNullSafe(F.col("doc_id"))).select("__group_id", "mark", "n")
     chosen = settle(chosen, "chosen")
     # most rows are neither to go nor in doubt: the bit filter lets them stay where they are
     go = groups.select("doc_id").distinct().join(
@@ -263,15 +325,88 @@ def one_per_group(docs: DataFrame, *, key: str = "doc_id", text: str = "text", *
     kept = kept.unionByName(
         rest.join(chosen.where("n = 1 AND __group_id IS NOT NULL").select("__group_id"), rest[key] == F.col("__group_id"), "left_semi")
     )
-    unclear = chosen.where("n > 1 OR __group_id IS NULL").select("__group_id", F.col("simhash").alias("__group_hash"))
+    unclear = chosen.where("n > 1 OR __group_id IS NULL").select("__group_id", F.col("mark").alias("__group_mark"))
     if unclear.isEmpty():
         return kept
-    # ids of more than one row: tell the rows apart by fingerprint, and keep one of each that is wanted
+    # ids of more than one row: tell the rows apart by mark, and keep one of each that is wanted
     again = rest.join(unclear.select("__group_id").distinct(), rest[key].eqNullSafe(F.col("__group_id")), "left_semi")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    hashed = with_simhash(again.select(row.alias("row"), F.col(text).alias("_t")), key="row", text="_t", width=options.get("width", 3))
+    hashed = marked(again.select(row.alias("row"), F.col(text).alias("_t")))
     wanted = hashed.join(
-        unclear, (F.col("simhash") == F.col("__group_hash")) & F.col(f"doc_id.`{key}`").eqNullSafe(F.col("__group_id")), "left_semi"
+        unclear, (F.col("mark") == F.col("__group_mark")) & F.col(f"doc_id.`{key}`").eqNullSafe(F.col("__group_id")), "left_semi"
     )
-    one = wanted.groupBy(F.col(f"doc_id.`{key}`").alias("__group_id"), "simhash").agg(F.first("doc_id").alias("row"))
+    one = wanted.groupBy(F.col(f"doc_id.`{key}`").alias("__group_id"), "mark").agg(F.first("doc_id").alias("row"))
     return kept.unionByName(one.select("row.*"))
+
+
+def with_names(docs: DataFrame, *, key: str, text: str, width: int, shingle: int, sets: bool = False) -> DataFrame:
+    """doc_id, simhash and mark of every row, with ``sets`` also the set of its ``shingle``-word shingles.
+
+    The mark is a hash of that set, so texts of one mark have Jaccard similarity 1.
+    """
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
+            texts = batch.column("_text").to_pylist()
+            own = [np.unique(np.array(shingles(t, shingle), np.uint64)) for t in texts]
+            marks = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in own], np.uint64).view(np.int64)
+            out = [batch.column("doc_id"), pa.array(marks)]
+            if sets:
+                ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
+                out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own).view(np.int64))))
+            else:
+                out.append(pa.array(np.array([simhash(t, width) for t in texts], np.uint64).view(np.int64)))
+            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "mark", "words" if sets else "simhash"])
+
+    return rows.mapInArrow(named, f"doc_id {kind}, mark long, {'words array<long>' if sets else 'simhash long'}")
+
+
+def near_copies(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 3, budget: int = 7, shingle: int = 5, least: float = 0.8
+) -> DataFrame:
+    """doc_id, mark, component_id and component for every row: groups around one text each.
+
+    Every text of a group has an exact Jaccard similarity of ``least`` or more, over its
+    set of ``shingle``-word shingles, with the group's text of the smallest doc_id; no two
+    of these head texts within ``budget`` bits of each other are as alike. Texts without
+    a word are one group.
+
+    In each round the trie walk joins texts to components; a component's first text is
+    compared with all others, takes those that are alike, and the rest go to the next
+    round. So a group of n texts costs n comparisons, not n squared.
+    """
+    named = settle(with_names(docs, key=key, text=text, width=width, shingle=shingle), "named")
+    texts = settle(named.groupBy("mark").agg(F.min("simhash").alias("simhash"), F.min("doc_id").alias("first_id")), "named-distinct")
+    left, words, taken = texts, None, texts.select("mark", F.col("mark").alias("head")).limit(0)
+    while True:
+        found = components(links(left.select("simhash").distinct(), budget, two_bands=True)).withColumnRenamed("node", "simhash")
+        rooted = settle(left.join(found, "simhash", "left").withColumn("root", F.coalesce("root", "simhash")), "near-roots")
+        first = F.min(F.struct(F.col("first_id").isNull(), F.col("first_id"), F.col("mark")))
+        heads = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n"), first.alias("first")).where("n > 1").select("root", F.col("first.mark").alias("head"))
+        pairs = settle(rooted.join(heads, "root").where("mark <> head").select("mark", "simhash", "first_id", "head"), "near-pairs")
+        if pairs.isEmpty():
+            break
+        if words is None:  # later rounds are of texts of the first
+            wanted = pairs.select("mark").unionByName(pairs.select(F.col("head").alias("mark"))).distinct()
+            ids = settle(texts.join(wanted, "mark", "left_semi").select("first_id", "mark"), "near-ids")
+            some = maybe_in(docs, key, ids.select("first_id"))
+            sets = with_names(some, key=key, text=text, width=width, shingle=shingle, sets=True)
+            words = settle(sets.join(ids, "mark", "left_semi").dropDuplicates(["mark"]).select("mark", "words"), "near-words")
+        both = pairs.join(words, "mark").join(words.select(F.col("mark").alias("head"), F.col("words").alias("others")), "head")
+        common = F.size(F.array_intersect("words", "others"))
+        alike = common >= least * (F.size("words") + F.size("others") - common)
+        judged = settle(both.select("mark", "simhash", "first_id", "head", alike.alias("alike")), "near-judged")
+        taken = taken.unionByName(judged.where("alike").select("mark", "head"))
+        left = judged.where("NOT alike").select("mark", "simhash", "first_id")
+    grouped = settle(texts.join(taken, "mark", "left").select("mark", "first_id", F.coalesce("head", "mark").alias("component")), "near-groups")
+    names = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    labels = settle(grouped.join(names, "component").select("mark", "component_id", "component"), "near-labels")
+    return named.join(labels, "mark").select("doc_id", "mark", "component_id", "component")
+
+
+def without_near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 3, shingle: int = 5, **options) -> DataFrame:
+    """``docs`` with one row of each group of ``near_copies``, chosen as ``one_per_group`` does."""
+    named = functools.partial(with_names, key="row", text="_t", width=width, shingle=shingle)
+    return _one_of_each(docs, near_copies(docs, key=key, text=text, width=width, shingle=shingle, **options), named, key, text)
