@@ -86,11 +86,13 @@ def score_trend(scored: DataFrame, *, least_days: int = 7, by: str = "device_id"
     return found.where(F.col("n_days") >= least_days).withColumn("direction", direction)
 
 
-def key_coverage(readings: DataFrame, n_devices: int) -> DataFrame:
-    """Devices with a value per key, and their share of all."""
+def key_coverage(readings: DataFrame) -> DataFrame:
+    """Devices with a value per key, and their share of all devices of the table."""
     filled = F.col("value_num").isNotNull() | F.col("value_text").isNotNull()
     devices = F.countDistinct(F.when(filled, F.col("device_id")))
-    return readings.groupBy("key").agg(devices.alias("n_devices")).withColumn("pct", F.round(F.col("n_devices") * 100.0 / n_devices, 2))
+    everyone = readings.agg(F.countDistinct("device_id").alias("_all"))  # one row
+    counts = readings.groupBy("key").agg(devices.alias("n_devices")).crossJoin(F.broadcast(everyone))
+    return counts.withColumn("pct", F.round(F.col("n_devices") * 100.0 / F.col("_all"), 2)).drop("_all")
 
 
 def stratified(rows: DataFrame, strata: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

@@ -217,7 +217,7 @@ def win_daily_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT key, count(DISTINCT device_id) AS n_devices, round(count(DISTINCT device_id) * 100.0 / 150, 2) AS pct FROM telemetry WHERE value_num IS NOT NULL OR value_text IS NOT NULL GROUP BY 1")
 def agg_key_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid.key_coverage(shape(spark, sf_dir, "telemetry"), 150)
+    return grid.key_coverage(shape(spark, sf_dir, "telemetry"))
 
 
 @query("""WITH RECURSIVE e AS (SELECT 'b' || c_custkey AS child, 'z' || c_nationkey AS parent FROM customer UNION SELECT 'z' || n_nationkey, 'r' || n_regionkey FROM nation UNION SELECT 'r' || r_regionkey, 'top' FROM region UNION ALL SELECT 'top', 'r0'),
