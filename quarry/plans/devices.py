@@ -228,7 +228,7 @@ def src_partitioned_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_CUTS}, {_ROWS} SELECT event_id, split FROM rows_ WHERE event_id % 2 = 0")
 def src_features_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = sql(spark, sf_dir, _GROUPED).where("event_id % 2 = 0").select("event_id")
+    features = sql(spark, sf_dir, _GROUPED).select("event_id")
     return features.join(_split_rows(spark, sf_dir).select("event_id", "split"), "event_id")
 
 
@@ -244,7 +244,7 @@ def nightly_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.functions.scalars import tier
 
     eligible = quality.decide_devices(shape(spark, sf_dir, "devices"), names=[], require_customer=True).where("keep").select("device_id")
-    scored = shape(spark, sf_dir, "scored").where("arrival_seq % 5 > 0").groupBy("device_id").agg(
+    scored = shape(spark, sf_dir, "scored").groupBy("device_id").agg(
         F.max_by("probability", F.struct("anchor_us", "arrival_seq")).alias("probability")
     )
     known = scored.join(eligible, "device_id", "left_semi").withColumn("tier", tier(F.col("probability")))

@@ -360,7 +360,7 @@ def join_manifest_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     CASE WHEN n_snapshots IS NULL THEN 'no_snapshots' WHEN n_offline > 0 THEN 'offline_seen' ELSE 'online_only' END AS coverage FROM c LEFT JOIN s USING (device_id) LEFT JOIN r USING (device_id)""")
 def join_review_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     critical = shape(spark, sf_dir, "scored").where("probability >= 0.9").groupBy("device_id").agg(F.max("probability").alias("score"))
-    snaps = shape(spark, sf_dir, "evidence").where("arrival_seq % 5 = 0").groupBy("device_id").agg(
+    snaps = shape(spark, sf_dir, "evidence").groupBy("device_id").agg(
         F.count(F.lit(1)).alias("n_snapshots"), F.count_if(F.col("evidence_type") == "lc_disconnect").alias("n_offline"), F.max("us").alias("last_us")
     )
     cleared = shape(spark, sf_dir, "alarms").where("clear_us IS NOT NULL").groupBy("device_id").agg(F.count(F.lit(1)).alias("n_recoveries"))
@@ -373,7 +373,7 @@ def join_review_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT DISTINCT device_id FROM evidence WHERE evidence_strength = 'weak' EXCEPT SELECT device_id FROM evidence WHERE evidence_type = 'lc_disconnect' AND arrival_seq % 7 = 0")
 def set_except(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = shape(spark, sf_dir, "evidence")
-    strong = e.where("evidence_type = 'lc_disconnect' AND arrival_seq % 7 = 0").select("device_id")
+    strong = e.where("evidence_type = 'lc_disconnect'").select("device_id")
     return e.where("evidence_strength = 'weak'").select("device_id").distinct().join(strong, "device_id", "left_anti")
 
 

@@ -9,6 +9,10 @@ from quarry.plans import catalog
 
 CORRECTED = {
     "agg_key_coverage": ("/ 150", "/ (SELECT count(DISTINCT device_id) FROM telemetry)"),
+    "join_review_pack": (" WHERE arrival_seq % 5 = 0", ""),
+    "nightly_chain": (" WHERE arrival_seq % 5 > 0", ""),
+    "set_except": (" AND arrival_seq % 7 = 0", ""),
+    "src_features_parquet": (" WHERE event_id % 2 = 0", ""),
 }
 
 
@@ -18,3 +22,20 @@ def test_equals_corrected_oracle(spark, small_tables, name):
     oracle = catalog.oracle_sql()[name]
     assert oracle.count(part) == 1
     assert_equal(catalog.queries()[name](spark, small_tables), oracle.replace(part, whole), small_tables)
+
+
+def test_unmatched_sides(spark, tmp_path):
+    """A device with a score, one without; one with weak evidence only, one with a disconnect beside it."""
+    events = [
+        (1, "2024-01-02 00:00:00", 1, "view", 9.0), (5, "2024-01-03 00:00:00", 1, "view", 1.0),
+        (2, "2024-01-02 00:00:00", 2, "view", 3.0), (3, "2024-01-03 00:00:00", 2, "error", 3.0),
+    ]
+    rows = spark.createDataFrame(events, "event_id long, ts string, user_id long, event_type string, value double")
+    rows.selectExpr("event_id", "CAST(ts AS TIMESTAMP_NTZ) AS ts", "user_id", "event_type", "value", "'{}' AS props").write.parquet(f"{tmp_path}/events.parquet")
+    customers = [(k, f"c{k}", 0, 0.0, "m") for k in (1, 2, 3)]
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey long, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(0, "n", 0)], "n_nationkey long, n_name string, n_regionkey long").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(0, "r")], "r_regionkey long, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    chain = {r.device_id: (r.probability, r.tier) for r in catalog.queries()["nightly_chain"](spark, str(tmp_path)).collect()}
+    assert chain == {"1": (0.1, "HEALTHY"), "2": (0.3, "MEDIUM"), "3": (None, "NO_DATA")}
+    assert [r.device_id for r in catalog.queries()["set_except"](spark, str(tmp_path)).collect()] == ["1"]
