@@ -373,19 +373,20 @@ def near_copies(
     of these head texts within ``budget`` bits of each other are as alike. Texts without
     a word are one group.
 
-    In each round the trie walk joins texts to components; a component's first text is
+    The trie walk joins texts to components. In each round a component's first text is
     compared with all others, takes those that are alike, and the rest go to the next
-    round. So a group of n texts costs n comparisons, not n squared.
+    round. So a group of n texts costs n comparisons, not n squared; the rounds are as
+    many as the largest component has heads.
     """
     named = settle(with_names(docs, key=key, text=text, width=width, shingle=shingle), "named")
     texts = settle(named.groupBy("mark").agg(F.min("simhash").alias("simhash"), F.min("doc_id").alias("first_id")), "named-distinct")
-    left, words, taken = texts, None, texts.select("mark", F.col("mark").alias("head")).limit(0)
+    found = components(links(texts.select("simhash").distinct(), budget, two_bands=True)).withColumnRenamed("node", "simhash")
+    left = settle(texts.join(found, "simhash", "left").select("mark", "first_id", F.coalesce("root", "simhash").alias("root")), "near-roots")
+    words, taken = None, texts.select("mark", F.col("mark").alias("head")).limit(0)
     while True:
-        found = components(links(left.select("simhash").distinct(), budget, two_bands=True)).withColumnRenamed("node", "simhash")
-        rooted = settle(left.join(found, "simhash", "left").withColumn("root", F.coalesce("root", "simhash")), "near-roots")
         first = F.min(F.struct(F.col("first_id").isNull(), F.col("first_id"), F.col("mark")))
-        heads = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n"), first.alias("first")).where("n > 1").select("root", F.col("first.mark").alias("head"))
-        pairs = settle(rooted.join(heads, "root").where("mark <> head").select("mark", "simhash", "first_id", "head"), "near-pairs")
+        heads = left.groupBy("root").agg(F.count(F.lit(1)).alias("n"), first.alias("first")).where("n > 1").select("root", F.col("first.mark").alias("head"))
+        pairs = settle(left.join(heads, "root").where("mark <> head").select("mark", "first_id", "root", "head"), "near-pairs")
         if pairs.isEmpty():
             break
         if words is None:  # later rounds are of texts of the first
@@ -397,9 +398,9 @@ def near_copies(
         both = pairs.join(words, "mark").join(words.select(F.col("mark").alias("head"), F.col("words").alias("others")), "head")
         common = F.size(F.array_intersect("words", "others"))
         alike = common >= least * (F.size("words") + F.size("others") - common)
-        judged = settle(both.select("mark", "simhash", "first_id", "head", alike.alias("alike")), "near-judged")
+        judged = settle(both.select("mark", "first_id", "root", "head", alike.alias("alike")), "near-judged")
         taken = taken.unionByName(judged.where("alike").select("mark", "head"))
-        left = judged.where("NOT alike").select("mark", "simhash", "first_id")
+        left = judged.where("NOT alike").select("mark", "first_id", "root")
     grouped = settle(texts.join(taken, "mark", "left").select("mark", "first_id", F.coalesce("head", "mark").alias("component")), "near-groups")
     names = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
     labels = settle(grouped.join(names, "component").select("mark", "component_id", "component"), "near-labels")
