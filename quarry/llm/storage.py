@@ -2,39 +2,63 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_default: str | None = None
+#: Tables written since the innermost ``passing`` was entered.
+_written: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names.
 
-    Only where the session names none (a local test) a temporary folder is made.
+    Only a local session (a test) may name none; a temporary folder is made for it.
+    On a cluster other nodes would not see such a folder, so that raises.
     """
     global _local_default
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
     if _local_default is None:
         _local_default = tempfile.mkdtemp(prefix="quarry-checkpoint-")
     return _local_default
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, *, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and return a reader of it.
 
     Later stages start from these files: a lost executor costs a reread, not the
-    work upstream, and the row count and size are known to the planner.
+    work upstream, and the row count and size are known to the planner. With ``keep``
+    the table outlives the ``passing`` around it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _written and not keep:
+        _written[-1].append(path)
+    elif len(_written) > 1:
+        _written[-2].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables settled inside are deleted at the end, except those to keep: what is read later must be one of these."""
+    _written.append([])
+    try:
+        yield
+    finally:
+        for path in _written.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -409,19 +409,45 @@ def test_induced_sort_equals_brute_force(seed):
     count = Counter(s[i : i + length] for s in strings for i in range(len(s) - length + 1))
     expected = [i + length <= len(s) and count[s[i : i + length]] > 1 for s in strings for i in range(len(s))]
     for memory in (1024, 1 << 20):  # with and without runs on disk
-        assert induced_sort.repeated_starts(strings, length, memory_rows=memory).tolist() == expected
+        assert np.concatenate([*induced_sort.repeated_starts(iter(strings), length, memory_rows=memory)]).tolist() == expected
+
+
+@pytest.mark.parametrize("block", [7, 200])
+def test_common_prefixes_equal_brute_force(monkeypatch, block):
+    """Blocks far smaller than the input: queues on disk, several levels of recursion."""
+    plain = induced_sort.Scratch.__init__
+
+    def small(self, folder, memory_rows):
+        plain(self, folder, memory_rows)
+        self.memory_rows = self.block = block
+
+    monkeypatch.setattr(induced_sort.Scratch, "__init__", small)
+    rng = np.random.default_rng(block)
+    for letters in (1, 2, 3, 26):
+        pool = [bytes(rng.integers(97, 97 + letters, rng.integers(1, 60), dtype=np.uint8)) for _ in range(3)]
+        strings = [b"".join(pool[k] for k in rng.integers(0, 3, rng.integers(0, 4))) for _ in range(9)] + [b"a" * 90]
+        count = Counter(s[i:j] for s in strings for i in range(len(s)) for j in range(i + 1, min(i + 30, len(s)) + 1))
+        for s, shared in zip(strings, induced_sort.common_prefixes(strings, 30)):
+            expected = [max([j for j in range(1, min(30, len(s) - i) + 1) if count[s[i : i + j]] > 1], default=0) for i in range(len(s))]
+            assert shared.tolist() == expected
 
 
 def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(5)
     shared = bytes(rng.integers(0, 256, 900, dtype=np.uint8))
     a, b = bytes(rng.integers(0, 256, 500, dtype=np.uint8)) + shared, shared + bytes(rng.integers(0, 256, 77, dtype=np.uint8))
-    anchor = lambda data: {s: (k, first + ahead - s) for k, _, first, n, ahead in suffix_dedup.segments(data) for s in range(first, first + n)}
+    anchor = lambda data: {s: k for k, _, first, n, _ in suffix_dedup.segments(data, 400, 128).tolist() for s in range(first, first + n)}
     x, y = anchor(a), anchor(b)
     assert sorted(x) == list(range(len(a) - 399))
     assert all(x[500 + i] == y[i] for i in range(501))
 
 
+def test_runs_of_one_byte_make_few_segments():
+    for data in (b"a" * 200_000, b"ab" * 100_000):
+        rows = suffix_dedup.segments(data, 400, 128)
+        assert len(rows) < 100 and rows[:, 3].sum() == len(data) - 399
+
+
 @pytest.mark.parametrize("options", [{}, {"shard_segments": 1}, {"memory_rows": 1500}])
 def test_removal_equals_brute_force(docs, texts, options):
     length = suffix_dedup.LENGTH
@@ -432,6 +458,8 @@ def test_removal_equals_brute_force(docs, texts, options):
         kept = hashlib.sha256(np.frombuffer(t, np.uint8)[~mask].tobytes()).hexdigest()
         r = found[i]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(t), mask.sum(), (edges == 1).sum(), kept)
+    for i, mask in zip(data, brute_removed(list(data.values()), suffix_dedup.PASSAGE)):
+        assert found[i].n_repeated == mask.sum()
     assert any(0 < r.n_removed < r.n_bytes for r in found.values())
 
 
