@@ -28,16 +28,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     columns = docs.columns
-    carried = docs.withColumn("_row", F.struct(*columns))
-    judged = quality.judge(carried, model, keep=("_row",))
-    return judged.where("kept").select("_row.*").select(columns)
+    quoted = [F.col(f"`{c}`") for c in columns]
+    judged = quality.judge(docs.withColumn("_row", F.struct(*quoted)), model, keep=("_row",))
+    return judged.where("kept").select("_row.*").select(quoted)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest doc_id.
 
-    Candidates are within 7 bits of three-word SimHash; the others of a group have a
-    five-word Jaccard similarity of 0.8 or more with the one that stays.
+    Candidates are within 7 bits of the SimHash of their different words; the others of a
+    group have a five-word Jaccard similarity of 0.8 or more with the one that stays.
 
     Of repeated rows one stays. Texts without a word, null ones too, are one group; rows
     without an id belong to the groups of their texts and stay only where no id is there.
@@ -46,12 +46,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their repeated 400-byte strings; n_chars follows the text.
+    """Texts without their repeated strings of 200 bytes (``suffix_dedup.PASSAGE``); n_chars follows the text.
 
     Rows all stay: a text of which everything is repeated becomes empty, a null text stays null.
     """
-    cut = suffix_dedup.without_repeats(docs)
-    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+    cut = suffix_dedup.without_repeats(docs, length=suffix_dedup.PASSAGE)
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

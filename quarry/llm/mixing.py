@@ -115,10 +115,10 @@ def plan(
     """Rows (doc_id, source, size, hash), and the limits of every source that ``copies`` needs."""
     rows = settle(
         docs.select(
-            F.col(key).alias("doc_id"),
-            F.col(source).alias("source"),
-            F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            key_hash(F.col(key)).alias("hash"),
+            F.col(f"`{key}`").alias("doc_id"),
+            F.col(f"`{source}`").alias("source"),
+            F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            key_hash(F.col(f"`{key}`")).alias("hash"),
         ),
         "mix-sizes",
     )
@@ -132,7 +132,7 @@ def _with_copies(rows: DataFrame, limits: DataFrame, source: str, place: Column)
     threshold = F.col("__mix_threshold")
     extra = (place < threshold) | ((place == threshold) & F.col("__mix_passed"))
     copies = F.least(F.col("__mix_most"), F.col("__mix_whole") + F.when(extra, 1).otherwise(0))
-    return rows.join(limits, rows[source].eqNullSafe(F.col("__mix_source"))).withColumn("__mix_copies", copies.cast("int"))
+    return rows.join(limits, F.col(f"`{source}`").eqNullSafe(F.col("__mix_source"))).withColumn("__mix_copies", copies.cast("int"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2, **columns: str) -> DataFrame:
@@ -167,6 +167,6 @@ def mixed(
 ) -> DataFrame:
     """The mix itself: each row of ``docs`` as many times as ``mix`` says, same columns."""
     _, limits = plan(docs, weights, share, most, key=key, text=text, source=source)
-    counted = _with_copies(docs, limits, source, key_hash(docs[key]))
+    counted = _with_copies(docs, limits, source, key_hash(F.col(f"`{key}`")))
     again = F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))).alias("__mix_turn")
-    return counted.where("__mix_copies > 0").select(*(docs[c] for c in docs.columns), again).drop("__mix_turn")
+    return counted.where("__mix_copies > 0").select(*(F.col(f"`{c}`") for c in docs.columns), again).drop("__mix_turn")

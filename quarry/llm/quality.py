@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boosting
+from .storage import extended
 from .text_stats import COUNTS, SHAPE, text_stats
 
 #: Features, and the direction in which quality may move with each (0: free).
@@ -53,7 +54,6 @@ def with_stats(
     """
     carried = docs.select(F.col(key).alias("doc_id"), *keep, F.col(text).alias("_text"))
     rest = [c for c in carried.columns if c != "_text"]
-    kinds = ", ".join(f"`{c}` {carried.schema[c].dataType.simpleString()}" for c in rest)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,7 +65,7 @@ def with_stats(
                 names=[*rest, *COUNTS, *SHAPE, "score"],
             )
 
-    return carried.mapInArrow(count, f"{kinds}, {STATS_SCHEMA}, score double")
+    return carried.mapInArrow(count, extended(carried, rest, f"{STATS_SCHEMA}, score double"))
 
 
 def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, seed: int = 7) -> boosting.FlatTrees | None:
@@ -83,8 +83,8 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, seed: i
         return None
     share = min(1.0, max_rows / total)
     chosen = known.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    # the sample is bounded by max_rows, so its ids may be broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # the sample is bounded by max_rows, so its ids may be broadcast; an id of several rows counts once, by its least text
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     sample = with_stats(rows, keep=("quality",)).toPandas().sort_values("doc_id")
     y = sample["quality"].to_numpy(float)
     if not len(y) or y.min() == y.max():

@@ -13,6 +13,7 @@ work. A task reports a spanning forest of its links, never all pairs of a group.
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .bit_filter import maybe_in, surely_not_in
 from .components import components
-from .storage import settle
+from .storage import extended, settle
 
 BITS = 64
 SEED = 42
@@ -50,7 +51,17 @@ def shingles(text: str | None, width: int) -> list[int]:
 
 def simhash(text: str | None, width: int = 3) -> int:
     """Unsigned 64-bit SimHash of a text's lower-cased word shingles, repeats included; no word gives 0."""
-    hashes = shingles(text, width)
+    return _majority(shingles(text, width))
+
+
+def word_simhash(text: str | None) -> int:
+    """The same of a text's different words: an edited word moves one of them, and not ``width`` shingles."""
+    words = {*(text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()}
+    return _majority([xxhash.xxh64_intdigest(w, SEED) for w in words])
+
+
+def _majority(hashes: list[int]) -> int:
+    """The bits that are set in over half of the hashes."""
     if not hashes:
         return 0
     values = np.array(hashes, ">u8")
@@ -62,15 +73,14 @@ def simhash(text: str | None, width: int = 3) -> int:
 
 def with_simhash(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
     """doc_id and simhash (the 64 bits as a signed long) of every row."""
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("_text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([simhash(t, width) for t in batch.column("_text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "simhash"])
 
-    return rows.mapInArrow(hashed, f"doc_id {kind}, simhash long")
+    return rows.mapInArrow(hashed, extended(rows, ["doc_id"], "simhash long"))
 
 
 def unite(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -323,15 +333,15 @@ def _one_of_each(docs: DataFrame, groups: DataFrame, marked: Callable[[DataFrame
     kept = surely_not_in(docs, key, go)
     rest = maybe_in(docs, key, go)
     kept = kept.unionByName(
-        rest.join(chosen.where("n = 1 AND __group_id IS NOT NULL").select("__group_id"), rest[key] == F.col("__group_id"), "left_semi")
+        rest.join(chosen.where("n = 1 AND __group_id IS NOT NULL").select("__group_id"), F.col(f"`{key}`") == F.col("__group_id"), "left_semi")
     )
     unclear = chosen.where("n > 1 OR __group_id IS NULL").select("__group_id", F.col("mark").alias("__group_mark"))
     if unclear.isEmpty():
         return kept
     # ids of more than one row: tell the rows apart by mark, and keep one of each that is wanted
-    again = rest.join(unclear.select("__group_id").distinct(), rest[key].eqNullSafe(F.col("__group_id")), "left_semi")
+    again = rest.join(unclear.select("__group_id").distinct(), F.col(f"`{key}`").eqNullSafe(F.col("__group_id")), "left_semi")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    hashed = marked(again.select(row.alias("row"), F.col(text).alias("_t")))
+    hashed = marked(again.select(row.alias("row"), F.col(f"`{text}`").alias("_t")))
     wanted = hashed.join(
         unclear, (F.col("mark") == F.col("__group_mark")) & F.col(f"doc_id.`{key}`").eqNullSafe(F.col("__group_id")), "left_semi"
     )
@@ -339,13 +349,12 @@ def _one_of_each(docs: DataFrame, groups: DataFrame, marked: Callable[[DataFrame
     return kept.unionByName(one.select("row.*"))
 
 
-def with_names(docs: DataFrame, *, key: str, text: str, width: int, shingle: int, sets: bool = False) -> DataFrame:
-    """doc_id, simhash and mark of every row, with ``sets`` also the set of its ``shingle``-word shingles.
+def with_names(docs: DataFrame, *, key: str, text: str, shingle: int, sets: bool = False) -> DataFrame:
+    """doc_id, mark and, of every row, ``word_simhash`` as simhash or, with ``sets``, the set of its ``shingle``-word shingles as words.
 
     The mark is a hash of that set, so texts of one mark have Jaccard similarity 1.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("_text"))
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
@@ -357,45 +366,93 @@ def with_names(docs: DataFrame, *, key: str, text: str, width: int, shingle: int
                 ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
                 out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own).view(np.int64))))
             else:
-                out.append(pa.array(np.array([simhash(t, width) for t in texts], np.uint64).view(np.int64)))
+                out.append(pa.array(np.array([word_simhash(t) for t in texts], np.uint64).view(np.int64)))
             yield pa.RecordBatch.from_arrays(out, names=["doc_id", "mark", "words" if sets else "simhash"])
 
-    return rows.mapInArrow(named, f"doc_id {kind}, mark long, {'words array<long>' if sets else 'simhash long'}")
+    return rows.mapInArrow(named, extended(rows, ["doc_id"], f"mark long, {'words array<long>' if sets else 'simhash long'}"))
+
+
+def _heads(sets: list[np.ndarray], least: float) -> np.ndarray:
+    """For each of the ordered sets its head: the first that is no other's, and as alike as ``least``."""
+    head = np.full(len(sets), -1)
+    sizes = np.array([len(x) for x in sets])
+    rest = np.arange(len(sets))
+    while len(rest):
+        first, others = rest[0], rest[1:]
+        head[first] = first
+        if not len(others):
+            break
+        own, every = sets[first], np.concatenate([sets[k] for k in others])
+        # every set but one has a shingle
+        met = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every if len(own) else np.zeros(len(every), bool)
+        upto = np.append(0, np.cumsum(met))
+        ends = np.cumsum(sizes[others])
+        common = upto[ends] - upto[ends - sizes[others]]
+        alike = common >= least * (sizes[others] + len(own) - common)
+        head[others[alike]] = first
+        rest = others[~alike]
+    return head
+
+
+def _grouped_in_tasks(members: DataFrame, least: float) -> DataFrame:
+    """(mark, head) of whole components (root, first_id, mark, words), each worked out in one task."""
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["root", F.col("first_id").isNull(), "first_id", "mark"]
+    dealt = members.select("root", "first_id", "mark", "words").repartition(n, "root").sortWithinPartitions(*order).select("root", "mark", "words")
+
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple[int, int, np.ndarray]]:
+            for batch in batches:
+                words = batch.column("words")
+                ends, flat = words.offsets.to_numpy(), words.values.to_numpy().view(np.uint64)
+                for k, (root, mark) in enumerate(zip(batch.column("root").to_pylist(), batch.column("mark").to_pylist())):
+                    yield root, mark, flat[ends[k] : ends[k + 1]]
+
+        for _, own in itertools.groupby(rows(), lambda r: r[0]):
+            _, marks, sets = zip(*own)
+            marks = np.array(marks, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(marks), pa.array(marks[_heads(list(sets), least)])], names=["mark", "head"])
+
+    return dealt.mapInArrow(group, "mark long, head long")
 
 
 def near_copies(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 3, budget: int = 7, shingle: int = 5, least: float = 0.8
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", budget: int = 7, shingle: int = 5, least: float = 0.8, task_shingles: int = 1 << 22
 ) -> DataFrame:
     """doc_id, mark, component_id and component for every row: groups around one text each.
 
     Every text of a group has an exact Jaccard similarity of ``least`` or more, over its
     set of ``shingle``-word shingles, with the group's text of the smallest doc_id; no two
-    of these head texts within ``budget`` bits of each other are as alike. Texts without
-    a word are one group.
-
-    The trie walk joins texts to components. In each round a component's first text is
-    compared with all others, takes those that are alike, and the rest go to the next
-    round. So a group of n texts costs n comparisons, not n squared; the rounds are as
-    many as the largest component has heads.
+    of these head texts are as alike and within ``budget`` bits of each other's word SimHash.
+    Texts without a word are one group.
+
+    The trie walk joins texts to components. In a component the first text is compared with
+    all others and takes those that are alike; so does the first of the rest, and so on. A
+    group of n texts costs n comparisons, not n squared. A component of up to
+    ``task_shingles`` shingles is grouped inside one task, a larger one by rounds over the
+    cluster, a head each, until what is left of it is as small; the groups are the same.
     """
-    named = settle(with_names(docs, key=key, text=text, width=width, shingle=shingle), "named")
+    named = settle(with_names(docs, key=key, text=text, shingle=shingle), "named")
     texts = settle(named.groupBy("mark").agg(F.min("simhash").alias("simhash"), F.min("doc_id").alias("first_id")), "named-distinct")
     found = components(links(texts.select("simhash").distinct(), budget, two_bands=True)).withColumnRenamed("node", "simhash")
-    left = settle(texts.join(found, "simhash", "left").select("mark", "first_id", F.coalesce("root", "simhash").alias("root")), "near-roots")
-    words, taken = None, texts.select("mark", F.col("mark").alias("head")).limit(0)
+    roots = settle(texts.join(found, "simhash", "left").select("mark", "first_id", F.coalesce("root", "simhash").alias("root")), "near-roots")
+    several = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
+    left = settle(roots.join(several, "root").select("mark", "first_id", "root"), "near-several")
+    ids = left.select("first_id", "mark")
+    sets = with_names(maybe_in(docs, key, ids.select("first_id")), key=key, text=text, shingle=shingle, sets=True)
+    words = settle(sets.join(ids.select("mark"), "mark", "left_semi").dropDuplicates(["mark"]).select("mark", "words"), "near-words")
+    taken = texts.select("mark", F.col("mark").alias("head")).limit(0)
     while True:
+        members = left.join(words, "mark")
         first = F.min(F.struct(F.col("first_id").isNull(), F.col("first_id"), F.col("mark")))
-        heads = left.groupBy("root").agg(F.count(F.lit(1)).alias("n"), first.alias("first")).where("n > 1").select("root", F.col("first.mark").alias("head"))
-        pairs = settle(left.join(heads, "root").where("mark <> head").select("mark", "first_id", "root", "head"), "near-pairs")
-        if pairs.isEmpty():
+        sizes = members.groupBy("root").agg(F.sum(F.size("words")).alias("n"), first.alias("first"))
+        sizes = settle(sizes.select("root", "n", F.col("first.mark").alias("head")), "near-sizes")
+        small, large = sizes.where(F.col("n") <= task_shingles).select("root"), sizes.where(F.col("n") > task_shingles).select("root", "head")
+        taken = taken.unionByName(settle(_grouped_in_tasks(members.join(small, "root", "left_semi"), least), "near-taken"))
+        if large.isEmpty():
             break
-        if words is None:  # later rounds are of texts of the first
-            wanted = pairs.select("mark").unionByName(pairs.select(F.col("head").alias("mark"))).distinct()
-            ids = settle(texts.join(wanted, "mark", "left_semi").select("first_id", "mark"), "near-ids")
-            some = maybe_in(docs, key, ids.select("first_id"))
-            sets = with_names(some, key=key, text=text, width=width, shingle=shingle, sets=True)
-            words = settle(sets.join(ids, "mark", "left_semi").dropDuplicates(["mark"]).select("mark", "words"), "near-words")
-        both = pairs.join(words, "mark").join(words.select(F.col("mark").alias("head"), F.col("words").alias("others")), "head")
+        pairs = members.join(large, "root").where("mark <> head")
+        both = pairs.join(words.select(F.col("mark").alias("head"), F.col("words").alias("others")), "head")
         common = F.size(F.array_intersect("words", "others"))
         alike = common >= least * (F.size("words") + F.size("others") - common)
         judged = settle(both.select("mark", "first_id", "root", "head", alike.alias("alike")), "near-judged")
@@ -407,7 +464,7 @@ def near_copies(
     return named.join(labels, "mark").select("doc_id", "mark", "component_id", "component")
 
 
-def without_near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 3, shingle: int = 5, **options) -> DataFrame:
+def without_near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5, **options) -> DataFrame:
     """``docs`` with one row of each group of ``near_copies``, chosen as ``one_per_group`` does."""
-    named = functools.partial(with_names, key="row", text="_t", width=width, shingle=shingle)
-    return _one_of_each(docs, near_copies(docs, key=key, text=text, width=width, shingle=shingle, **options), named, key, text)
+    named = functools.partial(with_names, key="row", text="_t", shingle=shingle)
+    return _one_of_each(docs, near_copies(docs, key=key, text=text, shingle=shingle, **options), named, key, text)

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_default: str | None = None
 #: Tables written since the innermost ``passing`` was entered.
@@ -60,5 +61,10 @@ def passing(spark: SparkSession) -> Iterator[None]:
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def extended(rows: DataFrame, columns: list[str], added: str) -> StructType:
+    """The schema of ``columns`` of ``rows`` and of the columns that the DDL ``added`` states."""
+    return StructType([*(rows.schema[c] for c in columns), *StructType.fromDDL(added).fields])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

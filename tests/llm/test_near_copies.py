@@ -31,7 +31,7 @@ def test_near_copies_beyond_two_bits_go(spark, small_tables):
                 copy[at] = word()
             texts.append(" ".join(copy))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    prints = [simhash.simhash(t) for t in texts]
+    prints = [simhash.word_simhash(t) for t in texts]
     near = [
         (i, j) for i in range(len(texts)) for j in range(i)
         if (prints[i] ^ prints[j]).bit_count() <= 7 and _likeness(texts[i], texts[j]) >= 0.8
@@ -43,6 +43,23 @@ def test_near_copies_beyond_two_bits_go(spark, small_tables):
         assert any(_likeness(texts[i], texts[j]) >= 0.8 for j in kept if j < i)
 
 
+def test_rounds_and_tasks_give_the_same_groups(spark):
+    """Components too large for a task are grouped by rounds, with the result of a plain greedy search."""
+    rng = np.random.default_rng(11)
+    texts = []
+    for b in range(4):
+        words = [f"w{b}x{rng.integers(4000)}" for _ in range(150)]
+        for changes in (0, 1, 2, 9, 14):
+            copy = list(words)
+            for at in rng.choice(150, changes, replace=False):
+                copy[at] = f"v{rng.integers(9000)}"
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame([(None if k == 3 else k, t) for k, t in enumerate([*texts, "", None])], "doc_id long, text string")
+    in_tasks = {r.mark: (r.component, r.component_id) for r in simhash.near_copies(docs).collect()}
+    by_rounds = {r.mark: (r.component, r.component_id) for r in simhash.near_copies(docs, task_shingles=0).collect()}
+    assert in_tasks == by_rounds and 1 < len({c for c, _ in in_tasks.values()}) < len(in_tasks)
+
+
 def test_pairs_of_bands_miss_no_link(spark):
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**64, 60, dtype=np.uint64)

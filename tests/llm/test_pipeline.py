@@ -6,6 +6,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -32,9 +33,9 @@ def test_stages(spark, small_tables):
     start, judged, single, cut, mixed, packed = ({(r.doc_id, r[1]) for r in s.collect()} for s in states)
     model = quality.train(states[0], spark.read.parquet(f"{small_tables}/labels.parquet"))
     assert judged == {x for x in start if x[0] in {r.doc_id for r in quality.judge(states[0], model).where("kept").collect()}}
-    groups = simhash.near_duplicates(states[1]).collect()
+    groups = simhash.near_copies(states[1]).collect()
     assert {x[0] for x in single} == {r.component_id for r in groups}
-    report = {r.doc_id: r for r in suffix_dedup.removal_report(states[2]).collect()}
+    report = {r.doc_id: r for r in suffix_dedup.removal_report(states[2], length=suffix_dedup.PASSAGE).collect()}
     before = dict(single)
     for i, t in cut:
         assert len(before[i].encode()) - len(t.encode()) <= report[i].n_removed
@@ -46,7 +47,7 @@ def test_stages(spark, small_tables):
 
 
 def test_awkward_rows_pass_through(spark, small_tables, corpus, no_rows):
-    for docs in (corpus, no_rows):
+    for docs in (corpus.withColumn("a.b", F.lit(1)), no_rows):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             docs = settle(stage(spark, docs, small_tables), "stage")
         corpus_pipeline.STAGES[-1][1](spark, docs, small_tables).count()
