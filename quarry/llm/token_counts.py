@@ -24,10 +24,9 @@ from pyspark.sql import functions as F
 SPACE_MARK = "▁"
 #: Scores are integers, millionths of a nat, so that equal sums are equal.
 SCALE = 1_000_000
-#: A combined value is score * TIES - tokens: the greater score first, then fewer tokens.
+#: A combined value is score * TIES - tokens: the greater score first, then fewer tokens. One character
+#: changes the tokens by far fewer than half of it.
 TIES = 1 << 20
-#: Longer pre-tokens are scored one by one: a trie of them would share little.
-LONG = 64
 
 
 class UnigramTrie:
@@ -60,40 +59,28 @@ class UnigramTrie:
         at = np.minimum(np.searchsorted(self._keys, wanted), len(self._keys) - 1)
         return np.where(self._keys[at] == wanted, self._next[at], -1)
 
-    def count_one(self, word: str) -> int:
-        """Tokens of one pre-token, by the plain forward recursion."""
-        best = [0]
-        for end in range(1, len(word) + 1):
-            single = self.scores.get(word[end - 1])
-            step = single * TIES - 1 if single is not None else self.byte_value * len(_utf8(word[end - 1]))
-            found = best[end - 1] + step
-            for start in range(max(0, end - self.longest), end - 1):
-                score = self.scores.get(word[start:end])
-                if score is not None:
-                    found = max(found, best[start] + score * TIES - 1)
-            best.append(found)
-        return -best[-1] % TIES
-
     def count_all(self, words: list[str]) -> list[int]:
-        """Tokens of sorted, distinct, non-empty pre-tokens of at most LONG characters."""
+        """Tokens of sorted, distinct, non-empty pre-tokens of any length.
+
+        Of a node's prefixes only the last ``longest`` matter. Their values are kept relative
+        to the node's own, and the number of tokens apart, so neither grows with the depth.
+        """
         n = len(words)
         lengths = np.array([len(w) for w in words])
-        codes = np.zeros((n, int(lengths.max())), np.int64)
+        offsets = np.cumsum(lengths) - lengths
         flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        codes[np.arange(codes.shape[1]) < lengths[:, None]] = flat
-        differs = codes[1:] != codes[:-1]
-        common = np.r_[0, np.where(differs.any(axis=1), differs.argmax(axis=1), codes.shape[1])]
         counts = np.zeros(n, np.int64)
         # of each node of the current depth: its words' first row, open piece states, forward values of its last prefixes
         rows = np.arange(n)
         node_of = np.zeros(n, np.int64)
         states = np.zeros((1, 0), np.int64)
-        values = np.zeros((1, 1), np.int64)
-        for depth in range(codes.shape[1]):
+        values, tokens = np.zeros((1, 1), np.int64), np.zeros(1, np.int64)
+        for depth in range(int(lengths.max())):
             inside = lengths[rows] > depth
             rows, node_of = rows[inside], node_of[inside]
-            new = np.r_[True, common[rows[1:]] <= depth]
-            parent, code = node_of[new], codes[rows[new], depth]
+            codes = flat[offsets[rows] + depth].astype(np.int64)
+            new = np.append(True, (node_of[1:] != node_of[:-1]) | (codes[1:] != codes[:-1]))
+            parent, code = node_of[new], codes[new]
             node_of = np.cumsum(new) - 1
             before = states[parent][:, : self.longest - 1]
             before = np.concatenate([np.zeros((len(parent), 1), np.int64), before], axis=1)
@@ -105,17 +92,15 @@ class UnigramTrie:
             options = np.where(ended != 0, earlier + ended, np.iinfo(np.int64).min)
             width = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
             fallback = np.where(ended[:, 0] == 0, earlier[:, 0] + self.byte_value * width, np.iinfo(np.int64).min)
-            best = np.maximum(options.max(axis=1), fallback)
-            values = np.concatenate([best[:, None], values[parent][:, : self.longest - 1]], axis=1)
+            gain = np.maximum(options.max(axis=1), fallback)
+            values = np.concatenate([np.zeros((len(gain), 1), np.int64), values[parent][:, : self.longest - 1] - gain[:, None]], axis=1)
+            # gain = TIES * score - tokens, and the tokens are few
+            tokens = tokens[parent] + (gain + TIES // 2) // TIES * TIES - gain
             ends = lengths[rows] == depth + 1
-            counts[rows[ends]] = -best[node_of[ends]] % TIES
+            counts[rows[ends]] = tokens[node_of[ends]]
         return counts.tolist()
 
 
-def _utf8(c: str) -> bytes:
-    return c.encode("utf-8", "surrogatepass")
-
-
 @lru_cache(maxsize=2)
 def unigram_trie(model_file: str) -> UnigramTrie:
     """The ordinary pieces of a vocabulary file, in rank order."""
@@ -135,12 +120,10 @@ class Counter:
         if len(self._counts) > self._most:
             self._counts.clear()
         new = set().union(*texts).difference(self._counts)
-        short = sorted(w for w in new if len(w) < LONG)
-        for at in range(0, len(short), 65536):
-            part = [SPACE_MARK + w for w in short[at : at + 65536]]
-            self._counts.update(zip(short[at : at + 65536], self._trie.count_all(part)))
-        for w in new.difference(short):
-            self._counts[w] = self._trie.count_one(SPACE_MARK + w)
+        ordered = sorted(new)
+        for at in range(0, len(ordered), 65536):
+            part = [SPACE_MARK + w for w in ordered[at : at + 65536]]
+            self._counts.update(zip(ordered[at : at + 65536], self._trie.count_all(part)))
         get = self._counts.__getitem__
         return [sum(map(get, words)) for words in texts]
 
@@ -158,11 +141,12 @@ def token_counts(docs: DataFrame, model_file: str, *, key: str = "doc_id", text:
     """doc_id, n_words (pre-tokens) and n_tokens of every whole text.
 
     Null and empty texts have 0 of both. Null ids and repeated rows are counted like
-    any other. Characters that no piece has count as their UTF-8 bytes. Columns
+    any other. Characters that no piece has count as their UTF-8 bytes. Very long texts
+    and words are counted whole, a word in time in proportion to its length. Columns
     besides key and text are not read; an empty table gives an empty result. Nothing
     is shuffled: each task keeps the counts of the pre-tokens that it has met.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"))
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
