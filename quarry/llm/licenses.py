@@ -44,6 +44,27 @@ TEMPLATES = {
         "above copyright notice and this permission notice shall be included in all copies or substantial portions of "
         "the Software."
     ),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution."
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you "
+        "wrote the original software. If you use this software in a product, an acknowledgment in the product documentation "
+        "would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not "
+        "be misrepresented as being the original software. 3. This notice may not be removed or altered from any source "
+        "distribution."
+    ),
 }
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in range(256))
@@ -107,20 +128,25 @@ def align(template: list[bytes], words: list[bytes]) -> list[tuple[int, int]]:
 class Scanner:
     """Templates prepared for scanning texts."""
 
-    def __init__(self, templates: Mapping[str, str], least: float) -> None:
-        self._least = least
+    def __init__(self, templates: Mapping[str, str], least: float, stretch: float = 1.5) -> None:
+        self._least, self._stretch = least, stretch
         self._templates = []
         for name, text in sorted(templates.items()):
             words = words_of(text)
             self._templates.append((name, words, frozenset(words), Counter(words)))
 
+    def span(self, template: list[bytes]) -> int:
+        """The words of a window in which an occurrence of the template is sought."""
+        return int(np.ceil(self._stretch * len(template))) + 2
+
     def scan(self, text: str | None) -> tuple[int, list[tuple[str, float, int, int]]]:
         """Number of words, and (template, coverage, first word, word after the last) of all occurrences.
 
-        An occurrence needs a stretch of at most five quarters of the template's words
-        (and two more) in which the least coverage is reached; so a text without as many
-        of the template's words is passed over, and so is every stretch that has
-        too few words of the template. Occurrences of one template do not overlap.
+        An occurrence is the alignment of a template with a window of ``stretch`` times its
+        words (and two more) that covers ``least`` of it. Windows with too few words of the
+        template are passed over. From the first that is enough on, all windows that begin
+        inside it are tried, and those inside the best of them, until coverage stops rising.
+        Occurrences of one template do not overlap.
         """
         words = words_of(text)
         there = set(words)
@@ -131,28 +157,38 @@ class Scanner:
             if not template or sum(counts[w] for w in shared) < need:
                 continue
             hit = np.fromiter((w in shared for w in words), np.int64, len(words))
-            span = len(template) * 5 // 4 + 2
-            total = np.r_[0, np.cumsum(hit)]
+            span = self.span(template)
+            total = np.append(0, np.cumsum(hit))
             ends = np.minimum(np.arange(len(words)) + span, len(words))
             starts = np.flatnonzero((hit > 0) & (total[ends] - total[:-1] >= need))
             at = 0
             while at < len(starts):
-                a = int(starts[at])
-                pairs = align(template, words[a : a + span])
-                if len(pairs) >= need:
-                    end = a + pairs[-1][1] + 1
-                    found.append((name, len(pairs) / len(template), a + pairs[0][1], end))
-                    at = int(np.searchsorted(starts, end))
-                else:
+                best = self._alignment(template, words, int(starts[at]), span)
+                if best[0] < need:
+                    at += 1
+                    continue
+                limit = starts[at] + span
+                while at + 1 < len(starts) and starts[at + 1] < limit and best[0] < len(template):
                     at += 1
+                    other = self._alignment(template, words, int(starts[at]), span)
+                    if other[0] > best[0]:
+                        best, limit = other, starts[at] + span
+                found.append((name, best[0] / len(template), best[1], best[2]))
+                at = int(np.searchsorted(starts, best[2]))
         return len(words), found
 
+    @staticmethod
+    def _alignment(template: list[bytes], words: list[bytes], at: int, span: int) -> tuple[int, int, int]:
+        pairs = align(template, words[at : at + span])
+        return (len(pairs), at + pairs[0][1], at + pairs[-1][1] + 1) if pairs else (0, at, at)
+
 
 def scan(
     docs: DataFrame,
     templates: Mapping[str, str] = TEMPLATES,
     *,
     least: float = 0.8,
+    stretch: float = 1.5,
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -161,12 +197,13 @@ def scan(
     ``license`` and the columns after it describe the occurrence of greatest coverage
     (then of most words, then the first); ``found`` has all. Null and empty texts, and
     texts without an occurrence, have n_found 0 and nulls. Null ids and repeated rows
-    are scanned like any other. Columns besides key and text are not read; an empty
+    are scanned like any other. Very long texts are scanned whole; of occurrences of one
+    coverage in overlapping windows the first counts. Columns besides key and text are not read; an empty
     table gives an empty result. Nothing is shuffled.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"))
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    prepared = Scanner(templates, least)
+    prepared = Scanner(templates, least, stretch)
     one = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("first_word", pa.int64()), ("end_word", pa.int64())])
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
