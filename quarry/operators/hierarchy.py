@@ -28,16 +28,19 @@ def asset_levels(assets: DataFrame, mapping: DataFrame) -> DataFrame:
     general type that is only part of the asset's type comes last; ``_ignore`` never
     matches in part. Types without a match are ``other``.
     """
-    own = mapping.where("org IS NOT NULL").select("org", F.col("asset_type").alias("_t1"), F.col("level").alias("_own"))
+    own = mapping.where("org IS NOT NULL").select("org", F.col("asset_type").alias("_t1"), F.col("level").alias("_own"), F.col("priority").alias("_first"))
+    # a bank may match several organisations: one level a bank and type, of the least priority
+    named = (F.col("asset_type") == F.col("_t1")) & F.contains(F.lower("bank"), F.lower("org"))
+    own = assets.select("bank", "asset_type").distinct().join(own, named).groupBy("bank", "asset_type").agg(F.min_by("_own", "_first").alias("_own"))
     general = mapping.where("org IS NULL").select(F.col("asset_type").alias("_t2"), F.col("level").alias("_general"))
     # the mapping is a list of type names kept with the code; partial matches are tried on distinct types only
     types = assets.select("asset_type").distinct()
     inside = F.contains(F.lower("asset_type"), F.lower("_t3")) & (F.col("_partial") != "_ignore")
     parts = mapping.where("org IS NULL").select(F.col("asset_type").alias("_t3"), F.col("level").alias("_partial"), "priority")
     partial = types.join(F.broadcast(parts), inside).groupBy("asset_type").agg(F.min_by("_partial", "priority").alias("_partial"))
-    found = assets.join(own, (F.col("asset_type") == F.col("_t1")) & F.contains(F.lower("bank"), F.lower("org")), "left")
+    found = assets.join(own, ["bank", "asset_type"], "left")
     found = found.join(general, F.col("asset_type") == F.col("_t2"), "left").join(partial, "asset_type", "left")
-    return found.select(*(found[c] for c in assets.columns), F.coalesce("_own", "_general", "_partial", F.lit("other")).alias("level"))
+    return found.select(*assets.columns, F.coalesce("_own", "_general", "_partial", F.lit("other")).alias("level"))
 
 
 def tree(devices: DataFrame, levels: Sequence[str]) -> DataFrame:

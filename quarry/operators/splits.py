@@ -39,9 +39,10 @@ def group_splits(samples: DataFrame, group: str, *, targets: Sequence[float] = (
     cuts = inner.select(F.col("k").alias("c"), F.col("upto").cast("double").alias("at"), F.lit(1).alias("point"), F.lit(None).cast("struct<c1: int, u1: bigint>").alias("one"), "upto", "total")
     wanted = inner.select(F.lit(None).cast("int").alias("c"), lesser.alias("at"), F.lit(0).alias("point"), F.struct(F.col("k").alias("c1"), F.col("upto").alias("u1")).alias("one"), F.lit(None).cast("long").alias("upto"), "total")
     along = Window.orderBy("at", "point", "c")
+    back = Window.orderBy(F.col("at").desc(), F.col("point").desc(), F.col("c").desc())
     cut = F.when(F.col("point") == 1, F.struct(F.col("c").alias("c2"), F.col("upto").alias("u2")))
     near = cuts.unionByName(wanted).select(
-        "one", "total", F.first(cut, ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("x"),
+        "one", "total", F.last(cut, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)).alias("x"),
         F.last(cut, ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("y"),
     ).where("one IS NOT NULL").select("one.*", "total", F.explode(F.array("x", "y")).alias("s"))
     following = inner.select(

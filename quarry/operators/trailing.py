@@ -92,7 +92,8 @@ def asof_backward(
 def next_after(anchors: DataFrame, readings: DataFrame, *, by: Sequence[str] = ("device_id",)) -> DataFrame:
     """The time of the first reading strictly after each anchor, as next_us."""
     rows = _among(anchors, readings, by, [])
-    w = Window.partitionBy(*by).orderBy("us").rangeBetween(1, Window.unboundedFollowing)
+    # latest first, so the frame grows by one row at a time: "preceding" is later
+    w = Window.partitionBy(*by).orderBy(F.col("us").desc()).rangeBetween(Window.unboundedPreceding, -1)
     later = F.min(F.when(F.col("_anchor") == 0, F.col("us"))).over(w)
     return rows.withColumn("next_us", later).where("_anchor = 1").select(*by, F.col("us").alias("anchor_us"), "next_us")
 

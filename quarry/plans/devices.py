@@ -226,7 +226,7 @@ def src_partitioned_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_cap", F.col("n") > 180)
 
 
-@query(f"WITH {_CUTS}, {_ROWS} SELECT event_id, split FROM rows_ WHERE event_id % 2 = 0")
+@query(f"WITH {_CUTS}, {_ROWS} SELECT event_id, split FROM rows_")
 def src_features_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = sql(spark, sf_dir, _GROUPED).select("event_id")
     return features.join(_split_rows(spark, sf_dir).select("event_id", "split"), "event_id")
@@ -237,7 +237,7 @@ def agg_label_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl_samples(spark, sf_dir).groupBy("label_status", "censor_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH s AS (SELECT device_id, max_by(probability, {'a': anchor_us, 'b': arrival_seq}) AS probability FROM scored WHERE arrival_seq % 5 > 0 GROUP BY 1), k AS (SELECT device_id FROM devices WHERE customer_id IS NOT NULL AND lower(type) NOT IN ('test', 'demo', 'simulator', 'synthetic'))
+@query("""WITH s AS (SELECT device_id, max_by(probability, {'a': anchor_us, 'b': arrival_seq}) AS probability FROM scored GROUP BY 1), k AS (SELECT device_id FROM devices WHERE customer_id IS NOT NULL AND lower(type) NOT IN ('test', 'demo', 'simulator', 'synthetic'))
   SELECT k.device_id, probability, CASE WHEN probability IS NULL THEN 'NO_DATA' WHEN probability >= 0.5 THEN 'CRITICAL' WHEN probability >= 0.4 THEN 'HIGH' WHEN probability >= 0.25 THEN 'MEDIUM' ELSE 'HEALTHY' END AS tier FROM k LEFT JOIN s USING (device_id)""")
 def nightly_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eligible devices with the tier of their latest score, and those without one as NO_DATA."""

@@ -215,7 +215,7 @@ def win_daily_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.daily_changes(sql(spark, sf_dir, _NULLED))
 
 
-@query("SELECT key, count(DISTINCT device_id) AS n_devices, round(count(DISTINCT device_id) * 100.0 / 150, 2) AS pct FROM telemetry WHERE value_num IS NOT NULL OR value_text IS NOT NULL GROUP BY 1")
+@query("SELECT key, count(DISTINCT device_id) AS n_devices, round(count(DISTINCT device_id) * 100.0 / (SELECT count(DISTINCT device_id) FROM telemetry), 2) AS pct FROM telemetry WHERE value_num IS NOT NULL OR value_text IS NOT NULL GROUP BY 1")
 def agg_key_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.key_coverage(shape(spark, sf_dir, "telemetry"))
 
@@ -354,7 +354,7 @@ def join_manifest_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("clean_key", n.alias("n_devices"), F.when(n.isNull(), "NOT_POSTED").otherwise("LIVE").alias("status"))
 
 
-@query("""WITH c AS (SELECT device_id, max(probability) AS score FROM scored WHERE probability >= 0.9 GROUP BY 1), s AS (SELECT device_id, count(*) AS n_snapshots, count_if(evidence_type = 'lc_disconnect') AS n_offline, max(us) AS last_us FROM evidence WHERE arrival_seq % 5 = 0 GROUP BY 1),
+@query("""WITH c AS (SELECT device_id, max(probability) AS score FROM scored WHERE probability >= 0.9 GROUP BY 1), s AS (SELECT device_id, count(*) AS n_snapshots, count_if(evidence_type = 'lc_disconnect') AS n_offline, max(us) AS last_us FROM evidence GROUP BY 1),
   r AS (SELECT device_id, count(*) AS n_recoveries FROM alarms WHERE clear_us IS NOT NULL GROUP BY 1)
   SELECT c.device_id, score, coalesce(n_snapshots, 0) AS n_snapshots, coalesce(n_offline, 0) AS n_offline, last_us, coalesce(n_recoveries, 0) AS n_recoveries,
     CASE WHEN n_snapshots IS NULL THEN 'no_snapshots' WHEN n_offline > 0 THEN 'offline_seen' ELSE 'online_only' END AS coverage FROM c LEFT JOIN s USING (device_id) LEFT JOIN r USING (device_id)""")
@@ -370,7 +370,7 @@ def join_review_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("device_id", "score", zero("n_snapshots"), zero("n_offline"), "last_us", zero("n_recoveries"), verdict.alias("coverage"))
 
 
-@query("SELECT DISTINCT device_id FROM evidence WHERE evidence_strength = 'weak' EXCEPT SELECT device_id FROM evidence WHERE evidence_type = 'lc_disconnect' AND arrival_seq % 7 = 0")
+@query("SELECT DISTINCT device_id FROM evidence WHERE evidence_strength = 'weak' EXCEPT SELECT device_id FROM evidence WHERE evidence_type = 'lc_disconnect'")
 def set_except(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = shape(spark, sf_dir, "evidence")
     strong = e.where("evidence_type = 'lc_disconnect'").select("device_id")

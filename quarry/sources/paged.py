@@ -8,6 +8,7 @@ partition reads one device and key, and reports how complete the answer is.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -140,7 +141,7 @@ class SeriesReader(DataSourceReader):
 
         module, name = self._client.split(":")
         page = getattr(importlib.import_module(module), name)(partition.device_id, partition.key)
-        found = resolve(page, self._start, self._end)
+        found = resolve(lambda *window: with_retries(lambda: page(*window), sleep=time.sleep), self._start, self._end)
         for p in found.points:
             yield partition.device_id, partition.key, int(p["ts"]), json.dumps(p.get("value")), found.completeness, found.error
         if not found.points:

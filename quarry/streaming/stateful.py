@@ -43,16 +43,13 @@ def outage_pairs(marks: DataFrame) -> DataFrame:
     )
 
 
-def recoveries_of(rows: pd.DataFrame) -> pd.DataFrame:
-    """Recoveries of one device from its snapshots (us, is_offline, offline_since, connect_us).
+_SNAPSHOT = ("us", "is_offline", "offline_since", "connect_us")
 
-    The latest known offline time replaces an open start. An online snapshot closes
-    the outage at its connect time if that is after the start, else at its own; an end
-    before the start is passed over and the outage stays open.
-    """
-    found, start = [], None
-    ordered = rows.sort_values("us")
-    for us, offline, since, connect in zip(*(ordered[c].tolist() for c in ("us", "is_offline", "offline_since", "connect_us"))):
+
+def _recover(rows: pd.DataFrame, start: int | None) -> tuple[list[tuple[int, int, int]], int | None]:
+    """Recoveries (start, end, seen) in ordered snapshots of a device with an outage open since ``start``, and the start then open."""
+    found = []
+    for us, offline, since, connect in zip(*(rows[c].tolist() for c in _SNAPSHOT)):
         if offline:
             if not pd.isna(since):
                 start = int(since)
@@ -62,16 +59,38 @@ def recoveries_of(rows: pd.DataFrame) -> pd.DataFrame:
             end = int(connect) if not pd.isna(connect) and connect > start else int(us)
             if end < start:
                 continue
-            found.append((ordered["device_id"].iloc[0], start, end, int(us)))
+            found.append((start, end, int(us)))
             start = None
-    return pd.DataFrame(found, columns=["device_id", "outage_start", "outage_end", "seen_us"]).drop_duplicates(
-        ["device_id", "outage_start", "outage_end"]
-    )
+    return found, start
+
+
+def recoveries_of(rows: pd.DataFrame) -> pd.DataFrame:
+    """Recoveries of one device from its snapshots (us, is_offline, offline_since, connect_us).
+
+    The latest known offline time replaces an open start. An online snapshot closes
+    the outage at its connect time if that is after the start, else at its own; an end
+    before the start is passed over and the outage stays open.
+    """
+    ordered = rows.sort_values("us")
+    found, _ = _recover(ordered, None)
+    out = pd.DataFrame(found, columns=["outage_start", "outage_end", "seen_us"]).drop_duplicates(["outage_start", "outage_end"])
+    out.insert(0, "device_id", ordered["device_id"].iloc[0] if len(ordered) else None)
+    return out
 
 
 def recoveries(snapshots: DataFrame) -> DataFrame:
-    """``recoveries_of`` for all devices; a device has one snapshot a night, so a group is small."""
-    return snapshots.groupBy("device_id").applyInPandas(recoveries_of, RECOVERY_SCHEMA)
+    """``recoveries_of`` for all devices, batch by batch in order of time: a device is never held whole, only its open start."""
+    ordered = snapshots.select("device_id", *_SNAPSHOT).repartition("device_id").sortWithinPartitions("device_id", "us")
+
+    def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        device, start = None, None
+        for batch in batches:
+            for own, rows in batch.groupby("device_id", sort=False):
+                found, start = _recover(rows, start if own == device else None)
+                device = own
+                yield pd.DataFrame([(own, *f) for f in found], columns=["device_id", "outage_start", "outage_end", "seen_us"])
+
+    return ordered.mapInPandas(close, RECOVERY_SCHEMA).groupBy("device_id", "outage_start", "outage_end").agg(F.min("seen_us").alias("seen_us"))
 
 
 def freshness(events: DataFrame, *, late: str = "1 hour", width: str = "6 hours", slide: str = "3 hours") -> DataFrame:
