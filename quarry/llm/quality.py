@@ -83,9 +83,10 @@ def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20_000, seed: i
         return None
     share = min(1.0, max_rows / total)
     chosen = known.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    # the sample is bounded by max_rows, so its ids may be broadcast; an id of several rows counts once, by its least text
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
-    sample = with_stats(rows, keep=("quality",)).toPandas().sort_values("doc_id")
+    # the sample is bounded by max_rows, so its ids may be broadcast; an id of several rows counts once, by its least statistics
+    rows = with_stats(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), keep=("quality",))
+    one = rows.groupBy("doc_id").agg(F.min(F.struct(*rows.columns[1:])).alias("s")).select("doc_id", "s.*")
+    sample = one.toPandas().sort_values("doc_id")
     y = sample["quality"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         return None
