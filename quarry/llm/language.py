@@ -5,8 +5,9 @@ letters: the first one permuted twice, the second once, the third not, multiplie
 element by element. A text is the sum (bundle) of its trigram vectors, a language the
 sum over its training texts, and a text is given the language of greatest cosine.
 
-Since a bundle is linear in trigram counts, training adds up counts by language as
-a Spark aggregation and multiplies with the vectors once.
+Each code point that is a letter has a vector, made from a seed of its own, so workers
+agree without a table. Since a bundle is a sum, training bundles texts where they are and
+adds up the bundles of a language as a Spark aggregation.
 """
 
 from __future__ import annotations
@@ -23,73 +24,76 @@ from .bit_filter import maybe_in
 from .storage import settle
 
 DIMENSIONS = 1024
-#: Letters fall into this many classes: a to z, classes for all others by code point, and the gap between words.
-CLASSES = 64
-_GAP = CLASSES - 1
-_TABLE_SIZE = 0x3000
-
-
-def _letter_class(code: int) -> int:
-    c = chr(code)
-    if not c.isalpha():
-        return _GAP
-    if "a" <= c <= "z":
-        return code - 97
-    return 26 + (code * 2654435761 >> 7) % (_GAP - 26)
-
-
-_TABLE: np.ndarray | None = None
+#: The code that stands for all between two words; no letter has it.
+GAP = 0
+#: A trigram is one number: three code points of 21 bits.
+_BITS = 21
+_LOW = (1 << _BITS) - 1
+#: Most characters of a text that are bundled at a time, and most trigram vectors that a worker keeps.
+_BLOCK = 1 << 20
+_SLOTS = 1 << 16
+
+_letters: np.ndarray | None = None
+
+
+def letter_codes(text: str) -> np.ndarray:
+    """Code points of the lower-cased text's letters, a run of others as one gap, gaps at both ends."""
+    global _letters
+    if _letters is None:
+        _letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = np.concatenate([[GAP], np.where(_letters[codes], codes, GAP), [GAP]]).astype(np.uint32)
+    return codes[np.r_[True, (codes[1:] != GAP) | (codes[:-1] != GAP)]]
 
 
-def letter_classes(text: str) -> np.ndarray:
-    """Classes of the lower-cased text's characters, runs of non-letters as one gap, gaps at both ends."""
-    global _TABLE
-    if _TABLE is None:
-        _TABLE = np.array([_letter_class(c) for c in range(_TABLE_SIZE)], np.uint8)
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    if codes.size and codes.max() >= _TABLE_SIZE:
-        far = codes >= _TABLE_SIZE
-        found = _TABLE[np.where(far, 0, codes)]
-        found[far] = [_letter_class(int(c)) for c in codes[far]]
-    else:
-        found = _TABLE[codes]
-    found = np.concatenate([[_GAP], found, [_GAP]])
-    return found[np.r_[True, (found[1:] != _GAP) | (found[:-1] != _GAP)]]
-
-
-def trigram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram numbers below CLASSES ** 3, and how often each occurs."""
-    c = letter_classes(text).astype(np.int64)
+def trigram_counts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the trigrams of a run of codes, and how often each occurs."""
+    c = codes.astype(np.int64)
     if len(c) < 3:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.unique((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], return_counts=True)
+    return np.unique((c[:-2] << _BITS | c[1:-1]) << _BITS | c[2:], return_counts=True)
 
 
 class TrigramVectors:
-    """Vectors of trigrams, made when first asked for and kept; at most CLASSES ** 3 rows of int8."""
+    """Vectors of letters, each from its own seed, and of trigrams; the last ones made are kept in a fixed number of slots."""
 
     def __init__(self, seed: int = 20, dimensions: int = DIMENSIONS) -> None:
-        letters = np.random.default_rng(seed).integers(0, 2, (CLASSES, dimensions), np.int8) * 2 - 1
-        self._first, self._second, self._third = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1), letters
-        self._place = np.full(CLASSES**3, -1, np.int32)
-        self._rows = np.zeros((1024, dimensions), np.int8)
-        self._used = 0
+        self._seed, self._dimensions = seed, dimensions
+        self._known: dict[int, np.ndarray] = {}
+        self._owner = np.full(_SLOTS, -1, np.int64)
+        self._rows = np.zeros((_SLOTS, dimensions), np.int8)
+
+    def letter(self, code: int) -> np.ndarray:
+        if code not in self._known:
+            self._known[code] = np.random.default_rng([self._seed, code]).integers(0, 2, self._dimensions, np.int8) * 2 - 1
+        return self._known[code]
+
+    def _letters(self, codes: np.ndarray) -> np.ndarray:
+        different, place = np.unique(codes, return_inverse=True)
+        return np.stack([self.letter(int(c)) for c in different])[place]
+
+    def bound(self, trigrams: np.ndarray) -> np.ndarray:
+        """The product of the first letter's vector permuted twice, the second's once and the third's."""
+        first, second = self._letters(trigrams >> 2 * _BITS), self._letters(trigrams >> _BITS & _LOW)
+        return np.roll(first, 2, axis=1) * np.roll(second, 1, axis=1) * self._letters(trigrams & _LOW)
 
     def of(self, trigrams: np.ndarray) -> np.ndarray:
-        new = trigrams[self._place[trigrams] < 0]
+        slot = (trigrams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(np.int64)
+        out = self._rows[slot]
+        new = np.flatnonzero(self._owner[slot] != trigrams)
         if len(new):
-            while self._used + len(new) > len(self._rows):
-                self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
-            made = self._first[new // CLASSES**2] * self._second[new // CLASSES % CLASSES] * self._third[new % CLASSES]
-            self._rows[self._used : self._used + len(new)] = made
-            self._place[new] = np.arange(self._used, self._used + len(new))
-            self._used += len(new)
-        return self._rows[self._place[trigrams]]
-
-    def bundle(self, trigrams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        out = np.zeros(self._rows.shape[1], np.float32)
-        for at in range(0, len(trigrams), 4096):
-            out += counts[at : at + 4096].astype(np.float32) @ self.of(trigrams[at : at + 4096]).astype(np.float32)
+            out[new] = made = self.bound(trigrams[new])
+            slots, at = np.unique(slot[new], return_index=True)
+            self._rows[slots], self._owner[slots] = made[at], trigrams[new][at]
+        return out
+
+    def bundle(self, text: str) -> np.ndarray:
+        """The sum of the vectors of all trigrams of the text; whole numbers, so exact in any order."""
+        codes, out = letter_codes(text), np.zeros(self._dimensions)
+        for start in range(0, len(codes) - 2, _BLOCK):
+            trigrams, counts = trigram_counts(codes[start : start + _BLOCK + 2])
+            for at in range(0, len(trigrams), 4096):
+                out += counts[at : at + 4096].astype(np.float32) @ self.of(trigrams[at : at + 4096]).astype(np.float32)
         return out
 
 
@@ -116,16 +120,18 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def learn(docs: DataFrame, *, max_rows_per_lang: int = 4000) -> Profiles:
+def learn(docs: DataFrame, *, max_rows_per_lang: int = 4000, max_langs: int = 10_000) -> Profiles:
     """Profiles of all languages in rows with a text, a lang and a doc_id that trains.
 
     About ``max_rows_per_lang`` rows of each language are used, chosen by a hash of
-    doc_id; their trigram counts are summed on the executors, so the driver gets at
-    most languages * CLASSES ** 3 rows.
+    doc_id. Bundles are summed on the executors, so the driver gets DIMENSIONS numbers
+    for each language; over ``max_langs`` languages are an error.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang")
     share = usable.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(max_rows_per_lang)) / F.count(F.lit(1))).alias("share"))
     share = settle(share, "language-shares")  # one row per language, so that the planner knows how small it is
+    if (n := share.count()) > max_langs:
+        raise ValueError(f"{n} languages, more than max_langs={max_langs}")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = usable.join(share, "lang").where(place < F.col("share"))
     chosen = settle(chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct(), "language-sample")
@@ -134,27 +140,24 @@ def learn(docs: DataFrame, *, max_rows_per_lang: int = 4000) -> Profiles:
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))
     sample = near.where("text IS NOT NULL").join(chosen, same, "left_semi").select("lang", "text")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                trigrams, counts = trigram_counts(text)
-                sums.setdefault(lang, np.zeros(CLASSES**3, np.int64))[trigrams] += counts
+                sums[lang] = sums.get(lang, 0) + _shared_vectors().bundle(text)
         for lang, total in sums.items():
-            there = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(there), pa.string()), pa.array(there), pa.array(total[there])], names=["lang", "trigram", "n"]
+                [pa.array([lang] * len(total), pa.string()), pa.array(range(len(total)), pa.int32()), pa.array(total.astype(np.int64))],
+                names=["lang", "place", "n"],
             )
 
-    counted = sample.mapInArrow(count, "lang string, trigram long, n long").groupBy("lang", "trigram").agg(F.sum("n").alias("n"))
-    table = counted.toPandas()
+    table = sample.mapInArrow(bundled, "lang string, place int, n long").groupBy("lang", "place").agg(F.sum("n").alias("n")).toPandas()
     names = tuple(sorted(table["lang"].unique()))
-    vectors = np.zeros((len(names), DIMENSIONS), np.float32)
-    gap = (_GAP * CLASSES + _GAP) * CLASSES + _GAP
+    vectors = np.zeros((len(names), DIMENSIONS))
     for k, name in enumerate(names):
-        own = table[(table["lang"] == name) & (table["trigram"] != gap)].sort_values("trigram")
-        bundle = _shared_vectors().bundle(own["trigram"].to_numpy(), own["n"].to_numpy())
-        vectors[k] = bundle / max(float(np.linalg.norm(bundle)), 1e-9)
+        own = table[table["lang"] == name]
+        vectors[k, own["place"].to_numpy()] = own["n"].to_numpy()
+        vectors[k] /= max(float(np.linalg.norm(vectors[k])), 1e-9)
     return Profiles(names, vectors)
 
 
@@ -162,10 +165,9 @@ def predict_text(text: str | None, profiles: Profiles) -> tuple[str, float]:
     """The language of greatest cosine, first by name on ties; ``und`` without a letter or profile."""
     if not text or not profiles.names:
         return "und", 0.0
-    trigrams, counts = trigram_counts(text)
-    if not len(trigrams):
+    if not any(c.isalpha() for c in text):
         return "und", 0.0
-    bundle = _shared_vectors().bundle(trigrams, counts)
+    bundle = _shared_vectors().bundle(text)
     cosines = profiles.vectors @ bundle / max(float(np.linalg.norm(bundle)), 1e-9)
     k = int(np.argmax(cosines))
     return profiles.names[k], float(np.clip(cosines[k], 0.0, 1.0))
@@ -176,7 +178,8 @@ def identify(docs: DataFrame, profiles: Profiles, *, key: str = "doc_id", text:
 
     Only the text decides. Null texts, empty texts and texts without a letter get
     ``und`` and score 0, as does everything where no language was learnt. Repeated
-    rows get equal results; a null id is allowed. Other columns are not read.
+    rows get equal results; a null id is allowed. Very long texts are bundled in blocks,
+    with the same result. Other columns are not read.
     """
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -387,11 +387,53 @@ def test_language_cases(corpus, no_rows, docs):
     assert language.learn(corpus).names
 
 
-def test_bundles_are_linear_in_counts():
-    v = language.TrigramVectors(dimensions=64)
-    t, n = language.trigram_counts("abc abcd Ünï 日本")
-    direct = sum(c * v.of(np.array([k]))[0].astype(float) for k, c in zip(t, n))
-    assert np.allclose(v.bundle(t, n), direct)
+def plain_bundle(text: str, vectors: language.TrigramVectors) -> list[int]:
+    """Trigram by trigram and number by number, from the vectors of letters alone."""
+    letters = [0]
+    for c in text.lower():
+        if c.isalpha() or letters[-1]:
+            letters.append(ord(c) if c.isalpha() else 0)
+    if letters[-1]:
+        letters.append(0)
+    total, size = [0] * 64, 64
+    for a, b, c in zip(letters, letters[1:], letters[2:]):
+        va, vb, vc = vectors.letter(a), vectors.letter(b), vectors.letter(c)
+        for i in range(size):
+            total[i] += int(va[i - 2]) * int(vb[i - 1]) * int(vc[i])
+    return total
+
+
+@pytest.mark.parametrize("text", ["", "1 2 3", "x", "abc abcd Ünï 日本", "日本語 日本 にほん", "Ελληνικά και Кириллица! x9y", "ab" * 300])
+def test_bundles_equal_plain_sums(text, monkeypatch):
+    vectors = language.TrigramVectors(dimensions=64)
+    assert vectors.bundle(text).tolist() == plain_bundle(text, vectors)
+    monkeypatch.setattr(language, "_BLOCK", 5)
+    monkeypatch.setattr(vectors, "_owner", np.full(language._SLOTS, -1, np.int64))
+    assert vectors.bundle(text).tolist() == plain_bundle(text, vectors)
+
+
+def test_letters_of_any_script_have_vectors_of_their_own():
+    vectors = language.TrigramVectors()
+    a, b = (vectors.letter(ord(c)).astype(int) for c in "日本")
+    assert abs(int(a @ b)) < 200 and (a == vectors.letter(ord("日"))).all()
+
+
+def test_profiles_and_predictions_equal_a_plain_loop(docs):
+    profiles = language.learn(docs)
+    vectors = language.TrigramVectors()
+    rows = [r for r in docs.collect() if r.text is not None]
+    sums: dict[str, np.ndarray] = {}
+    for r in rows:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            sums[r.lang] = sums.get(r.lang, 0) + vectors.bundle(r.text)
+    assert profiles.names == tuple(sorted(sums))
+    for name, found in zip(profiles.names, profiles.vectors):
+        assert np.allclose(found, sums[name] / np.linalg.norm(sums[name]))
+    said = {r.doc_id: r.lang_pred for r in language.identify(docs, profiles).collect()}
+    for r in rows[:200]:
+        if any(c.isalpha() for c in r.text):
+            likeness = {n: float(v @ vectors.bundle(r.text)) for n, v in sums.items()}
+            assert said[r.doc_id] == max(sorted(likeness), key=lambda n: likeness[n] / np.linalg.norm(sums[n]))
 
 
 # ---- suffix dedup
