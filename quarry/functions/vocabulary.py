@@ -16,6 +16,9 @@ OFFLINE_STATES = ["false", "0", "off", "offline", "inactive", "disconnected", "d
 ONLINE_STATES = ["true", "1", "on", "online", "active", "connected", "connect", "up", "healthy"]
 OFFLINE_TEXT = r"(?i)\b(disconnect(?:ed)?|offline|inactive|inactivity|no[_ -]?data|heartbeat[_ -]?stop|down)\b"
 ONLINE_TEXT = r"(?i)\b(connect(?:ed)?|online|active|activity|up)\b"
+#: Texts that speak of a device out of reach, and texts that are a number.
+BAD_TEXT = r"(?i)offline|no[_ -]?data|inactiv|disconnect|heartbeat[_ -]?stop|down|not responding"
+NUMBER_TEXT = r"^\s*-?\d+(\.\d+)?\s*$"
 CAMERA_CHANNEL = r"(?i)^(BOI-\s*)?CAMERA\s+(TAMPER|DISCONNECT)"
 
 #: Keys that must not become features; the first match gives the reason.

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalars import DAY_US, HOUR_US
+from quarry.functions.vocabulary import BAD_TEXT, NUMBER_TEXT
 
 
 class LeakageError(AssertionError):
@@ -35,18 +36,7 @@ def _among(anchors: DataFrame, readings: DataFrame, by: Sequence[str], values: S
     return readings.select(*by, "us", F.lit(0).alias("_anchor"), *values).unionByName(marks)
 
 
-def trailing_stats(
-    anchors: DataFrame, readings: DataFrame, hours: Sequence[int], *, by: Sequence[str] = ("device_id", "key"),
-    closed: bool = False, min_n: int = 6, cadence_s: int = 300, with_last: bool = False,
-) -> DataFrame:
-    """n, mean, min, max, std, slope (per hour) and missing_frac of value_num before each anchor.
-
-    The window is (T - w, T], or [T - w, T] if ``closed``. std and slope need
-    max(2, min_n) values; closed windows give std 0 for a single value instead.
-    ``with_last`` adds source_us and value_num of the last reading at or before T, in
-    the same pass.
-    """
-    rows = _among(anchors, readings, by, ["value_num", "arrival_seq"] if with_last else ["value_num"])
+def _frame_stats(by: Sequence[str], hours: Sequence[int], closed: bool, min_n: int, cadence_s: int) -> list[Column]:
     value, x = F.col("value_num"), F.when(F.col("value_num").isNotNull(), F.col("us") / float(HOUR_US))
     out = []
     for h in hours:
@@ -63,6 +53,22 @@ def trailing_stats(
             out.append(F.when(enough & (F.var_pop(x).over(w) > 0), F.regr_slope(value, x).over(w)).alias(f"slope_{h}h"))
             expected = max(1.0, h * 3600 / cadence_s)
             out.append(F.greatest(F.lit(0.0), F.lit(1.0) - n / F.lit(expected)).alias(f"missing_frac_{h}h"))
+    return out
+
+
+def trailing_stats(
+    anchors: DataFrame, readings: DataFrame, hours: Sequence[int], *, by: Sequence[str] = ("device_id", "key"),
+    closed: bool = False, min_n: int = 6, cadence_s: int = 300, with_last: bool = False,
+) -> DataFrame:
+    """n, mean, min, max, std, slope (per hour) and missing_frac of value_num before each anchor.
+
+    The window is (T - w, T], or [T - w, T] if ``closed``. std and slope need
+    max(2, min_n) values; closed windows give std 0 for a single value instead.
+    ``with_last`` adds source_us and value_num of the last reading at or before T, in
+    the same pass.
+    """
+    rows = _among(anchors, readings, by, ["value_num", "arrival_seq"] if with_last else ["value_num"])
+    out = _frame_stats(by, hours, closed, min_n, cadence_s)
     if with_last:
         # the greatest (time, arrival) so far is the last reading; its frame shares order and shuffle with the others
         so_far = Window.partitionBy(*by).orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
@@ -112,25 +118,130 @@ def capped_last(found: DataFrame, fill_cap_h: float = 6, stale_h: float = 24) ->
     )
 
 
+def _text_rows(readings: DataFrame, by: Sequence[str], hours: int, numeric: bool) -> DataFrame:
+    """Readings with _text, _moved and _step, and a row of step -1 where a text stops counting as a value of its window.
+
+    A text counts from its time until the same text comes again or it is ``hours`` old,
+    so the steps so far add up to the different texts of a window.
+    """
+    text = F.when(F.col("value_num").isNull(), F.col("value_text")) if numeric else F.col("value_text")
+    order = Window.partitionBy(*by).orderBy("us", "arrival_seq")
+    before = F.last("_text", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    again = F.lead("us").over(Window.partitionBy(*by, "_text").orderBy("us", "arrival_seq"))
+    there = F.col("_text").isNotNull()
+    marked = readings.withColumn("_text", text).withColumns(
+        {
+            "_moved": F.when(there, F.when(F.col("_text") != before, 1).otherwise(0)),
+            "_until": F.when(there, F.least(F.col("us") + hours * HOUR_US, again)),
+        }
+    )
+    values = ["value_num"] if numeric else []
+    kinds = readings.schema
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    reading = F.struct(
+        "us", F.lit(0).alias("_anchor"), "arrival_seq", *values, "_text", "_moved", F.when(there, 1).alias("_step")
+    )
+    end = F.struct(
+        F.col("_until").alias("us"), F.lit(2).alias("_anchor"), none("arrival_seq", kinds["arrival_seq"].dataType),
+        *(none(v, kinds[v].dataType) for v in values), none("_text", "string"), none("_moved", "int"), F.lit(-1).alias("_step"),
+    )
+    return marked.select(*by, F.inline(F.when(there, F.array(reading, end)).otherwise(F.array(reading))))
+
+
+def _anchor_rows(anchors: DataFrame, rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    marks = anchors.select(*by, F.col("anchor_us").alias("us"), F.lit(1).alias("_anchor"))
+    return rows.unionByName(marks, allowMissingColumns=True)
+
+
+def _text_counts(by: Sequence[str], hours: int, suffix: str = "") -> list[Column]:
+    order = Window.partitionBy(*by).orderBy("us")
+    inside, so_far = order.rangeBetween(-(hours * HOUR_US) + 1, 0), order.rangeBetween(Window.unboundedPreceding, 0)
+    changes = F.sum("_moved").over(inside) - F.first("_moved", ignorenulls=True).over(inside)
+    return [
+        F.count("_text").over(inside).alias(f"text_n{suffix}"),
+        F.coalesce(F.sum("_step").over(so_far), F.lit(0)).cast("long").alias(f"text_distinct{suffix}"),
+        F.coalesce(changes, F.lit(0)).cast("long").alias(f"text_changes{suffix}"),
+    ]
+
+
 def text_stats(anchors: DataFrame, readings: DataFrame, *, hours: int = 24, by: Sequence[str] = ("device_id", "key")) -> DataFrame:
     """Count, distinct values and changes of value_text in (T - hours, T].
 
     A change is counted if it and the value before it are inside the window.
     """
-    order = Window.partitionBy(*by).orderBy("us", "arrival_seq")
-    text = readings.where("value_text IS NOT NULL").select(*by, "us", "arrival_seq", "value_text")
-    moved = F.when(F.col("value_text") != F.lag("value_text").over(order), 1).otherwise(0)
-    rows = _among(anchors, text.withColumn("_moved", moved), by, ["value_text", "_moved"])
-    w = Window.partitionBy(*by).orderBy("us").rangeBetween(-(hours * HOUR_US) + 1, 0)
-    n = F.count("value_text").over(w)
-    changes = F.sum("_moved").over(w) - F.first("_moved", ignorenulls=True).over(w)
-    return (
-        rows.select(
-            *by, "us", "_anchor", n.alias("text_n"), F.size(F.collect_set("value_text").over(w)).cast("long").alias("text_distinct"),
-            F.coalesce(changes, F.lit(0)).cast("long").alias("text_changes"),
-        )
-        .where("_anchor = 1").drop("_anchor").withColumnRenamed("us", "anchor_us")
+    texts = readings.where("value_text IS NOT NULL").select(*by, "us", "arrival_seq", "value_text")
+    rows = _anchor_rows(anchors, _text_rows(texts, by, hours, numeric=False), by)
+    found = rows.select(*by, "us", "_anchor", *_text_counts(by, hours))
+    return found.where("_anchor = 1").drop("_anchor").withColumnRenamed("us", "anchor_us")
+
+
+def key_features(
+    anchors: DataFrame, readings: DataFrame, hours: Sequence[int] = (1, 6, 24, 168), *, text_hours: int = 24,
+    by: Sequence[str] = ("device_id", "key"), min_n: int = 6, cadence_s: int = 300,
+) -> DataFrame:
+    """All statistics of numbers and texts before each anchor, and row counts, in one shuffle by device and key.
+
+    A reading with value_num is numeric, another with value_text a text; both count as
+    rows. source_us and value_num are those of the last numeric reading; row_us is the
+    time of the last reading of any kind. Keys without a reading have counts of 0.
+    """
+    rows = _anchor_rows(anchors, _text_rows(readings, by, text_hours, numeric=True), by)
+    order = Window.partitionBy(*by).orderBy("us")
+    so_far, day = order.rangeBetween(Window.unboundedPreceding, 0), order.rangeBetween(-24 * HOUR_US + 1, 0)
+    reading = F.when(F.col("_anchor") == 0, F.col("us"))
+    number = F.when(F.col("value_num").isNotNull(), F.struct("us", "arrival_seq", "value_num"))
+    text = F.when(F.col("_text").isNotNull(), F.struct("us", "arrival_seq", "_text"))
+    found = rows.select(
+        *by, "us", "_anchor", *_frame_stats(by, hours, False, min_n, cadence_s), *_text_counts(by, text_hours, f"_{text_hours}h"),
+        F.count(reading).over(so_far).alias("rows_total"), F.count(reading).over(day).alias("rows_24h"),
+        F.max(reading).over(so_far).alias("row_us"), F.max(number).over(so_far).alias("_number"), F.max(text).over(so_far).alias("_said"),
+    ).where("_anchor = 1")
+    said = F.col("_said._text")
+    flag = lambda pattern: F.when(said.isNotNull(), F.when(said.rlike(pattern), 1).otherwise(0))
+    return found.withColumnRenamed("us", "anchor_us").withColumns(
+        {
+            "source_us": F.col("_number.us"),
+            "value_num": F.col("_number.value_num"),
+            "text_last_age_h": (F.col("anchor_us") - F.col("_said.us")) / float(HOUR_US),
+            "text_last_len": F.length(said),
+            "text_bad_flag": flag(BAD_TEXT),
+            "text_last_numeric": flag(NUMBER_TEXT),
+        }
+    ).drop("_anchor", "_number", "_said")
+
+
+def own_norm_features(
+    anchors: DataFrame, readings: DataFrame, hours: Sequence[int] = (1, 6, 24, 168), *, fill_cap_h: float = 6, streak_keys: int = 10,
+    by: Sequence[str] = ("device_id", "key"),
+) -> DataFrame:
+    """Rows by anchor and key for the anomaly features: windows [T - w, T], carried values, z against the own norm, gaps.
+
+    The age is that of the last reading of any kind, the carried value that of the last
+    number, if the age is within ``fill_cap_h``; beyond it the key is stale. Gaps are
+    those of the ``streak_keys`` keys of a device with most readings (ties by key).
+    A key has three rows per anchor, each with its own columns, for ``pivot_features``.
+    """
+    rows = _among(anchors, readings, by, ["value_num", "arrival_seq"])
+    so_far = Window.partitionBy(*by).orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
+    reading = F.when(F.col("_anchor") == 0, F.col("us"))
+    number = F.when(F.col("value_num").isNotNull(), F.struct("us", "arrival_seq", "value_num"))
+    stats = rows.select(
+        *by, "us", "_anchor", *_frame_stats(by, hours, True, 1, 300), F.count(reading).over(so_far).alias("rows_total"),
+        F.max(reading).over(so_far).alias("row_us"), F.max(number).over(so_far).alias("_number"),
+    ).where("_anchor = 1").withColumnRenamed("us", "anchor_us")
+    seen, age = F.col("_number").isNotNull(), (F.col("anchor_us") - F.col("row_us")) / float(HOUR_US)
+    carried = stats.select(
+        *by, "anchor_us", "rows_total", "row_us", F.when(seen, age).alias("last_age_h"),
+        F.when(age <= fill_cap_h, F.col("_number.value_num")).alias("last"), F.when(seen, F.when(age > fill_cap_h, 1).otherwise(0)).alias("stale"),
+        *(F.when(seen | (F.lit(h == 1) & (F.col("rows_total") > 0)), F.col(f"n_{h}h")).alias(f"count_{h}h") for h in hours),
+        *(f"{stat}_{h}h" for h in hours for stat in ("mean", "std", "min", "max")),
     )
+    z = baseline_z(anchors, readings, by=by)
+    sizes = readings.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))  # one row per device and key
+    most = Window.partitionBy(*by[:-1]).orderBy(F.col("_n").desc(), by[-1])
+    busy = sizes.withColumn("_rank", F.row_number().over(most)).where(F.col("_rank") <= streak_keys).select(*by)
+    gaps = longest_gap(anchors.join(busy, list(by), "left_semi"), readings.where("value_num IS NOT NULL"), by=by)
+    return carried.unionByName(z, allowMissingColumns=True).unionByName(gaps, allowMissingColumns=True)
 
 
 def baseline_z(
@@ -168,12 +279,18 @@ def baseline_z(
 
 
 def longest_gap(anchors: DataFrame, readings: DataFrame, *, days: int = 7, by: Sequence[str] = ("device_id", "key")) -> DataFrame:
-    """The longest time between two readings of which the later lies in [T - days, T], in hours."""
+    """The longest time in hours between two readings, in the ``days`` up to the last one at or before T.
+
+    A gap belongs to its later reading. Null if the last gap is of before T - days.
+    """
     order = Window.partitionBy(*by).orderBy("us")
-    gaps = readings.select(*by, "us", ((F.col("us") - F.lag("us").over(order)) / float(HOUR_US)).alias("gap_h"))
-    rows = _among(anchors, gaps, by, ["gap_h"])
-    w = order.rangeBetween(-days * DAY_US, 0)
-    return rows.withColumn("gap_max_h", F.max("gap_h").over(w)).where("_anchor = 1").select(*by, F.col("us").alias("anchor_us"), "gap_max_h")
+    gaps = readings.select(*by, "us", ((F.col("us") - F.lag("us").over(order)) / float(HOUR_US)).alias("gap_h")).where("gap_h IS NOT NULL")
+    worst = gaps.select(*by, "us", F.struct(F.col("us").alias("at"), F.max("gap_h").over(order.rangeBetween(-days * DAY_US + 1, 0)).alias("gap_h")).alias("g"))
+    rows = _among(anchors, worst, by, ["g"])
+    last = F.last("g", ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0))
+    found = rows.select(*by, "us", "_anchor", last.alias("g")).where("_anchor = 1")
+    near = F.col("g.at") >= F.col("us") - days * DAY_US
+    return found.select(*by, F.col("us").alias("anchor_us"), F.when(near, F.col("g.gap_h")).alias("gap_max_h"))
 
 
 def require_no_leakage(features: DataFrame, source: str = "source_us", anchor: str = "anchor_us") -> DataFrame:

@@ -9,7 +9,7 @@ from quarry.functions.scalars import DAY_US, HOUR_US
 from quarry.operators import grid, hierarchy, metrics, outages, payloads, quality, scoring, splits, trailing
 from quarry.sources.tables import shape, sql, table
 
-from .features import _ANCHORS, KEYS, START_US, anchors_of
+from .features import _ANCHORS, _OBSERVED, _rounded, KEYS, START_US, STEP_US, WINDOWS, anchors_of
 from .labels import _CUTS, _GROUPED, _ROWS, _labels_sql, _split_rows, lbl_samples
 from .registry import ORACLES, query
 
@@ -128,17 +128,57 @@ def sink_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- composites ---------------------------------------------------------------------------------------------------
 
 
-@query(f"""WITH {_ANCHORS}, own AS (SELECT device_id, max(us) AS last_us FROM telemetry GROUP BY 1), a AS (SELECT anchors.* FROM anchors JOIN own USING (device_id) WHERE anchor_us <= last_us),
-  w AS (SELECT a.device_id, a.key, a.anchor_us, count(value_num) AS n, CASE WHEN count(value_num) = 1 THEN 0.0 ELSE stddev_samp(value_num) END AS sd
-    FROM a LEFT JOIN telemetry r ON a.device_id = r.device_id AND a.key = r.key AND r.us BETWEEN a.anchor_us - {24 * HOUR_US} AND a.anchor_us GROUP BY ALL)
-  SELECT device_id, anchor_us, """ + ", ".join(f"max(n) FILTER (key = '{k}') AS {k}__n_24h, round(max(sd) FILTER (key = '{k}'), 6) AS {k}__std_24h" for k in KEYS) + " FROM w GROUP BY ALL")
+_SPARSE = """SELECT device_id, key, us, arrival_seq, CASE WHEN arrival_seq % 7 <> 3 THEN value_num END AS value_num FROM {telemetry}"""
+
+
+def _anomaly_sql(streak_keys: int = 3) -> str:
+    per_key = ", ".join(
+        f"max(last) FILTER (key = '{k}') AS {k}__last, max(last_age_h) FILTER (key = '{k}') AS {k}__last_age_h, max(stale) FILTER (key = '{k}') AS {k}__stale, "
+        + ", ".join(f"max(count_{h}h) FILTER (key = '{k}') AS {k}__count_{h}h" for h in WINDOWS) + ", "
+        + ", ".join(f"round(max({s}_{h}h) FILTER (key = '{k}'), 6) AS {k}__{s}_{h}h" for h in WINDOWS for s in ("mean", "std", "min", "max"))
+        + f", max(z) FILTER (key = '{k}') AS {k}__z24h_vs_28d, max(gap) FILTER (key = '{k}') AS {k}__gap_max_7d"
+        for k in KEYS
+    )
+    value = lambda h: f"CASE WHEN r.us >= a.anchor_us - {h * HOUR_US} THEN value_num END"
+    windows = ", ".join(
+        f"CASE WHEN count(value_num) > 0 {'OR count(r.us) > 0' if h == 1 else ''} THEN count({value(h)}) END AS count_{h}h, avg({value(h)}) AS mean_{h}h, "
+        f"CASE WHEN count({value(h)}) = 1 THEN 0.0 ELSE stddev_samp({value(h)}) END AS std_{h}h, min({value(h)}) AS min_{h}h, max({value(h)}) AS max_{h}h" for h in WINDOWS
+    )
+    age = f"(a.anchor_us - max(r.us)) / {float(HOUR_US)}"
+    return f"""WITH sparse AS ({_SPARSE.replace("{telemetry}", "telemetry")}), own AS (SELECT device_id, min(us) + {12 * HOUR_US} AS start_us, max(us) AS end_us FROM sparse GROUP BY 1),
+  da AS (SELECT device_id, unnest(generate_series(start_us - start_us % {STEP_US}, end_us, {STEP_US})) AS anchor_us FROM own), a AS (SELECT * FROM da CROSS JOIN (SELECT unnest({KEYS}) AS key)),
+  long AS (SELECT a.device_id, a.key, a.anchor_us, {windows}, count(r.us) AS n_rows, max(r.us) AS row_us, CASE WHEN count(value_num) > 0 THEN {age} END AS last_age_h,
+      CASE WHEN {age} <= 6 THEN arg_max(value_num, {{'a': r.us, 'b': arrival_seq}}) FILTER (value_num IS NOT NULL) END AS last, CAST(CASE WHEN count(value_num) > 0 THEN CASE WHEN {age} > 6 THEN 1 ELSE 0 END END AS INTEGER) AS stale
+    FROM a LEFT JOIN sparse r ON a.device_id = r.device_id AND a.key = r.key AND r.us <= a.anchor_us GROUP BY a.device_id, a.key, a.anchor_us),
+  {_OBSERVED.replace("FROM telemetry", "FROM sparse")},
+  n AS (SELECT a.*, o.us AS r_us, o.recent FROM a ASOF LEFT JOIN observed o ON a.device_id = o.device_id AND a.key = o.key AND a.anchor_us >= o.us),
+  cuts AS (SELECT *, anchor_us - {24 * HOUR_US} AS cut FROM n),
+  j AS (SELECT s.*, o.us AS j_us, o.base_mean, o.base_sd, o.base_n FROM cuts s ASOF LEFT JOIN observed o ON s.device_id = o.device_id AND s.key = o.key AND s.cut >= o.us),
+  zs AS (SELECT device_id, key, anchor_us, CASE WHEN r_us >= cut AND r_us > j_us AND base_n >= 10 THEN round(greatest(-50.0, least(50.0, (recent - base_mean) / greatest(coalesce(base_sd, 0.0), greatest(abs(base_mean), 1.0) * 1e-3))), 6) END AS z FROM j),
+  busy AS (SELECT device_id, key FROM sparse GROUP BY device_id, key QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY count(*) DESC, key) <= {streak_keys}),
+  gaps AS (SELECT device_id, key, us, (us - lag(us) OVER (PARTITION BY device_id, key ORDER BY us)) / {float(HOUR_US)} AS gap_h FROM sparse JOIN busy USING (device_id, key) WHERE value_num IS NOT NULL),
+  worst AS (SELECT *, max(gap_h) OVER (PARTITION BY device_id, key ORDER BY us RANGE BETWEEN {7 * DAY_US - 1} PRECEDING AND CURRENT ROW) AS most FROM gaps WHERE gap_h IS NOT NULL),
+  gs AS (SELECT a.*, CASE WHEN w.us >= a.anchor_us - {7 * DAY_US} THEN round(most, 6) END AS gap FROM a ASOF LEFT JOIN worst w ON a.device_id = w.device_id AND a.key = w.key AND a.anchor_us >= w.us)
+  SELECT device_id, anchor_us, {per_key}, max(row_us) AS max_source_us, CAST(sum(n_rows) AS BIGINT) AS n_rows_used, true AS feature_ready
+  FROM long JOIN zs USING (device_id, key, anchor_us) JOIN gs USING (device_id, key, anchor_us) GROUP BY device_id, anchor_us"""
+
+
+def anomaly_features(readings: DataFrame, keys: list[str], *, streak_keys: int = 10, min_history_h: int = 12) -> DataFrame:
+    """The wide anomaly features per device and anchor, from ``min_history_h`` after a device's first reading to its last."""
+    known = readings.where(F.col("key").isin(keys))
+    first = F.min("us") + min_history_h * HOUR_US
+    bounds = known.groupBy("device_id").agg((first - first % STEP_US).alias("start_us"), F.max("us").alias("end_us"))
+    anchors = trailing.grid(bounds, STEP_US).withColumn("key", F.explode(F.array(*map(F.lit, keys))))
+    long = trailing.own_norm_features(anchors, known, WINDOWS, streak_keys=streak_keys)
+    long = long.withColumnsRenamed({"z": "z24h_vs_28d", "gap_max_h": "gap_max_7d"})
+    values = ["last", "last_age_h", "stale"] + [f"count_{h}h" for h in WINDOWS] + [f"{s}_{h}h" for h in WINDOWS for s in ("mean", "std", "min", "max")]
+    extra = [F.max("row_us").alias("max_source_us"), F.sum("rows_total").alias("n_rows_used"), F.lit(True).alias("feature_ready")]
+    return trailing.pivot_features(long, keys, [*values, "z24h_vs_28d", "gap_max_7d"], extra=extra)
+
+
+@query(_anomaly_sql())
 def agg_anomaly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = shape(spark, sf_dir, "telemetry")
-    own = readings.groupBy("device_id").agg(F.max("us").alias("_last"))
-    anchors = anchors_of(readings).join(own, "device_id").where("anchor_us <= _last").drop("_last")
-    stats = trailing.trailing_stats(anchors, readings, [24], closed=True)
-    wide = trailing.pivot_features(stats, KEYS, ["n_24h", "std_24h"])
-    return wide.select([F.round(c, 6).alias(c) if c.endswith("std_24h") else c for c in wide.columns])
+    return _rounded(anomaly_features(sql(spark, sf_dir, _SPARSE), KEYS, streak_keys=3))
 
 
 @query(f"""WITH {_ANCHORS} SELECT count(*) AS n_late FROM (SELECT a.anchor_us, r.us FROM anchors a ASOF JOIN telemetry r ON a.device_id = r.device_id AND a.key = r.key AND a.anchor_us >= r.us) WHERE us > anchor_us""")

@@ -244,44 +244,98 @@ def win_rolling_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {_ANCHORS}, gaps AS (SELECT device_id, key, us, (us - lag(us) OVER (PARTITION BY device_id, key ORDER BY us)) / {float(HOUR_US)} AS gap_h FROM telemetry)
-  SELECT a.device_id, a.key, a.anchor_us, round(max(gap_h), 6) AS gap_max_h FROM anchors a
-  LEFT JOIN gaps r ON a.device_id = r.device_id AND a.key = r.key AND r.us BETWEEN a.anchor_us - {7 * DAY_US} AND a.anchor_us GROUP BY ALL""")
+@query(f"""WITH {_ANCHORS}, gaps AS (SELECT device_id, key, us, (us - lag(us) OVER (PARTITION BY device_id, key ORDER BY us)) / {float(HOUR_US)} AS gap_h FROM telemetry),
+  worst AS (SELECT *, max(gap_h) OVER (PARTITION BY device_id, key ORDER BY us RANGE BETWEEN {7 * DAY_US - 1} PRECEDING AND CURRENT ROW) AS most FROM gaps WHERE gap_h IS NOT NULL)
+  SELECT a.device_id, a.key, a.anchor_us, CASE WHEN r.us >= a.anchor_us - {7 * DAY_US} THEN round(most, 6) END AS gap_max_h FROM anchors a
+  ASOF LEFT JOIN worst r ON a.device_id = r.device_id AND a.key = r.key AND a.anchor_us >= r.us""")
 def win_gap_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = shape(spark, sf_dir, "telemetry")
     found = trailing.longest_gap(anchors_of(readings), readings)
     return found.select("device_id", "key", "anchor_us", F.round("gap_max_h", 6).alias("gap_max_h"))
 
 
-_GLOBAL = f"""WITH {_ANCHORS}, da AS (SELECT DISTINCT device_id, anchor_us FROM anchors)
-  SELECT d.device_id, d.anchor_us, count(r.us) AS n_rows_24h, count(DISTINCT r.key) AS n_keys_24h
-  FROM da d LEFT JOIN telemetry r ON d.device_id = r.device_id AND r.us > d.anchor_us - {24 * HOUR_US} AND r.us <= d.anchor_us GROUP BY ALL"""
-
-
-def device_features(readings: DataFrame, keys: list[str]) -> DataFrame:
-    """Wide features per device and anchor, sources checked against anchors: the flagship plan."""
-    stats = trailing.trailing_stats(anchors_of(readings), readings, [24], with_last=True)
-    extra = [F.max("source_us").alias("max_source_us"), F.sum("n_24h").alias("n_rows_24h")]
-    return trailing.pivot_features(
-        trailing.capped_last(stats), keys, ["n_24h", "mean_24h", "std_24h", "last", "last_age_h", "stale"], extra=extra
+NUMERIC_KEYS, TEXT_KEYS, WINDOWS = ["click", "error", "purchase"], ["signup", "view"], [1, 6, 24, 168]
+_STATS = ["n", "mean", "min", "max", "std", "slope", "missing_frac"]
+_ROUNDED = ("mean", "std", "slope", "missing_frac", "z24h", "gap_max", "stale_key_frac")
+#: Numbers of three keys and texts of all: some numeric keys say a text instead, text keys never give a number.
+_MIXED = """SELECT device_id, key, us, arrival_seq,
+  CASE WHEN key IN ('click', 'error', 'purchase') AND arrival_seq % 7 <> 3 THEN value_num END AS value_num,
+  CASE WHEN arrival_seq % 11 = 0 THEN value_text ELSE CASE arrival_seq % 5 WHEN 0 THEN 'online' WHEN 1 THEN 'Disconnected' WHEN 2 THEN ' -12.5 ' WHEN 3 THEN 'No data' ELSE 'ok' END END AS value_text
+  FROM {telemetry}"""
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select([F.round(c, 6).alias(c) if any(p in c for p in _ROUNDED) else F.col(c) for c in df.columns])
+
+
+def device_features(readings: DataFrame, keys: list[str], text_keys: list[str] | None = None, hours: list[int] | None = None) -> DataFrame:
+    """The wide training features per device and anchor: the flagship plan.
+
+    Anchors begin with a device's first reading of a listed key; a key not yet seen has
+    counts of 0, missing_frac 1 and stale 1. The g__ columns are over the listed keys.
+    """
+    texts = keys if text_keys is None else text_keys
+    listed = sorted({*keys, *texts})
+    known = readings.where(F.col("key").isin(listed))
+    end = known.agg(F.max("us").alias("end_us"))
+    starts = known.groupBy("device_id").agg(F.min("us").alias("start_us")).crossJoin(F.broadcast(end))  # end: one row
+    anchors = trailing.grid(starts, STEP_US).withColumn("key", F.explode(F.array(*map(F.lit, listed))))
+    windows = hours or WINDOWS
+    long = trailing.capped_last(trailing.key_features(anchors, known, windows))
+    numeric, text = F.col("key").isin(keys), F.col("key").isin(texts)
+    seen = numeric & F.col("source_us").isNotNull()
+    frac = [F.avg(F.when(numeric, F.col("missing_frac_24h"))).alias("g__missing_frac_mean_24h")] if 24 in windows else []
+    extra = [
+        F.max("row_us").alias("max_source_us"), F.sum("rows_total").alias("g__n_rows_total"), F.sum("rows_24h").alias("g__n_rows_24h"),
+        F.count_if(F.col("rows_24h") > 0).alias("g__n_keys_24h"), F.count_if(seen).alias("g__n_numeric_keys"),
+        F.count_if(text & F.col("text_last_len").isNotNull()).alias("g__n_text_keys"), F.min(F.when(numeric, F.col("last_age_h"))).alias("g__last_age_h"),
+        (F.count_if(seen & (F.col("stale") == 1)) / F.greatest(F.lit(1), F.count_if(seen))).alias("g__stale_key_frac"), *frac,
+    ]
+    of_numbers = [f"{stat}_{h}h" for h in windows for stat in _STATS] + ["last", "last_age_h", "stale", "ffill_capped"]
+    of_texts = ["text_n_24h", "text_distinct_24h", "text_changes_24h", "text_last_age_h", "text_last_len", "text_bad_flag", "text_last_numeric"]
+    said = [F.max(F.when(F.col("key") == k, F.col(v))).alias(f"{k}__{v}") for k in texts for v in of_texts]
+    return trailing.pivot_features(long, keys, of_numbers, extra=[*said, *extra])
+
+
+def _wide_sql() -> str:
+    num = ", ".join(f"max(CASE WHEN key = '{k}' THEN {s}_{h}h END) AS {k}__{s}_{h}h" for k in NUMERIC_KEYS for h in WINDOWS for s in _STATS)
+    cap = ", ".join(
+        f"""max(CASE WHEN key = '{k}' AND age <= 6 THEN last_num END) AS {k}__last, max(CASE WHEN key = '{k}' THEN age END) AS {k}__last_age_h,
+        CAST(max(CASE WHEN key = '{k}' AND (age IS NULL OR age > 24) THEN 1 WHEN key = '{k}' THEN 0 END) AS INTEGER) AS {k}__stale,
+        CAST(max(CASE WHEN key = '{k}' AND age <= 6 THEN 1 WHEN key = '{k}' THEN 0 END) AS INTEGER) AS {k}__ffill_capped""" for k in NUMERIC_KEYS
     )
-
-
-@query(f"""WITH {_ANCHORS}, found AS (SELECT *, (anchor_us - source_us) / {float(HOUR_US)} AS age FROM ({_ASOF})),
-  stats AS (SELECT a.device_id, a.key, a.anchor_us, count(r.value_num) AS n, avg(r.value_num) AS mean,
-      CASE WHEN count(r.value_num) >= 6 THEN stddev_samp(r.value_num) END AS std
-    FROM anchors a LEFT JOIN telemetry r ON a.device_id = r.device_id AND a.key = r.key AND r.us > a.anchor_us - {24 * HOUR_US} AND r.us <= a.anchor_us GROUP BY ALL)
-  SELECT device_id, anchor_us, """ + ", ".join(
-    f"""max(CASE WHEN key = '{k}' THEN n END) AS {k}__n_24h, round(max(CASE WHEN key = '{k}' THEN mean END), 6) AS {k}__mean_24h,
-    round(max(CASE WHEN key = '{k}' THEN std END), 6) AS {k}__std_24h, max(CASE WHEN key = '{k}' AND age <= 6 THEN value_num END) AS {k}__last,
-    max(CASE WHEN key = '{k}' THEN age END) AS {k}__last_age_h,
-    CAST(max(CASE WHEN key = '{k}' THEN CASE WHEN age > 24 THEN 1 ELSE 0 END END) AS INTEGER) AS {k}__stale""" for k in KEYS
-) + """, max(source_us) AS max_source_us, CAST(sum(n) AS BIGINT) AS n_rows_24h
-  FROM stats JOIN found USING (device_id, key, anchor_us) GROUP BY device_id, anchor_us""")
+    text = ", ".join(
+        f"""max(CASE WHEN key = '{k}' THEN text_n END) AS {k}__text_n_24h, max(CASE WHEN key = '{k}' THEN text_distinct END) AS {k}__text_distinct_24h,
+        max(CASE WHEN key = '{k}' THEN text_changes END) AS {k}__text_changes_24h, max(CASE WHEN key = '{k}' THEN text_age END) AS {k}__text_last_age_h,
+        CAST(max(CASE WHEN key = '{k}' THEN length(last_text) END) AS INTEGER) AS {k}__text_last_len,
+        CAST(max(CASE WHEN key = '{k}' THEN CAST(regexp_matches(last_text, '{V.BAD_TEXT}') AS INTEGER) END) AS INTEGER) AS {k}__text_bad_flag,
+        CAST(max(CASE WHEN key = '{k}' THEN CAST(regexp_matches(last_text, '{V.NUMBER_TEXT}') AS INTEGER) END) AS INTEGER) AS {k}__text_last_numeric""" for k in TEXT_KEYS
+    )
+    listed = ", ".join(f"'{k}'" for k in NUMERIC_KEYS)
+    day = f"r.us > a.anchor_us - {24 * HOUR_US}"
+    return f"""WITH mixed AS ({_MIXED.replace("{telemetry}", "telemetry")}),
+  kinds AS (SELECT *, CASE WHEN value_num IS NULL THEN value_text END AS said FROM mixed),
+  moves AS (SELECT device_id, key, us, arrival_seq, lag(us) OVER w AS before_us, lag(said) OVER w AS before FROM kinds WHERE said IS NOT NULL WINDOW w AS (PARTITION BY device_id, key ORDER BY us, arrival_seq)),
+  r AS (SELECT k.*, before_us, before FROM kinds k LEFT JOIN moves USING (device_id, key, us, arrival_seq)),
+  ends AS (SELECT max(us) AS end_us FROM mixed), starts AS (SELECT device_id, min(us) AS start_us FROM mixed GROUP BY 1),
+  da AS (SELECT device_id, unnest(generate_series(CAST(ceil(start_us::DOUBLE / {STEP_US}) AS BIGINT) * {STEP_US}, end_us, {STEP_US})) AS anchor_us FROM starts, ends),
+  a AS (SELECT * FROM da CROSS JOIN (SELECT unnest({KEYS}) AS key)),
+  long AS (SELECT a.device_id, a.key, a.anchor_us, {", ".join(_stats_sql(h) for h in WINDOWS)}, greatest(0.0, 1.0 - count(CASE WHEN {day} THEN value_num END) / 288.0) AS frac,
+      count(r.us) AS rows_total, count(CASE WHEN {day} THEN r.us END) AS rows_24h, max(r.us) AS row_us,
+      (a.anchor_us - max(r.us) FILTER (value_num IS NOT NULL)) / {float(HOUR_US)} AS age, arg_max(value_num, {{'a': r.us, 'b': arrival_seq}}) FILTER (value_num IS NOT NULL) AS last_num,
+      (a.anchor_us - max(r.us) FILTER (said IS NOT NULL)) / {float(HOUR_US)} AS text_age, arg_max(said, {{'a': r.us, 'b': arrival_seq}}) FILTER (said IS NOT NULL) AS last_text,
+      count(CASE WHEN {day} THEN said END) AS text_n, count(DISTINCT CASE WHEN {day} THEN said END) AS text_distinct,
+      count(CASE WHEN {day} AND before_us > a.anchor_us - {24 * HOUR_US} AND said <> before THEN 1 END) AS text_changes
+    FROM a LEFT JOIN r ON a.device_id = r.device_id AND a.key = r.key AND r.us <= a.anchor_us GROUP BY a.device_id, a.key, a.anchor_us)
+  SELECT device_id, anchor_us, {num}, {cap}, {text}, max(row_us) AS max_source_us, CAST(sum(rows_total) AS BIGINT) AS g__n_rows_total, CAST(sum(rows_24h) AS BIGINT) AS g__n_rows_24h,
+    count_if(rows_24h > 0)::BIGINT AS g__n_keys_24h, count_if(key IN ({listed}) AND age IS NOT NULL)::BIGINT AS g__n_numeric_keys, count_if(key NOT IN ({listed}) AND last_text IS NOT NULL)::BIGINT AS g__n_text_keys,
+    min(CASE WHEN key IN ({listed}) THEN age END) AS g__last_age_h, round(count_if(key IN ({listed}) AND age > 24) / greatest(1, count_if(key IN ({listed}) AND age IS NOT NULL))::DOUBLE, 6) AS g__stale_key_frac,
+    round(avg(CASE WHEN key IN ({listed}) THEN frac END), 6) AS g__missing_frac_mean_24h FROM long GROUP BY device_id, anchor_us"""
+
+
+@query(_wide_sql())
 def agg_device_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = device_features(shape(spark, sf_dir, "telemetry"), KEYS)
-    rounded = [F.round(c, 6).alias(c) if c.endswith(("mean_24h", "std_24h")) else c for c in wide.columns]
-    return wide.select(rounded)
+    return _rounded(device_features(sql(spark, sf_dir, _MIXED), NUMERIC_KEYS, TEXT_KEYS))
 
 
 @query("SELECT device_id, max_by(value_num, us) FILTER (value_num IS NOT NULL AND arrival_seq % 3 = 0) AS value_num, max_by(value_text, us) FILTER (value_text IS NOT NULL) AS value_text, max(us) AS us FROM telemetry GROUP BY device_id")
