@@ -56,3 +56,26 @@ def drop_empty_columns(rows: DataFrame, *, most_chars: int = 32_000) -> DataFram
 def quality_report(title: str, metrics: dict[str, object]) -> str:
     """A Markdown report of a few figures."""
     return "\n".join([f"# {title}", "", "| figure | value |", "|---|---|", *(f"| {k} | {v} |" for k, v in metrics.items()), ""])
+
+
+def write_parquet(rows: DataFrame, path: str, *, by: Sequence[str] = ()) -> None:
+    """Parquet files, in a folder per value of ``by``."""
+    rows.write.mode("overwrite").partitionBy(*by).parquet(path)
+
+
+def write_json_lines(rows: DataFrame, path: str) -> None:
+    """A JSON object per line, null fields included."""
+    rows.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def write_csv_bom(rows: DataFrame, path: str) -> None:
+    """CSV files of safe cells with a header, each beginning with a byte-order mark, as spreadsheets want it."""
+    safe = safe_rows(rows)
+    marked = safe.withColumnRenamed(safe.columns[0], "\ufeff" + safe.columns[0])
+    marked.write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_labels(labels: DataFrame, path: str) -> None:
+    """The same labels as CSV and as JSON lines, below ``path``."""
+    labels.write.mode("overwrite").option("header", True).csv(f"{path}/csv")
+    write_json_lines(labels, f"{path}/jsonl")

@@ -293,9 +293,14 @@ def longest_gap(anchors: DataFrame, readings: DataFrame, *, days: int = 7, by: S
     return found.select(*by, F.col("us").alias("anchor_us"), F.when(near, F.col("g.gap_h")).alias("gap_max_h"))
 
 
+def late_sources(features: DataFrame, source: str = "source_us", anchor: str = "anchor_us") -> DataFrame:
+    """Rows whose source is later than their anchor."""
+    return features.where(F.col(source) > F.col(anchor))
+
+
 def require_no_leakage(features: DataFrame, source: str = "source_us", anchor: str = "anchor_us") -> DataFrame:
     """Return ``features``, or raise if a source is later than its anchor."""
-    late = features.where(F.col(source) > F.col(anchor)).limit(5).collect()
+    late = late_sources(features, source, anchor).limit(5).collect()
     if late:
         raise LeakageError(f"records after their anchors: {late}")
     return features

@@ -9,7 +9,7 @@ from quarry.functions.scalars import DAY_US, HOUR_US
 from quarry.operators import grid, hierarchy, metrics, outages, payloads, quality, scoring, splits, trailing
 from quarry.sources.tables import shape, sql, table
 
-from .features import _ANCHORS, _OBSERVED, _rounded, KEYS, START_US, STEP_US, WINDOWS, anchors_of
+from .features import _OBSERVED, KEYS, START_US, STEP_US, WINDOWS, _rounded
 from .labels import _CUTS, _GROUPED, _ROWS, _labels_sql, _split_rows, lbl_samples
 from .registry import ORACLES, query
 
@@ -63,12 +63,6 @@ def parse_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _texts(spark, sf_dir, _USAGE).select("event_id", payloads.latest_usage(F.col("payload")).alias("usage"))
 
 
-@query(f"WITH {_payload_sql(_CARDS)} SELECT count(*) AS n_lines, count_if(j IS NULL) AS n_errors FROM j")
-def src_jsonl_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _texts(spark, sf_dir, _CARDS)
-    return lines.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.try_parse_json("payload").isNull()).alias("n_errors"))
-
-
 _ATTRIBUTES = """SELECT CAST(user_id AS STRING) AS device_id, CASE event_id % 4 WHEN 0 THEN 'SHARED_SCOPE' WHEN 1 THEN 'CLIENT_SCOPE' WHEN 2 THEN 'SERVER_SCOPE' ELSE 'OTHER' END AS scope,
   event_type AS key, CASE WHEN event_id % 6 = 0 THEN NULL ELSE 'v' || CAST(event_id AS STRING) END AS value, [us ts] AS last_update_us FROM {events}"""
 
@@ -181,13 +175,6 @@ def agg_anomaly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(anomaly_features(sql(spark, sf_dir, _SPARSE), KEYS, streak_keys=3))
 
 
-@query(f"""WITH {_ANCHORS} SELECT count(*) AS n_late FROM (SELECT a.anchor_us, r.us FROM anchors a ASOF JOIN telemetry r ON a.device_id = r.device_id AND a.key = r.key AND a.anchor_us >= r.us) WHERE us > anchor_us""")
-def lbl_leak_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = shape(spark, sf_dir, "telemetry")
-    found = trailing.asof_backward(anchors_of(readings), readings, ["value_num"])
-    return trailing.require_no_leakage(found).agg(F.count_if(F.col("source_us") > F.col("anchor_us")).alias("n_late"))
-
-
 @query("SELECT device_id, max(CASE WHEN y = 1 THEN 1 ELSE 0 END)::INTEGER AS y, count(*) AS n FROM scored GROUP BY 1")
 def lbl_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     positive = F.when(F.col("y") == 1, 1).otherwise(0)
@@ -218,16 +205,6 @@ def agg_const_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(c, c in constant) for c in rows.columns], "name string, constant boolean")
 
 
-@query("SELECT severity, n AS n_grid, n AS n_lines, 'MATCH' AS verdict FROM (SELECT severity, count(*) AS n FROM alarms GROUP BY 1)")
-def agg_grid_vs_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alarms = shape(spark, sf_dir, "alarms")
-    count = lambda df, c: df.groupBy("severity").agg(F.count(F.lit(1)).alias(c))
-    lines = alarms.select(F.get_json_object(F.to_json(F.struct("severity", "alarm_id")), "$.severity").alias("severity"))
-    both = count(alarms, "n_grid").join(count(lines, "n_lines"), "severity", "full")
-    same = F.col("n_grid").eqNullSafe(F.col("n_lines"))
-    return both.withColumn("verdict", F.when(same, "MATCH").otherwise("MISMATCH"))
-
-
 @query(ORACLES["score_ts_row"].replace("SELECT row_id, score, severity, reasons FROM scored_days", "SELECT row_id, len(string_split(reasons, ' | ')) AS n_reasons, string_split(reasons, ' | ')[1] AS first_reason FROM scored_days"))
 def top_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fleet import score_ts_row
@@ -259,13 +236,6 @@ def join_coverage_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("device_id", reason.alias("reason"))
 
 
-@query("SELECT CAST(us // 86400000000 AS BIGINT) AS day, CASE WHEN key IN ('click', 'error') THEN 0 ELSE 1 END AS batch, count(*) AS n, count(*) > 180 AS over_cap FROM telemetry GROUP BY ALL")
-def src_partitioned_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = F.when(F.col("key").isin("click", "error"), 0).otherwise(1)
-    counts = shape(spark, sf_dir, "telemetry").groupBy(grid.day_of(F.col("us")).alias("day"), batch.alias("batch")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("over_cap", F.col("n") > 180)
-
-
 @query(f"WITH {_CUTS}, {_ROWS} SELECT event_id, split FROM rows_")
 def src_features_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = sql(spark, sf_dir, _GROUPED).select("event_id")

@@ -48,13 +48,6 @@ def src_column_only_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape(spark, sf_dir, "telemetry").select("device_id", "key").distinct()
 
 
-@query("SELECT severity, count(*) AS n, count_if(severity = '1-URGENT') AS n_kept FROM alarms GROUP BY 1")
-def src_grid_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape(spark, sf_dir, "alarms").groupBy("severity").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("severity") == "1-URGENT").alias("n_kept")
-    )
-
-
 _OUTPUTS = """SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'Fault_Class: critical; fault_score: ' || CAST(event_id % 100 AS STRING) || '; Reasons: A | B'
   WHEN event_id % 4 = 1 THEN 'fault_score : ' || CAST(event_id % 100 AS STRING) || '.5' WHEN event_id % 4 = 2 THEN 'fault_class:LOW reasons: none' ELSE 'nothing here' END AS output FROM {events}"""
 

@@ -45,13 +45,6 @@ def win_recoveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stateful.recoveries(snaps)
 
 
-@query("SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT user_id, event_type, event_id FROM events) GROUP BY ALL")
-def stm_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = runs.read_table_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    once = stateful.first_of_each(events, ["user_id", "event_type", "event_id"])
-    return runs.run_to_end(once).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query(f"SELECT event_id, epoch_us(ts) AS us, epoch_us(ts) > {NOW_US - 86400000000 * 10} AS late FROM events")
 def stm_late_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = runs.read_table_stream(spark, sf_dir, "events").select("event_id", F.expr(US).alias("us"))

@@ -50,6 +50,24 @@ def staged(spark: SparkSession, path: str, start_us: int, end_us: int, devices:
     return rows.where(F.col("device_id").isin(list(devices))) if devices else rows
 
 
+def staged_events(spark: SparkSession, root: str, bridged: str = "bridged") -> DataFrame:
+    """Events of all day folders and, where there are any, alarms bridged to events in a folder of their own."""
+    days = spark.read.option("basePath", root).parquet(f"{root}/day=*").drop("day").withColumn("origin", F.lit("event"))
+    try:
+        alarms = spark.read.parquet(f"{root}/{bridged}").withColumn("origin", F.lit("alarm"))
+    except Exception as e:  # noqa: BLE001 - only a missing path is answered, all else is raised
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return days
+    return days.unionByName(alarms)
+
+
+def json_errors(spark: SparkSession, path: str) -> DataFrame:
+    """One row: lines of text files, and those among them that are not JSON."""
+    lines = spark.read.text(path)
+    return lines.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.try_parse_json("value").isNull()).alias("n_errors"))
+
+
 def jdbc_day_reads(url: str, table: str, days: Sequence[tuple[str, str]], keys: Sequence[str], *, time: str = "time", key: str = "key", fetch: int = 50_000) -> dict:
     """Options and predicates for ``spark.read.jdbc``: a read-only session, one half-open day range per partition."""
     listed = ", ".join("'" + k.replace("'", "''") + "'" for k in keys)

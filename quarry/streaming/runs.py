@@ -10,8 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names, or in a temporary one where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quarry-stream-")
+    """A new path in the folder that ``spark.checkpoint.dir`` names; a local session that names none gets a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="quarry-stream-")
     return f"{root}/{label}-{uuid.uuid4().hex}"
 
 

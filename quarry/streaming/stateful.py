@@ -11,6 +11,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quarry.operators.quality import EPOCH_FLOOR_US
 
+from . import runs
+
 RECOVERY_SCHEMA = "device_id string, outage_start long, outage_end long, seen_us long"
 
 
@@ -100,9 +102,17 @@ def freshness(events: DataFrame, *, late: str = "1 hour", width: str = "6 hours"
     return counts.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), "n", "devices")
 
 
-def first_of_each(events: DataFrame, keys: list[str], *, late: str = "1 day") -> DataFrame:
-    """The first event of each identity that arrives within ``late``."""
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
+def last_of_each(events: DataFrame, keys: list[str], order: str, out: str) -> DataFrame:
+    """The last event of each identity by ``order``, later batches first on ties; batches go through the folder ``out``."""
+    whole = F.struct(*events.columns)
+
+    def reduce(batch: DataFrame, number: int) -> None:
+        last = batch.groupBy(*keys).agg(F.max_by(whole, F.col(order)).alias("last"))
+        last.select("last.*").write.mode("overwrite").parquet(f"{out}/batch={number}")  # a repeated batch replaces itself
+
+    runs.run_batches(events, reduce)
+    seen = events.sparkSession.read.schema(events.schema.add("batch", "long")).parquet(out)
+    return seen.groupBy(*keys).agg(F.max_by(whole, F.struct(order, "batch")).alias("last")).select("last.*")
 
 
 def split_late(batch: DataFrame, now_us: int) -> tuple[DataFrame, DataFrame]:
