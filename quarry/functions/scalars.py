@@ -110,6 +110,12 @@ def digest16(*columns: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", *columns), 256), 1, 16)
 
 
+def redacted_url(c: Column) -> Column:
+    """A connection address without its user, password and passwords among its parameters; ``<unset>`` if there is none."""
+    user = F.regexp_replace(c, "://[^@/]*@", "://***:***@")
+    return F.when(c.isNull() | (c == ""), "<unset>").otherwise(F.regexp_replace(user, r"(?i)(password|passwd|pwd)=[^&;\s]+", "$1=***"))
+
+
 def safe_cell(c: Column) -> Column:
     """A spreadsheet must not take the cell for a formula."""
     return F.when(c.rlike(r"^[=+\-@]"), F.concat(F.lit("'"), c)).otherwise(c)

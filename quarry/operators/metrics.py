@@ -4,23 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators import quantiles
+
 
 def _curve(scored: DataFrame, by: Sequence[str], probability: str, label: str) -> DataFrame:
-    """Per group and distinct score the positives and rows at or above it. Scores are few: one row per value."""
+    """Per group and distinct score the positives and rows at or above it, summed by slices of scores."""
+    part = quantiles.slice_of(scored, probability)
     values = scored.groupBy(*by, probability).agg(F.sum(label).alias("pos"), F.count(F.lit(1)).alias("n"))
-    down = Window.partitionBy(*by).orderBy(F.col(probability).desc())
-    upto, all_ = down.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*by)
-    return values.withColumns(
-        {
-            "tp": F.sum("pos").over(upto),
-            "seen": F.sum("n").over(upto),
-            "positives": F.sum("pos").over(all_),
-            "total": F.sum("n").over(all_),
-        }
-    )
+    upto = quantiles.running_sums(values, by, probability, ["pos", "n"], part)
+    return upto.select(
+        *by, probability, "pos", "n", (F.col("pos_all") - F.col("pos_upto") + F.col("pos")).alias("tp"),
+        (F.col("n_all") - F.col("n_upto") + F.col("n")).alias("seen"), F.col("pos_all").alias("positives"), F.col("n_all").alias("total"),
+    )
 
 
 def ranking_metrics(scored: DataFrame, by: Sequence[str] = ("fold",), probability: str = "probability", label: str = "y") -> DataFrame:
@@ -93,16 +91,22 @@ def constant_columns(rows: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if not row[c]]
 
 
-def time_folds(scored: DataFrame, *, cuts: Sequence[float] = (0.4, 0.6, 0.8), gap_us: int, time: str = "anchor_us") -> DataFrame:
-    """Rows per expanding-window fold: side ``train`` before the cut, ``test`` after cut + gap up to the next cut."""
-    bounds = scored.agg(F.percentile(time, F.array(*map(F.lit, cuts))).alias("q"), F.max(time).alias("end")).first()
-    edges = [*(bounds["q"] or []), float(bounds["end"] or 0) + 1]
-    t = F.col(time)
-    sides = [
-        F.struct(
-            F.lit(k).alias("fold"),
-            F.when(t < edges[k], "train").when((t >= edges[k] + gap_us) & (t < edges[k + 1]), "test").alias("side"),
-        )
-        for k in range(len(cuts))
-    ]
-    return scored.select("*", F.explode(F.array(*sides)).alias("_s")).select(*scored.columns, "_s.fold", "_s.side").where("side IS NOT NULL")
+def time_folds(scored: DataFrame, *, cuts: Sequence[float] = (0.4, 0.6, 0.8), gap_us: int, time: str = "anchor_us", label: str | None = None) -> DataFrame:
+    """Rows per expanding-window fold: side ``train`` before the cut, ``test`` after cut + gap up to the next cut.
+
+    With a ``label``, folds without a positive on one side are left out.
+    """
+    bounds = quantiles.exact_quantiles(scored, time, cuts)
+    if None in bounds:
+        return scored.withColumns({"fold": F.lit(0), "side": F.lit("train")}).where("false")
+    t, sides = F.col(time), []
+    for k, cut in enumerate(bounds):
+        test = t >= cut + gap_us
+        if k + 1 < len(bounds):
+            test = test & (t < bounds[k + 1])
+        sides.append(F.struct(F.lit(k).alias("fold"), F.when(t < cut, "train").when(test, "test").alias("side")))
+    rows = scored.select("*", F.explode(F.array(*sides)).alias("_s")).select(*scored.columns, "_s.fold", "_s.side").where("side IS NOT NULL")
+    if label is None:
+        return rows
+    both = rows.where(F.col(label) == 1).groupBy("fold").agg(F.countDistinct("side").alias("n")).where("n = 2")
+    return rows.join(both.select("fold"), "fold", "left_semi").select(*scored.columns, "fold", "side")

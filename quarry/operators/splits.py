@@ -118,10 +118,39 @@ def group_overlap(samples: DataFrame, group: str) -> DataFrame:
     return samples.where("split <> 'purged'").groupBy(group).agg(F.countDistinct("split").alias("splits")).where("splits > 1").select(group)
 
 
-def group_folds(sizes: dict[str, int], folds: int = 5) -> dict[str, int]:
-    """Largest group first, each to the fold with the fewest rows."""
-    load, placed = [0] * folds, {}
-    for g, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
-        k = load.index(min(load))
-        placed[g], load[k] = k, load[k] + n
-    return placed
+def turns(sizes: Sequence[tuple[int, int]], folds: int) -> list[tuple[int, int, int, list[int]]]:
+    """For ``(size, groups)`` in falling order of size the stretches ``(size, first, end, folds in turn)``
+    of groups, each to the fold that has the fewest rows when its turn comes.
+
+    Folds within one group's size of the least take turns until another comes near, so a
+    size has no more stretches than there are folds, however many groups it has.
+    """
+    load, out = [0] * folds, []
+    for size, groups in sizes:
+        at = 0
+        while at < groups:
+            order = sorted(range(folds), key=lambda k: (load[k], k))
+            least = load[order[0]]
+            near = [k for k in order if load[k] < least + size]
+            rounds = min([(load[k] - least) // size for k in order[len(near) :]], default=groups)
+            end = min(groups, at + rounds * len(near))
+            for i, k in enumerate(near):
+                load[k] += size * ((end - at - i + len(near) - 1) // len(near))
+            out.append((size, at, end, near))
+            at = end
+    return out
+
+
+def group_folds(rows: DataFrame, group: str, folds: int = 5) -> DataFrame:
+    """(group, fold): the largest group first, then by name, each to the fold with the fewest rows.
+
+    The driver sees how many groups there are of each size, not the groups. Rows without a group have no fold.
+    """
+    sizes = rows.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
+    histogram = sizes.groupBy("_size").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("_size").desc()).collect()
+    stretches = rows.sparkSession.createDataFrame(
+        turns([(r["_size"], r["n"]) for r in histogram], folds), "_size long, _first long, _end long, _turns array<int>"
+    )
+    placed = sizes.withColumn("_at", F.row_number().over(Window.partitionBy("_size").orderBy(group)) - 1)
+    here = placed.join(stretches, "_size").where("_at >= _first AND _at < _end")
+    return here.select(group, F.expr("_turns[CAST((_at - _first) % size(_turns) AS INT)]").alias("fold"))

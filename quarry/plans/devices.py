@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.scalars import DAY_US, HOUR_US
+from quarry.functions.vocabulary import AUDIT_FAULT
 from quarry.operators import grid, hierarchy, metrics, outages, payloads, quality, scoring, splits, trailing
 from quarry.sources.tables import shape, sql, table
 
@@ -190,12 +191,12 @@ def spl_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.purge(splits.time_splits(rows, by=["us", "event_id"]), 24, time="us").select("event_id", "split")
 
 
-@query()
+@query("""WITH RECURSIVE d AS (SELECT device_id, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, device_id) AS place FROM scored GROUP BY 1),
+  g AS (SELECT 0::BIGINT AS place, NULL::VARCHAR AS device_id, -1 AS fold, [0, 0, 0, 0, 0]::BIGINT[] AS load UNION ALL
+    SELECT d.place, d.device_id, CAST(least_ - 1 AS INTEGER), list_transform(load, lambda x, i: x + CASE WHEN i = least_ THEN n ELSE 0 END) FROM (SELECT *, list_position(load, list_min(load)) AS least_ FROM g) p JOIN d ON d.place = p.place + 1)
+  SELECT device_id, fold FROM g WHERE place > 0""")
 def spl_groupkfold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Devices by fold; group sizes, one per device, are placed on the driver."""
-    rows = shape(spark, sf_dir, "scored").select("device_id")
-    sizes = {r["device_id"]: r["count"] for r in rows.groupBy("device_id").count().collect()}
-    return spark.createDataFrame(list(splits.group_folds(sizes).items()), "device_id string, fold int")
+    return splits.group_folds(shape(spark, sf_dir, "scored"), "device_id")
 
 
 @query("SELECT 'value_num' AS name, count(DISTINCT value_num) <= 1 AS constant FROM telemetry UNION ALL SELECT 'one', true")
@@ -218,13 +219,74 @@ def srt_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape(spark, sf_dir, "devices").where("key_count > 10").orderBy("bank", "name", "device_id").select("device_id", "bank", "name")
 
 
-@query("""SELECT device_id, least(100.0::DOUBLE, a + b + c) AS score, CASE WHEN least(100, a + b + c) >= 70 THEN 'CRITICAL' WHEN least(100, a + b + c) >= 45 THEN 'HIGH' WHEN least(100, a + b + c) >= 20 THEN 'MEDIUM' ELSE 'HEALTHY' END AS severity
-  FROM (SELECT device_id, CASE WHEN key_count >= 7 THEN 25 WHEN key_count >= 3 THEN 12 ELSE 0 END AS a, CASE WHEN branch IS NULL THEN 30 ELSE 0 END AS b, CASE WHEN CAST(device_id AS BIGINT) % 10 = 0 THEN 15 ELSE 0 END AS c FROM devices)""")
+def _turns(by: int, *values: str | None) -> str:
+    """A value of the list for devices whose number leaves its place as remainder, else null."""
+    cases = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values) if v is not None)
+    return f"CASE k % {by} {cases} END"
+
+
+#: every input of the audit's rules, faulty, sound, odd and missing in turns
+_AUDITED = {
+    "gap_days": "CASE WHEN k % 4 = 0 THEN CAST(k % 100 AS STRING) WHEN k % 4 = 1 THEN 'n.a.' END",
+    "bas_downtime_min": "CASE WHEN k % 5 = 0 THEN CAST(k * 37 % 2000 AS STRING) END",
+    "total_data_mb": "CASE WHEN k % 10 = 0 THEN '0' WHEN k % 11 > 0 THEN '7.5' END",
+    "inactive_since": _turns(13, "2026-01-01", "null", "", "None"),
+    "nvr_status": _turns(17, "FAULT", "N/A", " offline ", "ok", None, "online"), "flag_dvr_off": _turns(7, "true", "false", "0", "null"),
+    "hdd_status": _turns(19, "error", "healthy"), "flag_hdd_error": _turns(11, "1", "FALSE", ""),
+    "flag_power_off": _turns(16, "yes", "0"), "gw_status": _turns(9, "DOWN", "up"),
+    "camera_disconnects": "CASE WHEN k % 6 = 0 THEN CAST(k % 8 AS STRING) END", "flag_camera_disconnect": _turns(14, "true", "false"),
+    "fas_status": _turns(23, "FAILED", "normal"), "flag_fas_off": _turns(12, "true"), "flag_fas_fault": _turns(8, "true", "null"),
+    "ias_status": _turns(21, "0", "1"), "flag_ias_off": _turns(25, "true", "false"),
+    "integrated_status": _turns(22, "inactive", "active"), "flag_integrated_off": _turns(15, "x"),
+    "acs_status": _turns(27, "disconnected", "fine"), "bas_status": _turns(26, "FAILED_UPDATE"),
+    "tls_status": _turns(29, "false", "true"), "flag_tls_off": _turns(28, "true"),
+    "flag_battery_low": _turns(18, "true", "0"), "flag_battery_reverse": _turns(20, "true", "0"),
+    "fw_state": _turns(24, "failed", "UPDATED", "ERROR"), "disk": "CASE WHEN k % 3 = 0 THEN CAST(60 + k % 40 AS STRING) END",
+    "cpu": "CASE WHEN k % 3 = 1 THEN CAST(80 + k % 20 AS STRING) END",
+}
+_AUDIT_INPUT = f"SELECT device_id, {', '.join(f'{e} AS {c}' for c, e in _AUDITED.items())} FROM (SELECT device_id, CAST(device_id AS BIGINT) AS k FROM {{devices}})"
+
+
+def _audit_sql() -> str:
+    fault = lambda c: f"upper(trim({c})) IN ({', '.join(repr(w) for w in AUDIT_FAULT)})"
+    flag = lambda c: f"NOT coalesce(lower({c}) IN ('false', '0', '', 'null'), true)"
+    n = lambda c: f"coalesce(TRY_CAST({c} AS DOUBLE), 0)"
+    said = lambda points, label: (str(points), f"'{label}(+{points})'")
+    whole = lambda c: f"CAST({n(c)} AS BIGINT)"
+    percent = lambda c, label: f"'{label}(' || {whole(c)} || '%)'"
+    ladders = [
+        [(f"{n('gap_days')} >= {d}", *said(p, f"GAP_{d}D")) for d, p in ((90, 50), (30, 40), (7, 25), (3, 12))],
+        [(f"{n('bas_downtime_min')} >= {d}", *said(p, f"BAS_DT_{d}M")) for d, p in ((1440, 30), (480, 20), (60, 10))],
+        [(f"{n('total_data_mb')} = 0", *said(15, "ZERO_DATA"))],
+        [("inactive_since NOT IN ('', 'null', 'None')", *said(20, "INACTIVE"))],
+        [(fault("nvr_status"), *said(30, "NVR_FAULT")), (flag("flag_dvr_off"), *said(28, "DVR_OFF"))],
+        [(fault("hdd_status"), *said(30, "HDD_FAULT")), (flag("flag_hdd_error"), *said(25, "HDD_ERROR"))],
+        [(flag("flag_power_off"), *said(20, "POWER_OFF")), (fault("gw_status"), *said(15, "GW_FAULT"))],
+        [
+            (f"{n('camera_disconnects')} > 0", f"least(5 * {n('camera_disconnects')}, 25)", f"'CAM_DC=' || {whole('camera_disconnects')} || '(+' || least(5 * {whole('camera_disconnects')}, 25) || ')'"),
+            (flag("flag_camera_disconnect"), *said(15, "CAM_DISCONNECT")),
+        ],
+        [(fault("fas_status"), *said(20, "FAS_FAULT")), (flag("flag_fas_off"), *said(20, "FAS_OFF")), (flag("flag_fas_fault"), *said(18, "FAS_FLAG"))],
+        [(f"{fault('ias_status')} OR {flag('flag_ias_off')}", *said(15, "IAS_FAULT"))],
+        [(fault("integrated_status"), *said(15, "INT_FAULT")), (flag("flag_integrated_off"), *said(15, "INT_OFF"))],
+        [(fault("acs_status"), *said(15, "ACS_FAULT"))],
+        [(fault("bas_status"), *said(12, "BAS_FAULT"))],
+        [(f"{fault('tls_status')} OR {flag('flag_tls_off')}", *said(10, "TLS_FAULT"))],
+        [(flag("flag_battery_low"), *said(10, "BATT_LOW"))],
+        [(flag("flag_battery_reverse"), *said(8, "BATT_REVERSE"))],
+        [("upper(fw_state) IN ('FAILED', 'FAILED_UPDATE', 'ERROR')", *said(10, "FW_FAIL"))],
+        [(f"{n('disk')} >= {least}", str(p), percent("disk", label)) for least, p, label in ((90, 20, "DISK_CRIT"), (80, 15, "DISK_HIGH"), (75, 8, "DISK_WARN"))],
+        [(f"{n('cpu')} >= 90", "10", percent("cpu", "CPU_HIGH"))],
+    ]
+    rules = ["CASE " + " ".join(f"WHEN {when} THEN {{'p': CAST({p} AS DOUBLE), 'r': {r}}}" for when, p, r in steps) + " END" for steps in ladders]
+    return f"""WITH audited AS ({_AUDIT_INPUT.replace("{devices}", "devices")}), hits AS (SELECT device_id, list_filter([{", ".join(rules)}], lambda x: x IS NOT NULL) AS h FROM audited),
+  sums AS (SELECT device_id, least(100.0::DOUBLE, coalesce(list_sum(list_transform(h, lambda x: x.p)), 0)) AS score, array_to_string(list_transform(h[1:6], lambda x: x.r), ' | ') AS said FROM hits)
+  SELECT device_id, score, CASE WHEN score >= 70 THEN 'CRITICAL' WHEN score >= 45 THEN 'HIGH' WHEN score >= 20 THEN 'MEDIUM' ELSE 'HEALTHY' END AS severity, CASE WHEN said = '' THEN 'OK' ELSE said END AS reasons FROM sums"""
+
+
+@query(_audit_sql())
 def score_device(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = shape(spark, sf_dir, "devices")
-    mb = F.when(F.col("device_id").cast("long") % 10 == 0, "0").otherwise("7")
-    state = d.select("device_id", F.col("key_count").cast("string").alias("gap_days"), F.when(F.col("branch").isNull(), "N/A").alias("nvr_status"), mb.alias("total_data_mb"))
-    return scoring.score_audit(state).select("device_id", "score", "severity")
+    return scoring.score_audit(sql(spark, sf_dir, _AUDIT_INPUT)).select("device_id", "score", "severity", "reasons")
 
 
 @query(f"""WITH s AS (SELECT device_id, bool_or(completeness IN ('complete', 'empty_verified')) AS covered, max(newest_us) FILTER (completeness IN ('complete', 'empty_verified')) AS newest_us FROM ledger GROUP BY 1)

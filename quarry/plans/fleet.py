@@ -270,11 +270,12 @@ def agg_operating_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.operating_points(metrics.threshold_sweep(shape(spark, sf_dir, "scored"), 31.0, _THRESHOLDS))
 
 
-@query(f"""WITH q AS (SELECT quantile_cont(anchor_us, [0.4, 0.6, 0.8]) AS q, max(anchor_us) AS e FROM scored), c AS (SELECT list_append(q, e + 1) AS c FROM q), f AS (SELECT unnest([0, 1, 2]) AS fold)
-  SELECT arrival_seq, CAST(fold AS INTEGER) AS fold, CASE WHEN anchor_us < c[fold + 1] THEN 'train' ELSE 'test' END AS side FROM scored, c, f
-  WHERE anchor_us < c[fold + 1] OR (anchor_us >= c[fold + 1] + {24 * HOUR_US} AND anchor_us < c[fold + 2])""")
+@query(f"""WITH q AS (SELECT quantile_cont(anchor_us, [0.4, 0.6, 0.8]) AS q, max(anchor_us) AS e FROM scored), c AS (SELECT list_append(q, e + 1) AS c FROM q), f AS (SELECT unnest([0, 1, 2]) AS fold),
+  sides AS (SELECT arrival_seq, y, CAST(fold AS INTEGER) AS fold, CASE WHEN anchor_us < c[fold + 1] THEN 'train' ELSE 'test' END AS side FROM scored, c, f
+    WHERE anchor_us < c[fold + 1] OR (anchor_us >= c[fold + 1] + {24 * HOUR_US} AND anchor_us < c[fold + 2]))
+  SELECT arrival_seq, fold, side FROM sides QUALIFY sum(CASE WHEN side = 'train' THEN y END) OVER (PARTITION BY fold) > 0 AND sum(CASE WHEN side = 'test' THEN y END) OVER (PARTITION BY fold) > 0""")
 def spl_timecv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.time_folds(shape(spark, sf_dir, "scored"), gap_us=24 * HOUR_US).select("arrival_seq", "fold", "side")
+    return metrics.time_folds(shape(spark, sf_dir, "scored"), gap_us=24 * HOUR_US, label="y").select("arrival_seq", "fold", "side")
 
 
 @query("""WITH s AS (SELECT avg(value_num) FILTER (us % 2 = 0) AS m, stddev_samp(value_num) FILTER (us % 2 = 0) AS d FROM telemetry) SELECT arrival_seq, round((value_num - m) / d, 6) AS value_num FROM telemetry, s""")
@@ -427,3 +428,13 @@ def prd_is_real(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT arrival_seq, substr(sha256(concat_ws('|', device_id, key, CAST(us AS STRING))), 1, 16) AS reference FROM telemetry")
 def prd_redact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape(spark, sf_dir, "telemetry").select("arrival_seq", S.digest16(F.col("device_id"), F.col("key"), F.col("us").cast("string")).alias("reference"))
+
+
+_URLS = ["https://u:secret@host/db", "postgres://host:5432/db?user=a&password=b&ssl=1", "jdbc:x;PWD=one;passwd=two", "https://host/a@b", "", "plain"]
+
+
+@query("WITH w AS (SELECT unnest([" + ", ".join(f"'{x}'" for x in _URLS) + """, NULL]) AS url)
+  SELECT url, CASE WHEN coalesce(url, '') = '' THEN '<unset>' ELSE regexp_replace(regexp_replace(url, '://[^@/]*@', '://***:***@', 'g'), '(password|passwd|pwd)=[^&;\\s]+', '\\1=***', 'gi') END AS shown FROM w""")
+def prd_redact_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.createDataFrame([(x,) for x in [*_URLS, None]], "url string")
+    return rows.select("url", S.redacted_url(F.col("url")).alias("shown"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import random
+
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions.scalars import DAY_US, HOUR_US
-from quarry.operators import grid, metrics, outages, outputs, scoring, splits
+from quarry.operators import grid, metrics, outages, outputs, quantiles, scoring, splits
 from quarry.sources import paged
 from quarry.streaming.stateful import recoveries_of
 
@@ -102,8 +105,34 @@ def test_two_groups_make_two_splits(spark):
     assert {r.grp: r.split for r in splits.group_splits(df, "grp").collect()} == {"a": "train", "b": "validation"}
 
 
-def test_folds_balance():
-    assert splits.group_folds({"a": 5, "b": 4, "c": 3, "d": 2}, 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
+def test_folds_balance(spark):
+    rows = spark.createDataFrame([(g,) for g, n in {"a": 5, "b": 4, "c": 3, "d": 2}.items() for _ in range(n)] + [(None,)], "g string")
+    assert {r.g: r.fold for r in splits.group_folds(rows, "g", 2).collect()} == {"a": 0, "b": 1, "c": 1, "d": 0}
+    assert splits.group_folds(rows.where("false"), "g", 2).count() == 0
+
+
+def test_turns_equal_placing_groups_one_by_one():
+    generator = random.Random(5)
+    for folds in (1, 2, 5):
+        for _ in range(50):
+            sizes = sorted(((generator.randint(1, 400), generator.randint(1, 30)) for _ in range(6)), reverse=True)
+            sizes = list(dict(sizes).items())
+            load, one_by_one = [0] * folds, []
+            for size, groups in sizes:
+                for at in range(groups):
+                    k = load.index(min(load))
+                    load[k] += size
+                    one_by_one.append((size, at, k))
+            found = [(s, at, near[(at - first) % len(near)]) for s, first, end, near in splits.turns(sizes, folds) for at in range(first, end)]
+            assert found == one_by_one
+
+
+def test_quantiles_and_curves_do_not_depend_on_slices(spark):
+    values = [(float(v),) for v in np.random.default_rng(3).integers(0, 900, 4000)] + [(None,)]
+    rows = spark.createDataFrame(values, "v double").repartition(3)
+    shares = [0.0, 0.4, 0.5, 0.99, 1.0]
+    assert quantiles.exact_quantiles(rows, "v", shares) == pytest.approx(np.quantile([v for (v,) in values[:-1]], shares))
+    assert quantiles.exact_quantiles(rows.where("v IS NULL"), "v", [0.5]) == [None]
 
 
 def test_scaler_uses_train_only(spark):
