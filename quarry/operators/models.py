@@ -8,10 +8,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from quarry.functions.scalars import tier
+from quarry.operators import metrics, splits
 
 SENTINEL = -1e6
 
@@ -42,3 +44,56 @@ def predict(model: PipelineModel, rows: DataFrame, columns: Sequence[str]) -> Da
     return scored.withColumn("_p", p).select(
         *rows.columns, F.col("_p").alias("probability"), F.bround(F.col("_p") * 100, 1).alias("risk_score"), tier(F.col("_p")).alias("tier")
     )
+
+
+def save(model: PipelineModel, columns: Sequence[str], path: str) -> None:
+    """The fitted model and the names of its columns, in their order."""
+    model.write().overwrite().save(f"{path}/model")
+    listed = model.stages[0].getInputCols()
+    if listed != [f"{c}__{k}" for c in columns for k in ("x", "na")]:
+        raise ValueError("the model was fitted on other columns")
+    SparkSession.active().createDataFrame(list(enumerate(columns)), "place int, name string").coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")
+
+
+def load(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str]]:
+    names = spark.read.parquet(f"{path}/columns").orderBy("place").collect()
+    return PipelineModel.load(f"{path}/model"), [r["name"] for r in names]
+
+
+def cross_validate(
+    rows: DataFrame, columns: Sequence[str], path: str, *, group: str = "device_id", time: str = "anchor_us", folds: int = 5, gap_us: int = 86_400_000_000, trees: int = 20, depth: int = 4
+) -> DataFrame:
+    """Predictions (``kind``, ``fold``, ``rows``' id columns, y, probability), written below ``path`` and reread.
+
+    ``group`` folds keep a group on one side; ``time`` folds train before a cut and test
+    after it and a gap. Folds without a positive on either side are left out, and columns
+    that are constant among a fold's training rows are no inputs of its model.
+    ``rows`` are read once a fold, so give a written table.
+    """
+    ids = [c for c in rows.columns if c not in columns]
+    by_group = rows.join(splits.group_folds(rows, group, folds), group)
+    by_time = metrics.time_folds(rows, gap_us=gap_us, time=time, label="y")
+    of_time = sorted(r["fold"] for r in by_time.select("fold").distinct().collect())  # a row per fold
+    jobs = [("group", k, by_group.where(F.col("fold") != k), by_group.where(F.col("fold") == k)) for k in range(folds)]
+    jobs += [("time", k, by_time.where((F.col("fold") == k) & (F.col("side") == "train")), by_time.where((F.col("fold") == k) & (F.col("side") == "test"))) for k in of_time]
+    schema = StructType([*rows.select(*ids).schema.fields, StructField("probability", DoubleType()), StructField("kind", StringType()), StructField("fold", IntegerType())])
+    for kind, k, train, test in jobs:
+        if train.where("y = 1").isEmpty() or test.where("y = 1").isEmpty() or train.where("y = 0").isEmpty():
+            continue
+        constant = set(metrics.constant_columns(train, columns))
+        used = [c for c in columns if c not in constant]
+        if not used:
+            continue
+        found = predict(fit(train, used, trees=trees, depth=depth), test, used)
+        found.select(*ids, "probability").write.mode("overwrite").parquet(f"{path}/kind={kind}/fold={k}")
+    nothing = rows.select(*ids).where("false").withColumn("probability", F.lit(0.0))
+    nothing.write.mode("overwrite").parquet(f"{path}/kind=none/fold=-1")  # so the table can be read without any fold
+    return rows.sparkSession.read.schema(schema).parquet(path).where("kind <> 'none'")
+
+
+def fold_report(predictions: DataFrame) -> DataFrame:
+    """Rows, positives and ranking metrics of each fold, and of all group folds together as fold -1."""
+    pooled = predictions.where("kind = 'group'").withColumns({"kind": F.lit("pooled"), "fold": F.lit(-1)})
+    both = predictions.unionByName(pooled)
+    counts = both.groupBy("kind", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("positives"))
+    return metrics.ranking_metrics(both, by=("kind", "fold")).join(counts, ["kind", "fold"])

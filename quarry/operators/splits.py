@@ -153,4 +153,4 @@ def group_folds(rows: DataFrame, group: str, folds: int = 5) -> DataFrame:
     )
     placed = sizes.withColumn("_at", F.row_number().over(Window.partitionBy("_size").orderBy(group)) - 1)
     here = placed.join(stretches, "_size").where("_at >= _first AND _at < _end")
-    return here.select(group, F.expr("_turns[CAST((_at - _first) % size(_turns) AS INT)]").alias("fold"))
+    return here.select(group, F.get("_turns", ((F.col("_at") - F.col("_first")) % F.size("_turns")).cast("int")).alias("fold"))

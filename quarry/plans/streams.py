@@ -73,5 +73,7 @@ def ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [c for c in wide.columns if "__" in c and c != "view__n_24h"]
     rows = wide.where("y IS NOT NULL").select("device_id", "anchor_us", "y", *columns)
     cut = NOW_US - 86_400_000_000 * 10
-    model = models.fit(rows.where(F.col("anchor_us") < cut), columns, trees=5, depth=3)
+    path = runs.scratch(spark, "model")
+    models.save(models.fit(rows.where(F.col("anchor_us") < cut), columns, trees=5, depth=3), columns, path)
+    model, columns = models.load(spark, path)
     return models.predict(model, rows.where(F.col("anchor_us") >= cut), columns).select("device_id", "anchor_us", "probability", "risk_score", "tier")
