@@ -64,3 +64,23 @@ def tree(devices: DataFrame, levels: Sequence[str]) -> DataFrame:
         nodes = node.groupBy(*levels[: depth - 1]).agg(*sums, F.sort_array(F.collect_list("node")).alias("children"))
         child = F.col("children")
     raise ValueError("a tree needs a level")
+
+
+def level_summaries(devices: DataFrame, levels: dict[str, list[str]], *, gap_fault_days: int, present: dict[str, Column], fault: Column) -> DataFrame:
+    """The aggregates of every level in one pass: scores, severities, gaps, volumes and downtimes.
+
+    ``levels`` name the columns of a level, no two the same; ``present`` gives columns whose
+    filled values are counted. A null in a level's own columns is a group; other columns of the levels are null.
+    """
+    columns = list(dict.fromkeys(c for cs in levels.values() for c in cs))
+    held = F.grouping_id(*columns)
+    number = {name: sum(0 if c in cs else 1 << (len(columns) - 1 - i) for i, c in enumerate(columns)) for name, cs in levels.items()}
+    level = F.coalesce(*(F.when(held == n, F.lit(name)) for name, n in number.items()))
+    hours = lambda c: F.round(F.sum(c) / 60, 1).alias(c.replace("_downtime_min", "_down_hrs"))
+    return devices.groupingSets(list(levels.values()), *columns).agg(
+        level.alias("level"), F.count(F.lit(1)).alias("n_devices"), F.round(F.avg("score"), 1).alias("avg_score"), F.max("score").alias("max_score"),
+        *(F.count_if(F.col("severity") == s).alias(f"n_{s.lower()}") for s in ("CRITICAL", "HIGH", "MEDIUM", "HEALTHY")),
+        F.count_if(F.col("gap_days") >= gap_fault_days).alias("gap_devices"), F.max("gap_days").alias("max_gap_days"), F.sum("total_data_mb").alias("total_data_mb"),
+        *(hours(f"{k}_downtime_min") for k in ("bas", "nvr", "fas", "ias")), F.sum("camera_disconnects").alias("cam_dc_total"),
+        *(F.count_if(F.coalesce(c, F.lit("")) != "").alias(n) for n, c in present.items()), F.count_if(fault).alias("integrated_faults"),
+    )

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.scalars import HOUR_US
-from quarry.operators import guards, models, outages, outputs, quality, reports, splits, trailing
-from quarry.sources.tables import shape
+from quarry.functions.scalars import HOUR_US, is_fault_word, severity
+from quarry.functions.vocabulary import FAULT, MISSING
+from quarry.operators import grid, guards, hierarchy, models, outages, outputs, quality, reports, splits, trailing
+from quarry.sources.tables import shape, sql
 from quarry.streaming import runs
 
 from .features import KEYS, NOW_US, STEP_US, device_features
@@ -76,7 +77,7 @@ def _figures_sql() -> str:
     samples = {
         "total": "count(*)", "eligible": "count_if(ok)", "excluded": "count_if(NOT ok)", "anomaly_eligible": "count_if(n_rows > 0 AND split <> 'purged')",
         "label_measured": "count_if(label_status = 'measured')", "label_censored": "count_if(label_status = 'censored')",
-        "positive_labels": "count_if(y = 1)", "devices": "count(DISTINCT device_id)",
+        "positive_labels": "count(*) FILTER (y = 1)", "devices": "count(DISTINCT device_id)",
     }
     who = {"rows": "sum(n)", "devices_with_strong_evidence": "count_if(s > 0)", "weak_only_devices": "count_if(w > 0 AND s = 0)", "weak_evidence_rows": "sum(w)"}
     parts = [
@@ -123,3 +124,55 @@ def ml_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [c for c in wide.columns if "__" in c and not c.startswith("g__")]
     rows = spark.read.parquet(f"{path}/rows").select("device_id", "anchor_us", "y", *columns)
     return models.fold_report(models.cross_validate(rows, columns, f"{path}/folds", trees=5, depth=3))
+
+
+#: the six levels of the estate: bank, head office, region, zone, regional office, branch
+LEVELS = {
+    "bank": ["bank"], "head_office": ["bank", "customer_id"], "region": ["bank", "zone"], "zone": ["bank", "zone", "branch"],
+    "office": ["bank", "branch", "type"], "branch": ["bank", "zone", "branch", "type"],
+}
+GAP_FAULT_DAYS = 3  # fixed value: days without use from which a device counts as faulty
+_ESTATE = """SELECT bank, customer_id, zone, branch, type, CAST(k % 101 AS DOUBLE) AS score, k % 12 AS gap_days, (k % 9) * 0.5E0 AS total_data_mb,
+  k * 37 % 2000 AS bas_downtime_min, k * 11 % 700 AS nvr_downtime_min, k % 90 AS fas_downtime_min, k % 61 AS ias_downtime_min, k % 8 AS camera_disconnects,
+  CASE WHEN k % 5 = 0 THEN 'model' WHEN k % 5 = 1 THEN '' END AS recorder_model, CASE WHEN k % 3 = 0 THEN '10.0.0.1' ELSE '' END AS private_ip,
+  CASE k % 7 WHEN 0 THEN 'FAULT' WHEN 1 THEN 'N/A' WHEN 2 THEN 'ok' END AS integrated_status FROM (SELECT *, CAST(device_id AS BIGINT) AS k FROM {devices})"""
+
+
+def _levels_sql() -> str:
+    columns = ["bank", "customer_id", "zone", "branch", "type"]
+    faults = ", ".join(f"'{w}'" for w in FAULT if w.lower() not in MISSING)
+    sums = ", ".join(f"round(sum({k}_downtime_min) / 60, 1) AS {k}_down_hrs" for k in ("bas", "nvr", "fas", "ias"))
+    stats = f"""count(*) AS n_devices, round(avg(score), 1) AS avg_score, max(score) AS max_score, count(*) FILTER (score >= 70) AS n_critical, count(*) FILTER (score >= 45 AND score < 70) AS n_high,
+      count(*) FILTER (score >= 20 AND score < 45) AS n_medium, count(*) FILTER (score < 20) AS n_healthy, count(*) FILTER (gap_days >= {GAP_FAULT_DAYS}) AS gap_devices, max(gap_days) AS max_gap_days, sum(total_data_mb) AS total_data_mb,
+      {sums}, CAST(sum(camera_disconnects) AS BIGINT) AS cam_dc_total, count(*) FILTER (recorder_model <> '') AS recorder_devices, count(*) FILTER (private_ip <> '') AS tunnel_devices, count(*) FILTER (upper(trim(integrated_status)) IN ({faults})) AS integrated_faults"""
+    each = (f"SELECT {', '.join(c if c in cs else f'NULL AS {c}' for c in columns)}, '{name}' AS level, {stats} FROM estate GROUP BY {', '.join(cs)}" for name, cs in LEVELS.items())
+    return f"WITH estate AS ({_ESTATE.replace('{devices}', 'devices')}) " + " UNION ALL ".join(each)
+
+
+@query(_levels_sql())
+def agg_hier_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    estate = sql(spark, sf_dir, _ESTATE).withColumn("severity", severity(F.col("score")))
+    present = {"recorder_devices": F.col("recorder_model"), "tunnel_devices": F.col("private_ip")}
+    return hierarchy.level_summaries(estate, LEVELS, gap_fault_days=GAP_FAULT_DAYS, present=present, fault=is_fault_word(F.col("integrated_status")))
+
+
+_MONTHS = """s AS (SELECT bank, strftime(make_timestamp(anchor_us), '%Y-%m') AS month, device_id, anchor_us, probability, arrival_seq FROM scored JOIN devices USING (device_id) WHERE probability >= 0.5)"""
+
+
+def _critical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    banks = shape(spark, sf_dir, "devices").select("device_id", "bank")
+    rows = shape(spark, sf_dir, "scored").where("probability >= 0.5").join(banks, "device_id")
+    month = F.date_format(F.timestamp_micros("anchor_us").cast("timestamp_ntz"), "yyyy-MM")
+    return rows.select("bank", month.alias("month"), "device_id", "anchor_us", "probability", "arrival_seq")
+
+
+@query(f"WITH {_MONTHS} SELECT * FROM s ORDER BY bank, month, probability DESC, device_id, anchor_us, arrival_seq")
+def srt_review_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _critical(spark, sf_dir).orderBy("bank", "month", F.col("probability").desc(), "device_id", "anchor_us", "arrival_seq")
+
+
+@query(f"""WITH {_MONTHS}, r AS (SELECT *, CAST(row_number() OVER (PARTITION BY bank, month ORDER BY probability DESC, device_id, anchor_us, arrival_seq) AS INTEGER) AS turn, count(*) OVER (PARTITION BY bank, month) AS n FROM s)
+  SELECT bank, month, device_id, anchor_us, probability, arrival_seq, turn FROM r ORDER BY turn, n DESC, bank, month LIMIT 100""")
+def top_stratified_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = [F.col("probability").desc(), F.col("device_id"), F.col("anchor_us"), F.col("arrival_seq")]
+    return grid.stratified(_critical(spark, sf_dir), ["bank", "month"], best, 100)
