@@ -9,6 +9,7 @@ from quarry.functions.scalars import DAY_US
 from quarry.operators import outputs, quality
 from quarry.sources import readers
 from quarry.sources.tables import shape, sql, table
+from quarry.streaming import runs
 
 from .features import START_US
 from .registry import query
@@ -39,8 +40,11 @@ def src_events_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT device_id, key, us FROM telemetry WHERE us >= {WEEK[0]} AND us < {WEEK[1]} AND device_id IN ('3', '5', '8')")
 def src_staging_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = shape(spark, sf_dir, "telemetry")
-    return rows.where((F.col("us") >= WEEK[0]) & (F.col("us") < WEEK[1]) & F.col("device_id").isin("3", "5", "8")).select("device_id", "key", "us")
+    """A week of three devices from staged day folders; time, devices and days reach the scan."""
+    path = runs.scratch(spark, "staging")
+    rows = shape(spark, sf_dir, "telemetry").withColumn("day", F.to_date(F.timestamp_micros("us")))
+    outputs.write_parquet(rows.repartition("day"), path, by=["day"])
+    return readers.staged(spark, path, *WEEK, devices=["3", "5", "8"]).select("device_id", "key", "us")
 
 
 @query("SELECT DISTINCT device_id, key FROM telemetry")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.scalars import DAY_US, HOUR_US
+from quarry.functions.vocabulary import CAMERA_CHANNEL
 from quarry.operators import outages, splits, trailing
 from quarry.sources.tables import shape, sql
 
@@ -13,7 +14,6 @@ from .features import START_US
 from .registry import query
 
 END_US = START_US + 31 * DAY_US
-CAMERA = "(?i)^(BOI-\\s*)?CAMERA\\s+(TAMPER|DISCONNECT)"
 
 _WINDOWS = """marks AS (SELECT *, evidence_type = 'lc_disconnect' AS off_, evidence_type = 'lc_connect' AS on_ FROM evidence WHERE evidence_strength = 'strong'),
   islands AS (SELECT *, coalesce(sum(CAST(on_ AS INTEGER)) OVER (PARTITION BY device_id ORDER BY us, arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM marks),
@@ -78,7 +78,7 @@ def win_ts_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("device_id", F.col("anchor_us").alias("disconnect_us"), F.col("next_us").alias("connect_us"))
 
 
-@query(f"""WITH e AS (SELECT device_id, alarm_id, alarm_type, CASE WHEN regexp_matches(alarm_type, '{CAMERA}') THEN 'camera' ELSE 'device' END AS scope, start_us, clear_us
+@query(f"""WITH e AS (SELECT device_id, alarm_id, alarm_type, CASE WHEN regexp_matches(alarm_type, '{CAMERA_CHANNEL}') THEN 'camera' ELSE 'device' END AS scope, start_us, clear_us
     FROM alarms WHERE start_us IS NOT NULL)
   SELECT device_id, alarm_id, alarm_type, scope, 'ACTIVATED' AS state, start_us AS us FROM e
   UNION ALL SELECT device_id, alarm_id, alarm_type, scope, 'CLEARED', clear_us FROM e WHERE clear_us IS NOT NULL""")
