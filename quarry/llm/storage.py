@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _local_default: str | None = None
-#: Tables written since the innermost ``passing`` was entered.
-_written: list[list[str]] = []
+#: Tables written since each ``passing`` around this call was entered, the innermost last. Every thread has its own.
+_written: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("written", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,21 +43,22 @@ def settle(df: DataFrame, label: str, *, keep: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if _written and not keep:
-        _written[-1].append(path)
-    elif len(_written) > 1:
-        _written[-2].append(path)
+    owners = _written.get()[: -1 if keep else None]
+    if owners:
+        owners[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextlib.contextmanager
 def passing(spark: SparkSession) -> Iterator[None]:
     """Tables settled inside are deleted at the end, except those to keep: what is read later must be one of these."""
-    _written.append([])
+    own: list[str] = []
+    token = _written.set((*_written.get(), own))
     try:
         yield
     finally:
-        for path in _written.pop():
+        _written.reset(token)
+        for path in own:
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
