@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-Every row has a fixed 60-bit hash of its key. A source's sample is the set of rows
+Every row has a fixed 60-bit hash of its key and its text. A source's sample is the set of rows
 whose hash lies below one threshold, so samples for growing budgets are nested, reruns
 agree, and applying a mix is a filter. The threshold comes from histograms of tokens
 by hash bucket: the bucket in which the running sum passes the budget is refined by
@@ -21,9 +21,13 @@ LEVEL_BITS = 15
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def key_hash(key: Column) -> Column:
-    """60 bits of md5 over the key's text; a null key hashes as the empty text."""
-    digest = F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary"))
+def row_hash(key: Column, text: Column) -> Column:
+    """60 bits of md5 over the key and the text's own md5; nulls hash as empty texts.
+
+    The text tells apart rows that share a key or have none.
+    """
+    own = F.coalesce(F.md5(text.cast("binary")), F.lit(""))
+    digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(" "), own).cast("binary"))
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -118,7 +122,7 @@ def plan(
             F.col(f"`{key}`").alias("doc_id"),
             F.col(f"`{source}`").alias("source"),
             F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            key_hash(F.col(f"`{key}`")).alias("hash"),
+            row_hash(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("hash"),
         ),
         "mix-sizes",
     )
@@ -140,10 +144,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
 
     Size is the number of words. Returns doc_id, source, size, source_size, target,
     copies (0 to ``most``) and taken (copies times size). Each source's taken words
-    miss its target by at most half its largest group of rows with one key.
+    miss its target by at most half its largest group of rows with one key and one text.
 
     Null text counts 0 words; a null source is a source of its own, last in order.
-    Rows with one key (repeated rows, null keys) share a hash and so one decision.
+    Wholly repeated rows share a hash and so one decision; null keys are told apart by text.
     A source without words gets target 0. Empty tables give an empty result. Other
     columns are not read. The per-source tables are not hinted for broadcast; the
     planner decides by their measured size, and a hot source is split by it.
@@ -167,6 +171,6 @@ def mixed(
 ) -> DataFrame:
     """The mix itself: each row of ``docs`` as many times as ``mix`` says, same columns."""
     _, limits = plan(docs, weights, share, most, key=key, text=text, source=source)
-    counted = _with_copies(docs, limits, source, key_hash(F.col(f"`{key}`")))
+    counted = _with_copies(docs, limits, source, row_hash(F.col(f"`{key}`"), F.col(f"`{text}`")))
     again = F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))).alias("__mix_turn")
     return counted.where("__mix_copies > 0").select(*(F.col(f"`{c}`") for c in docs.columns), again).drop("__mix_turn")
