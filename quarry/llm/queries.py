@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, language, licenses, mixing, oracles, packing, quality, sharding, simhash, suffix_dedup, token_counts
+from . import (
+    divergence, fingerprints, language, licenses, mixing, oracles, packing, quality, sharding, simhash, suffix_dedup, token_counts,
+    url_filters, whitening,
+)
 from .storage import documents
 
 N_SHARDS = 24
@@ -53,20 +56,36 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.removal_report(documents(spark, sf_dir))
+    report = suffix_dedup.removal_report(documents(spark, sf_dir), passage=None)
+    return report.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_sharding, op2_simhash, op3_quality, op4_packing, op5_token_counts, op6_fingerprints,
-        op7_mixing, op8_language, op9_suffix_dedup, op10_licenses,
+        op7_mixing, op8_language, op9_suffix_dedup, op10_licenses, op11_whitening, op12_divergence, op13_url_filters,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": oracles.SHARDING, "op7_mixing": oracles.MIXING, "op9_suffix_dedup": oracles.SUFFIX_DEDUP}
+    return {
+        "op1_sharding": oracles.SHARDING, "op7_mixing": oracles.MIXING, "op9_suffix_dedup": oracles.SUFFIX_DEDUP,
+        "op12_divergence": oracles.DIVERGENCE, "op13_url_filters": oracles.URL_FILTERS,
+    }
