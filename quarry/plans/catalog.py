@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.operators import trailing
 from quarry.sources.tables import shape
 
-from . import exchange, features, fleet, labels, registry, streams, devices, sinks, dataset  # noqa: F401, I001
+from . import exchange, features, fleet, labels, registry, streams, devices, sinks, dataset, pulls  # noqa: F401, I001
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,14 +105,6 @@ def fetch_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.select(same).distinct().join(done, same, "left_anti")
 
 
-@query("SELECT device_id, key, us, value_num FROM telemetry UNION SELECT device_id, key, us, value_num FROM telemetry WHERE arrival_seq % 3 = 0")
-def fetch_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # pages overlap at their borders: a point is its time and value
-    points = shape(spark, sf_dir, "telemetry").select("device_id", "key", "us", "value_num", "arrival_seq")
-    pages = points.unionByName(points.where("arrival_seq % 3 = 0"))
-    return pages.dropDuplicates(["device_id", "key", "us", "value_num"]).drop("arrival_seq")
-
-
 @query("SELECT split_part(error, ' ', 1) AS category, count(*) AS n FROM ledger WHERE error IS NOT NULL GROUP BY 1")
 def agg_error_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = shape(spark, sf_dir, "ledger").where("error IS NOT NULL")

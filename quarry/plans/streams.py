@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import models
 from quarry.sources.tables import _SPARK_US, shape
-from quarry.streaming import runs, stateful
+from quarry.streaming import runs, snapshots, stateful
 
 from .features import NOW_US, device_features
 from .registry import query
@@ -32,17 +32,51 @@ _SNAPSHOTS = """snaps AS (SELECT device_id, us, evidence_type = 'lc_disconnect'
     CASE WHEN arrival_seq % 3 > 0 THEN us - 1000000 END AS connect_us, arrival_seq FROM evidence WHERE evidence_strength = 'strong')"""
 
 
-@query(f"""WITH {_SNAPSHOTS}, islands AS (SELECT *, coalesce(sum(CAST(NOT is_offline AS INTEGER)) OVER (PARTITION BY device_id ORDER BY us ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM snaps),
+_RECOVERIES = f"""WITH {_SNAPSHOTS}, islands AS (SELECT *, coalesce(sum(CAST(NOT is_offline AS INTEGER)) OVER (PARTITION BY device_id ORDER BY us ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM snaps),
   s AS (SELECT device_id, k, coalesce(max_by(offline_since, us) FILTER (is_offline AND offline_since IS NOT NULL), min(us) FILTER (is_offline)) AS outage_start,
     max(us) FILTER (NOT is_offline) AS seen_us, max(connect_us) FILTER (NOT is_offline) AS connect_us FROM islands GROUP BY ALL)
-  SELECT device_id, outage_start, CASE WHEN connect_us > outage_start THEN connect_us ELSE seen_us END AS outage_end, seen_us FROM s WHERE outage_start IS NOT NULL AND seen_us IS NOT NULL""")
+  SELECT device_id, outage_start, CASE WHEN connect_us > outage_start THEN connect_us ELSE seen_us END AS outage_end, seen_us FROM s WHERE outage_start IS NOT NULL AND seen_us IS NOT NULL"""
+
+
+@query(_RECOVERIES)
 def win_recoveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stateful.recoveries(_snapshots(spark, sf_dir).drop("arrival_seq"))
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.col("arrival_seq")
-    snaps = shape(spark, sf_dir, "evidence").where("evidence_strength = 'strong'").select(
+    return shape(spark, sf_dir, "evidence").where("evidence_strength = 'strong'").select(
         "device_id", "us", (F.col("evidence_type") == "lc_disconnect").alias("is_offline"),
         F.when(seq % 4 > 0, F.col("us") - 60_000_000).alias("offline_since"), F.when(seq % 3 > 0, F.col("us") - 1_000_000).alias("connect_us"),
+        "arrival_seq",
+    )
+
+
+HOUR_US = 3_600_000_000
+
+
+@query(_RECOVERIES)
+def stm_snapshot_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots come in three deliveries, each run by a new query from the last one's progress; some come a delivery late."""
+    snaps = _snapshots(spark, sf_dir)
+    ends = [NOW_US - 20 * 24 * HOUR_US, NOW_US - 10 * 24 * HOUR_US]
+    # a snapshot of the last half hour before a delivery may come with the next one
+    late = F.when(F.col("arrival_seq") % 3 == 0, F.lit(HOUR_US // 2)).otherwise(0)
+    part = sum((F.when(F.col("us") + late > end, 1).otherwise(0) for end in ends), F.lit(0))
+    staged, out, progress = (runs.scratch(spark, n) for n in ("snapshots", "recoveries", "progress"))
+    feed = snaps.withColumn("part", part).drop("arrival_seq")
+    tick = spark.range(1).select(
+        F.lit(snapshots.TICK).alias("device_id"), F.lit(NOW_US + 100 * 24 * HOUR_US).alias("us"), F.lit(False).alias("is_offline"),
+        F.lit(None).cast("long").alias("offline_since"), F.lit(None).cast("long").alias("connect_us"),
     )
-    return stateful.recoveries(snaps)
+    for k in range(len(ends) + 2):
+        delivery = feed.where(F.col("part") == k).drop("part") if k <= len(ends) else tick
+        delivery.write.mode("append").parquet(staged)
+        stream = spark.readStream.schema(delivery.schema).parquet(staged)
+        with runs.rocksdb(spark):
+            runs.carry_on(snapshots.recoveries(stream), out, progress)
+    found = spark.read.schema(snapshots.RECOVERY).parquet(out)
+    return found.groupBy("device_id", "outage_start", "outage_end").agg(F.min("seen_us").alias("seen_us"))
 
 
 @query(f"SELECT event_id, epoch_us(ts) AS us, epoch_us(ts) > {NOW_US - 86400000000 * 10} AS late FROM events")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +14,7 @@ def scratch(spark: SparkSession, label: str) -> str:
     """A new path in the folder that ``spark.checkpoint.dir`` names; a local session that names none gets a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="quarry-stream-")
     return f"{root}/{label}-{uuid.uuid4().hex}"
@@ -34,7 +35,28 @@ def run_to_end(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None]) -> None:
-    """Give each micro-batch to ``handle``, which must be safe to repeat for one batch number."""
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", scratch(stream.sparkSession, "progress"))
+def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], progress: str | None = None) -> None:
+    """Give each micro-batch to ``handle``, which must be safe to repeat for one batch number; goes on from ``progress`` if there is one."""
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", progress or scratch(stream.sparkSession, "progress"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+@contextlib.contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, as operators with timers need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def carry_on(stream: DataFrame, out: str, progress: str, mode: str = "append") -> None:
+    """Process what is new since the last run with the same ``progress`` folder, and add to the table at ``out``.
+
+    The sink's own log makes a batch that is run again after a stop replace itself.
+    """
+    writer = stream.writeStream.outputMode(mode).format("parquet").option("path", out).option("checkpointLocation", progress)
     writer.trigger(availableNow=True).start().awaitTermination()
