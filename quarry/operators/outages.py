@@ -126,6 +126,40 @@ def coverage_verdicts(ledger: DataFrame, coverage_end_us: int, min_days: float =
     )
 
 
+def sweep(samples: DataFrame, windows: DataFrame, horizon_us: int) -> DataFrame:
+    """Add inside and n_ahead to samples (device_id, anchor_us, ...): what intervals (outage_start, outage_end) mean for them.
+
+    ``inside``: an interval that has an end holds the anchor, ends included. ``n_ahead``: how many start in
+    (anchor, anchor + horizon]. Starts, starts less the horizon and anchors of a device pass once in
+    order of time: of starts that came by less the horizon, those that came by themselves
+    are not ahead any more. So work grows with samples and intervals, not with pairs of them.
+    """
+    sample = F.struct(*(F.col(f"`{c}`") for c in samples.columns))
+    marks = windows.where("outage_start IS NOT NULL").select("device_id", F.inline(F.array(
+        F.struct(F.col("outage_start").alias("_us"), F.lit(-1).alias("_n"), F.col("outage_end").alias("_end")),
+        F.struct((F.col("outage_start") - horizon_us).alias("_us"), F.lit(1).alias("_n"), F.lit(None).cast("long").alias("_end")),
+    )))
+    anchors = samples.select("device_id", F.col("anchor_us").alias("_us"), F.lit(0).alias("_n"), F.lit(None).cast("long").alias("_end"), sample.alias("_sample"))
+    rows = anchors.unionByName(marks, allowMissingColumns=True)
+    # marks of an anchor's own time come before it
+    upto = Window.partitionBy("device_id").orderBy("_us", F.col("_sample").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    passed = rows.withColumns({"_ahead": F.sum("_n").over(upto), "_last": F.max("_end").over(upto)}).where("_sample IS NOT NULL")
+    inside = F.coalesce(F.col("_last") >= F.col("_us"), F.lit(False))
+    return passed.select("_sample.*", inside.alias("inside"), F.col("_ahead").cast("long").alias("n_ahead"))
+
+
+def next_start(samples: DataFrame, windows: DataFrame) -> DataFrame:
+    """Add first_start to samples: the earliest start of an interval after the anchor."""
+    sample = F.struct(*(F.col(f"`{c}`") for c in samples.columns))
+    anchors = samples.select("device_id", F.col("anchor_us").alias("_us"), F.lit(None).cast("long").alias("_start"), sample.alias("_sample"))
+    marks = windows.select("device_id", F.col("outage_start").alias("_us"), F.col("outage_start").alias("_start")).where("_us IS NOT NULL")
+    rows = anchors.unionByName(marks, allowMissingColumns=True)
+    # backwards in time, and anchors before starts of their own time, which are not after them
+    later = Window.partitionBy("device_id").orderBy(F.desc("_us"), F.col("_sample").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = rows.withColumn("first_start", F.last("_start", ignorenulls=True).over(later)).where("_sample IS NOT NULL")
+    return found.select("_sample.*", "first_start")
+
+
 def label_samples(
     samples: DataFrame, windows: DataFrame, spans: DataFrame, coverage_end_us: int, *, verdicts: DataFrame | None = None,
     horizon_hours: int = 24, min_span_days: float = 7,
@@ -133,31 +167,28 @@ def label_samples(
     """Add y (1, 0 or null), label_status and censor_reason to samples (device_id, anchor_us, split).
 
     A negative needs proof that an outage would have been seen; what cannot be
-    known is censored, by the first reason that holds. Outage intervals are joined on
-    the device; all facts about a device are one row.
+    known is censored, by the first reason that holds. Intervals meet anchors in one
+    pass in order of time (``sweep``); all facts about a device are one row.
     """
     horizon = horizon_hours * HOUR_US
     verified = windows.where("window_closed")
     any_verified = verified.limit(1).select(F.lit(True).alias("_any"))
-    per_device = windows.groupBy("device_id").agg(
-        F.min(F.when(~F.col("window_closed"), F.col("outage_start"))).alias("_open"),
-        F.collect_list(F.when(F.col("window_closed"), F.struct("outage_start", "outage_end"))).alias("_verified"),
-    )
-    facts = samples.join(per_device, "device_id", "left").join(spans, "device_id", "left").join(F.broadcast(any_verified), how="left")
+    open_since = windows.where("NOT window_closed").groupBy("device_id").agg(F.min("outage_start").alias("_open"))
+    columns = [F.col(f"`{c}`") for c in samples.columns]
+    swept = sweep(samples, verified, horizon).withColumnsRenamed({"inside": "_inside", "n_ahead": "_n_ahead"})
+    facts = swept.join(open_since, "device_id", "left").join(spans, "device_id", "left").join(F.broadcast(any_verified), how="left")
     gated = F.lit(verdicts is not None)
     if verdicts is not None:
         facts = facts.join(verdicts.select("device_id", F.col("covered").alias("_covered"), F.col("stale").alias("_stale")), "device_id", "left")
     else:
         facts = facts.withColumns({"_covered": F.lit(None).cast("boolean"), "_stale": F.lit(None).cast("boolean")})
-    t = F.col("anchor_us")
-    inside = F.exists("_verified", lambda w: (w["outage_start"] <= t) & (t <= w["outage_end"]))
-    ahead = F.exists("_verified", lambda w: (w["outage_start"] > t) & (w["outage_start"] <= t + horizon))
+    t, ahead = F.col("anchor_us"), F.col("_n_ahead") > 0
     reason = (
         F.when(F.col("_any").isNull(), "no_verified_outage_source")
         .when(F.col("split") == "purged", "split_purge_gap")
         .when(t + horizon > coverage_end_us, "future_label_coverage_incomplete")
         .when(F.col("_open") <= t, "inside_verified_outage")
-        .when(inside, "inside_verified_outage")
+        .when(F.col("_inside"), "inside_verified_outage")
         .when(ahead, F.lit(None))
         .when(gated & ~F.coalesce("_covered", F.lit(False)), "no_label_source_coverage_for_device")
         .when(gated & F.coalesce("_stale", F.lit(True)), "label_source_history_stale")
@@ -165,8 +196,8 @@ def label_samples(
         .when(F.col("_open").isNotNull(), "open_outage_window_unverified")
     )
     return facts.withColumn("censor_reason", reason).select(
-        *samples.columns,
-        F.when(F.col("censor_reason").isNull(), F.when(F.coalesce(ahead, F.lit(False)), 1).otherwise(0)).alias("y"),
+        *columns,
+        F.when(F.col("censor_reason").isNull(), F.when(ahead, 1).otherwise(0)).alias("y"),
         F.when(F.col("censor_reason").isNull(), "measured").otherwise("censored").alias("label_status"),
         "censor_reason",
     )

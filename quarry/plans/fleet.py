@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions import scalars as S
 from quarry.functions import vocabulary as V
 from quarry.functions.scalars import DAY_US, HOUR_US
-from quarry.operators import grid, metrics, scoring
+from quarry.operators import grid, hierarchy, metrics, scoring
 from quarry.sources.tables import shape, sql, table
 
 from .features import START_US
@@ -230,12 +230,70 @@ def join_ancestry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.ancestors(edges)
 
 
-@query("""SELECT device_id, coalesce(branch, zone, bank) AS leaf, concat_ws(' → ', bank, zone, branch) AS full_path, CAST(2 + CASE WHEN branch IS NULL THEN 0 ELSE 1 END AS INTEGER) AS depth FROM devices""")
+#: Devices under branches, zones and regions, with two parents, parents that are not known or not walked through, a cycle, and a chain too deep.
+_RELATIONS = """
+  SELECT 'd' || c_custkey AS child, 'b' || c_custkey % 40 AS parent, 1 AS ord FROM {customer}
+  UNION ALL SELECT 'd' || c_custkey, 'k' || c_nationkey % 5, 0 FROM {customer} WHERE c_custkey % 5 = 0
+  UNION ALL SELECT 'd' || c_custkey, 'b' || c_custkey % 7, 2 FROM {customer} WHERE c_custkey % 7 = 0
+  UNION ALL SELECT 'd' || c_custkey, 'nowhere', 0 FROM {customer} WHERE c_custkey % 11 = 0
+  UNION ALL SELECT DISTINCT 'b' || c_custkey % 40, 'z' || c_custkey % 40 % 25, 1 FROM {customer}
+  UNION ALL SELECT DISTINCT 'b' || c_custkey % 40, 'x' || c_custkey % 40, 0 FROM {customer} WHERE c_custkey % 4 = 0
+  UNION ALL SELECT 'z' || n_nationkey, 'r' || n_regionkey, 1 FROM {nation}
+  UNION ALL SELECT 'z' || n_nationkey, 'l' || n_nationkey % 3, 0 FROM {nation} WHERE n_nationkey % 4 = 0
+  UNION ALL SELECT 'r' || r_regionkey, 'k' || r_regionkey, 0 FROM {region}
+  UNION ALL SELECT 'r' || r_regionkey, 't', 1 FROM {region}
+  UNION ALL SELECT 't', 'r0', 0 FROM {region} WHERE r_regionkey = 0
+  UNION ALL SELECT 't', 'z3', 1 FROM {region} WHERE r_regionkey = 0
+  UNION ALL SELECT 'l' || r_regionkey, 'e0', 0 FROM {region} WHERE r_regionkey < 3
+  UNION ALL SELECT 'e' || n_nationkey, 'e' || (n_nationkey + 1), 0 FROM {nation} WHERE n_nationkey < 9"""
+#: What each of these gives, one field a row.
+_ENTITIES = """
+  SELECT DISTINCT 'b' || c_custkey % 40 AS id, true AS expands, 'branch_name' AS field, CASE WHEN c_custkey % 40 % 6 = 0 THEN '' ELSE 'Branch ' || c_custkey % 40 END AS value FROM {customer}
+  UNION ALL SELECT 'z' || n_nationkey, true, 'zo_name', n_name FROM {nation}
+  UNION ALL SELECT 'z' || n_nationkey, true, 'zo_code', CASE WHEN n_nationkey % 2 = 0 THEN '' ELSE 'Z' || n_nationkey END FROM {nation}
+  UNION ALL SELECT 'r' || r_regionkey, true, 'nbg_name', CASE WHEN r_regionkey = 2 THEN '' ELSE r_name END FROM {region}
+  UNION ALL SELECT 'k' || r_regionkey, false, 'bank_name', 'Bank ' || r_regionkey FROM {region}
+  UNION ALL SELECT 'k' || r_regionkey, false, 'nbg_name', 'Group ' || r_regionkey FROM {region} WHERE r_regionkey = 3
+  UNION ALL SELECT 't', true, 'ho_name', 'Head' FROM {region} WHERE r_regionkey = 0
+  UNION ALL SELECT 'l' || r_regionkey, true, 'lho_name', 'Local ' || r_regionkey FROM {region} WHERE r_regionkey < 3
+  UNION ALL SELECT 'e' || n_nationkey, true, 'e_name', 'e' || n_nationkey FROM {nation} WHERE n_nationkey < 9
+  UNION ALL SELECT 'e' || n_nationkey, true, 'ho_name', 'Deep ' || n_nationkey FROM {nation} WHERE n_nationkey BETWEEN 4 AND 9"""
+_HOLDERS = """
+  SELECT 'd' || c_custkey AS device_id, CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE 'c' || c_nationkey END AS customer_id, 'zo_name' AS field,
+    CASE WHEN c_custkey % 9 = 0 THEN 'Own zone' ELSE '' END AS value FROM {customer}
+  UNION ALL SELECT 'd' || c_custkey, CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE 'c' || c_nationkey END, 'nbg_name', CASE WHEN c_custkey % 8 = 0 THEN 'Own group' END FROM {customer}
+  UNION ALL SELECT 'd' || c_custkey, CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE 'c' || c_nationkey END, 'branch_name', 'Own branch' FROM {customer} WHERE c_custkey % 16 = 0"""
+_CUSTOMERS = """
+  SELECT 'c' || n_nationkey AS customer_id, r_name AS bank_name, CASE WHEN n_nationkey % 4 = 0 THEN '' ELSE 'Group of ' || n_name END AS nbg_name
+  FROM {nation} JOIN {region} ON n_regionkey = r_regionkey"""
+_HIERARCHY_FIELDS = ("bank_name", "ho_name", "nbg_name", "lho_name", "zo_name", "zo_code", "ro_name", "co_name", "rbo_name", "branch_name")
+
+
+def _plain(text: str) -> str:
+    return text.replace("{", "").replace("}", "")
+
+
+@query(f"""WITH RECURSIVE relations AS ({_plain(_RELATIONS)}), entities AS ({_plain(_ENTITIES)}), holders AS ({_plain(_HOLDERS)}), givers AS ({_plain(_CUSTOMERS)}),
+  steps AS (SELECT child, parent, ord, parent IN (SELECT id FROM entities WHERE expands) AS expands FROM relations WHERE parent IN (SELECT id FROM entities)),
+  own AS (SELECT device_id, customer_id, map_from_entries(list((field, value)) FILTER (coalesce(value, '') <> '')) AS f FROM holders GROUP BY ALL),
+  walk AS (SELECT device_id, parent AS node, [lpad(CAST(ord AS VARCHAR), 3, '0') || parent] AS path, expands FROM own JOIN steps ON child = device_id WHERE f['nbg_name'] IS NULL OR f['branch_name'] IS NULL
+    UNION ALL SELECT device_id, parent, list_append(path, lpad(CAST(ord AS VARCHAR), 3, '0') || parent), s.expands FROM walk w JOIN steps s ON child = node WHERE w.expands AND len(path) < 8),
+  named AS (SELECT device_id, field, value FROM walk JOIN entities ON id = node QUALIFY row_number() OVER (PARTITION BY device_id, field ORDER BY path) = 1),
+  found AS (SELECT own.device_id, customer_id, {", ".join(f"coalesce(any_value(f['{c}']), max(nullif(value, '')) FILTER (field = '{c}')) AS {c}" for c in _HIERARCHY_FIELDS)}
+    FROM own LEFT JOIN named USING (device_id) GROUP BY ALL),
+  merged AS (SELECT device_id, {", ".join(
+    f"CASE WHEN found.nbg_name IS NULL AND g.customer_id IS NOT NULL THEN nullif(g.{c}, '') ELSE found.{c} END AS {c}" if c in ("bank_name", "nbg_name") else c for c in _HIERARCHY_FIELDS
+  )} FROM found LEFT JOIN givers g USING (customer_id))
+  SELECT device_id, {", ".join(_HIERARCHY_FIELDS)}, concat_ws(' → ', {", ".join(hierarchy.PATH_LEVELS)}) AS full_path,
+    CAST({" + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in hierarchy.PATH_LEVELS)} AS INTEGER) AS hierarchy_depth FROM merged""")
 def join_hier_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = shape(spark, sf_dir, "devices")
-    levels = ["bank", "zone", "branch"]
-    depth = sum((F.when(F.col(c).isNull(), 0).otherwise(1) for c in levels), F.lit(0))
-    return d.select("device_id", F.coalesce("branch", "zone", "bank").alias("leaf"), F.concat_ws(" → ", *levels).alias("full_path"), depth.cast("int").alias("depth"))
+    """Own attributes, then a walk over relations, then the customer, as the path of every device."""
+    read = lambda text: sql(spark, sf_dir, text)
+    fields = F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("fields")
+    devices = read(_HOLDERS).groupBy("device_id", "customer_id").agg(fields)
+    entities = read(_ENTITIES).groupBy("id", "expands").agg(fields)
+    merged = hierarchy.merge_hierarchy(devices, read(_RELATIONS), entities, read(_CUSTOMERS))
+    return merged.select("device_id", *(F.try_element_at("fields", F.lit(c)).alias(c) for c in _HIERARCHY_FIELDS), "full_path", "hierarchy_depth")
 
 
 # ---- metrics ------------------------------------------------------------------------------------------------------

@@ -147,12 +147,12 @@ def agg_evidence_span(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _VERDICTS = f"""verdicts AS (SELECT device_id, bool_or(completeness IN ('ok', 'complete', 'success', 'empty_verified')) AS covered,
-    max(newest_us) FILTER (completeness IN ('ok', 'complete', 'success', 'empty_verified')) AS newest_us FROM ledger WHERE device_id NOT LIKE '%7' GROUP BY 1),
+    max(newest_us) FILTER (completeness IN ('ok', 'complete', 'success', 'empty_verified')) AS newest_us FROM ledger GROUP BY 1),
   judged AS (SELECT *, coalesce({END_US} - newest_us > {2 * DAY_US}, true) AS stale FROM verdicts)"""
 
 
 def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outages.coverage_verdicts(shape(spark, sf_dir, "ledger").where("device_id NOT LIKE '%7'"), END_US, min_days=2)
+    return outages.coverage_verdicts(shape(spark, sf_dir, "ledger"), END_US, min_days=2)
 
 
 @query(f"WITH {_VERDICTS} SELECT * FROM judged")
@@ -219,9 +219,9 @@ def lbl_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_WINDOWS}, {_SAMPLES} SELECT s.device_id, s.anchor_us, count(*) AS n_ahead, min(w.outage_start) AS first_start FROM samples s
   JOIN windows w ON s.device_id = w.device_id AND w.outage_start > s.anchor_us AND w.outage_start <= s.anchor_us + {24 * HOUR_US} GROUP BY ALL""")
 def join_interval_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = (F.col("outage_start") > F.col("anchor_us")) & (F.col("outage_start") <= F.col("anchor_us") + 24 * HOUR_US)
-    joined = _samples(spark, sf_dir).join(_windows(spark, sf_dir), "device_id").where(near)
-    return joined.groupBy("device_id", "anchor_us").agg(F.count(F.lit(1)).alias("n_ahead"), F.min("outage_start").alias("first_start"))
+    windows = _windows(spark, sf_dir)
+    met = outages.sweep(_samples(spark, sf_dir), windows, 24 * HOUR_US).where("n_ahead > 0")
+    return outages.next_start(met, windows).select("device_id", "anchor_us", "n_ahead", "first_start")
 
 
 # ---- splits -------------------------------------------------------------------------------------------------------

@@ -55,12 +55,12 @@ SHAPES = {
           r_name AS bank, n_name AS zone, CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE c_mktsegment END AS branch,
           c_acctbal AS balance, c_custkey % 13 AS key_count
         FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
-    # a record per request; a later sequence number supersedes the same request
+    # a record per request; a later sequence number supersedes the same request; every tenth device has none that succeeded
     "ledger": """
         SELECT CAST(user_id AS STRING) AS device_id, event_type AS key, event_id AS seq, event_id % 3 AS request,
-          CASE WHEN event_id % 11 = 0 THEN 'failed' WHEN event_id % 13 = 0 THEN 'partial'
+          CASE WHEN event_id % 11 = 0 OR user_id % 10 = 7 THEN 'failed' WHEN event_id % 13 = 0 THEN 'partial'
             WHEN event_id % 17 = 0 THEN 'empty_verified' ELSE 'complete' END AS completeness,
-          CASE WHEN event_id % 11 = 0 THEN 'TimeoutError after 30 s' WHEN event_id % 13 = 0 THEN 'Stalled cursor' END AS error,
+          CASE WHEN event_id % 11 = 0 OR user_id % 10 = 7 THEN 'TimeoutError after 30 s' WHEN event_id % 13 = 0 THEN 'Stalled cursor' END AS error,
           CAST(event_id % 100 AS BIGINT) AS n_rows, [us ts] AS newest_us
         FROM {events}""",
     # several lines a device: an hourly risk score and whether an outage follows

@@ -20,6 +20,13 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as Parquet in the shared folder, read again: later steps start from there."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A stream of the Parquet files called ``name`` in ``folder``."""
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
