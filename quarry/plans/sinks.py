@@ -2,28 +2,122 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quarry.functions.scalars import DAY_US
-from quarry.operators import outputs, trailing
-from quarry.sources import extract, readers
+from quarry.operators import outputs, quality, trailing
+from quarry.sources import by_device, extract, readers
 from quarry.sources.tables import shape, sql
 from quarry.streaming import runs, stateful
 
 from .devices import _CARDS, _payload_sql, _texts
-from .features import _ANCHORS, _JUDGED, KEYS, NOW_US, STEP_US, anchors_of
+from .features import _ANCHORS, _JUDGED, KEYS, NOW_US, START_US, STEP_US, anchors_of
 from .registry import query
 
 ROW_CAP = 125
 
 
-@query(f"""WITH {_JUDGED}, d AS (SELECT us // {DAY_US} AS day, CASE WHEN key IN ('click', 'error') THEN 0 WHEN key IN ('purchase', 'signup') THEN 1 ELSE 2 END AS batch, reason FROM judged WHERE us IS NOT NULL)
-  SELECT CAST(day AS BIGINT) AS day, batch, count(*) AS n_rows, CASE WHEN count(*) > {ROW_CAP} THEN 0 ELSE count_if(reason IS NULL) END::BIGINT AS n_written,
-    CASE WHEN count(*) > {ROW_CAP} THEN 'over_cap' ELSE 'ok' END AS status FROM d GROUP BY ALL""")
+#: The day on which the source fails at the first run.
+BAD_DAY = START_US // DAY_US + 2
+FIRST_DAY, END_DAY = START_US // DAY_US, START_US // DAY_US + 31
+
+
+def _failing(read: Callable[[extract.Batch], DataFrame]) -> Callable[[extract.Batch], DataFrame]:
+    """The same source, broken off in the middle of one day."""
+
+    def broken(batch: extract.Batch) -> DataFrame:
+        rows = read(batch)
+        if batch.day != BAD_DAY:
+            return rows
+        return rows.withColumn("reason", F.when(F.col("us").isNotNull(), F.raise_error(F.lit("connection lost"))).otherwise(F.col("reason")))
+
+    return broken
+
+
+def _laid_by_day(rows: DataFrame, day: Column) -> DataFrame:
+    """The source: rows in a folder a day, so that a batch reads its own day."""
+    path = runs.scratch(rows.sparkSession, "source")
+    rows.withColumn("day", day).repartition("day").write.partitionBy("day").parquet(path)
+    return rows.sparkSession.read.schema(StructType([*rows.schema, StructField("day", LongType())])).parquet(path)
+
+
+@query(f"""WITH {_JUDGED}, batches AS (SELECT unnest(range({FIRST_DAY}, {END_DAY})) AS day, part FROM unnest([0, 1, 2]) AS t(part)),
+  d AS (SELECT us // {DAY_US} AS day, CASE WHEN key IN ('click', 'error') THEN 0 WHEN key IN ('purchase', 'signup') THEN 1 ELSE 2 END AS part, reason, us FROM judged),
+  c AS (SELECT b.day, b.part, count(us) AS n, count_if(us IS NOT NULL AND reason IS NULL) AS good, min(us) FILTER (reason IS NULL) AS oldest, max(us) FILTER (reason IS NULL) AS newest FROM batches b LEFT JOIN d ON (d.day, d.part) = (b.day, b.part) GROUP BY ALL),
+  s AS (SELECT *, CASE WHEN n = 0 THEN 'empty' WHEN n >= {ROW_CAP} THEN 'over_cap' ELSE 'ok' END AS status FROM c)
+  SELECT CAST(day AS BIGINT) AS day, CAST(part AS INTEGER) AS part, CASE WHEN day = {BAD_DAY} AND n > 0 THEN 'failed' ELSE status END AS first_status, status, n AS n_rows, CASE WHEN status = 'ok' THEN good ELSE 0 END AS n_written,
+    CASE WHEN status = 'ok' THEN oldest END AS oldest_us, CASE WHEN status = 'ok' THEN newest END AS newest_us,
+    CAST(CASE WHEN status = 'over_cap' OR day = {BAD_DAY} AND n > 0 THEN 2 ELSE 1 END AS INTEGER) AS attempt FROM s""")
 def src_partitioned_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest after a run in which one day fails, and after the rerun that fills it in; rows written are those read back."""
     raw = shape(spark, sf_dir, "raw_telemetry")
-    return extract.extract_days(raw, KEYS, runs.scratch(spark, "extract"), NOW_US, cap=ROW_CAP, per_batch=2)
+    laid = _laid_by_day(raw, F.floor(quality.iso_micros(F.col("time")) / DAY_US).cast("long"))
+    read, path = extract.telemetry_reader(laid, NOW_US), runs.scratch(spark, "extract")
+    work = extract.batches(FIRST_DAY, END_DAY, KEYS, 2)
+    first = runs.written(extract.run(spark, work, _failing(read), path, cap=ROW_CAP), "manifest").select("batch", F.col("status").alias("first_status"))
+    second = extract.run(spark, work, read, path, cap=ROW_CAP)
+    back = extract.Folder(spark, path).rows("device_id string, key string, us long")
+    part = F.when(F.col("key").isin("click", "error"), 0).when(F.col("key").isin("purchase", "signup"), 1).otherwise(2)
+    back = back.groupBy(F.floor(F.col("us") / DAY_US).alias("day"), part.alias("part")).agg(F.count(F.lit(1)).alias("_n"))
+    found = second.drop("n_written").join(first, "batch").join(back, ["day", "part"], "left")
+    return found.select("day", "part", "first_status", "status", "n_rows", F.coalesce("_n", F.lit(0)).alias("n_written"), "oldest_us", "newest_us", "attempt")
+
+
+#: Kinds of events that are evidence of the devices' state.
+STATE_EVENTS = ["lc_connect", "lc_disconnect", "current_attr_snapshot"]
+
+
+@query("SELECT device_id, us, arrival_seq, evidence_type FROM evidence WHERE evidence_type IN ('lc_connect', 'lc_disconnect', 'current_attr_snapshot')")
+def src_events_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the kinds of interest, day by day; the day that fails is filled in by the rerun."""
+    events = shape(spark, sf_dir, "evidence").select("device_id", "us", "arrival_seq", "evidence_type")
+    read, path = extract.events_reader(_laid_by_day(events, F.floor(F.col("us") / DAY_US).cast("long"))), runs.scratch(spark, "events")
+    work = extract.batches(FIRST_DAY, END_DAY, STATE_EVENTS, len(STATE_EVENTS))
+    extract.run(spark, work, _failing(read), path, cap=None)
+    extract.run(spark, work, read, path, cap=None)
+    return extract.Folder(spark, path).rows(events.schema)
+
+
+def _by_device(spark: SparkSession, sf_dir: str) -> str:
+    name = f"readings_{uuid.uuid4().hex}"
+    by_device.save(shape(spark, sf_dir, "telemetry"), name, runs.scratch(spark, name), 16)
+    return name
+
+
+@query("""WITH s AS (SELECT *, us - lag(us) OVER (PARTITION BY device_id ORDER BY us) AS gap FROM telemetry)
+  SELECT device_id, count(*) AS n_rows, count(DISTINCT key) AS n_keys, min(us) AS oldest_us, max(us) AS newest_us, max(gap) AS longest_gap_us FROM s GROUP BY 1""")
+def src_device_parquet_iter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device after device from the layout by device: neither the window nor the grouping moves a row."""
+    rows = by_device.load(spark, _by_device(spark, sf_dir))
+    gaps = rows.withColumn("gap", F.col("us") - F.lag("us").over(Window.partitionBy("device_id").orderBy("us")))
+    per_key = gaps.groupBy("device_id", "key").agg(F.count(F.lit(1)).alias("n"), F.min("us").alias("a"), F.max("us").alias("b"), F.max("gap").alias("g"))
+    return per_key.groupBy("device_id").agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_keys"), F.min("a").alias("oldest_us"), F.max("b").alias("newest_us"), F.max("g").alias("longest_gap_us")
+    )
+
+
+@query("SELECT device_id, key, us, arrival_seq, value_num, value_text, device_id < '5' AS legacy FROM telemetry")
+def src_bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All readings at once from files of the old layout and of the new, a broken file among them."""
+    path, rows = runs.scratch(spark, "bulk"), shape(spark, sf_dir, "telemetry")
+    rows.where("device_id < '5'").write.parquet(f"{path}/legacy")
+    rows.where("device_id >= '5'").withColumn("device", F.col("device_id")).repartition("device").write.partitionBy("device").parquet(f"{path}/devices")
+    extract.Folder(spark, path).put("legacy/broken.parquet", b"not a parquet file")
+    found = by_device.readable(spark, [f"{path}/legacy", f"{path}/devices"], rows.schema)
+    return found.select(*rows.columns, F.contains("source_file", F.lit("/legacy/")).alias("legacy"))
+
+
+@query("SELECT device_id, key, us, value_num FROM telemetry")
+def src_ts_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cache that one run began and the next completes."""
+    path, rows = runs.scratch(spark, "cache"), shape(spark, sf_dir, "telemetry").select("device_id", "key", "us", "value_num")
+    by_device.cached(rows.where("device_id < '5'"), path)
+    return by_device.cached(rows, path)
 
 
 @query("""SELECT device_id, us, 'event' AS origin, evidence_type FROM evidence UNION ALL
