@@ -13,18 +13,23 @@ from quarry.operators import grid, guards, hierarchy, models, outages, outputs,
 from quarry.sources.tables import shape, sql
 from quarry.streaming import runs
 
-from .features import KEYS, NOW_US, STEP_US, device_features
-from .labels import _WINDOWS, END_US, _labels_sql, _windows, lbl_samples
+from .features import _JUDGED, KEYS, NOW_US, STEP_US, device_features
+from .labels import _SAMPLES, _WINDOWS, END_US, _labels_sql, _windows, lbl_samples
 from .registry import query
 
 
 def build_dataset(
-    readings: DataFrame, evidence: DataFrame, out: str, *, keys: Sequence[str], now_us: int, end_us: int, hours: Sequence[int] = (24,), purge_hours: float = 24
-) -> guards.Status:
+    readings: DataFrame, evidence: DataFrame, out: str, *, keys: Sequence[str], now_us: int, end_us: int, ledger: DataFrame | None = None,
+    coverage_days: float = 7, hours: Sequence[int] = (24,), purge_hours: float = 24,
+) -> guards.Status:
     """Write ``features``, ``dataset`` (a folder per split) and ``quality`` below ``out``, and say how the run ended.
 
     ``readings`` are raw; records in quarantine are left out. Devices are split as wholes,
-    in order of their median anchor. Nothing is written to ``dataset`` when the features leak.
+    in order of their median anchor. With a ``ledger`` of label sources (device_id, completeness,
+    newest_us) negatives of devices that no source covers, or whose newest record is older
+    than ``coverage_days`` at the end, are censored; without one the span of a device's evidence
+    decides. Nothing is written to ``dataset`` when the features leak, or when one is
+    prohibited as an output.
     """
     spark = readings.sparkSession
     if not keys:
@@ -34,8 +39,11 @@ def build_dataset(
     features = spark.read.parquet(f"{out}/features")
     try:
         trailing.require_no_leakage(features, source="max_source_us")
+        quality.guard_columns(features)  # the label's own columns come later
     except trailing.LeakageError:
         return guards.Status.LEAKAGE
+    except quality.PolicyError:
+        return guards.Status.CONFIGURATION
     if features.isEmpty():
         return guards.Status.NO_USABLE_DATA
     placed = splits.group_splits(features, "device_id").select("device_id", "split")
@@ -44,7 +52,8 @@ def build_dataset(
     kind = F.col("evidence_type")
     outputs.write_parquet(outages.outage_windows(strong, kind == "lc_disconnect", kind == "lc_connect"), f"{out}/windows")
     windows = spark.read.parquet(f"{out}/windows")
-    labelled = outages.label_samples(samples, windows, outages.evidence_spans(evidence), end_us)
+    verdicts = None if ledger is None else outages.coverage_verdicts(ledger, end_us, coverage_days)
+    labelled = outages.label_samples(samples, windows, outages.evidence_spans(evidence), end_us, verdicts=verdicts)
     joined = labelled.join(features, ["device_id", "anchor_us"])
     judged = outages.eligibility(joined.withColumns({"n_rows": F.col("g__n_rows_total"), "last_age_h": F.col("g__last_age_h")}))
     outputs.write_parquet(judged, f"{out}/dataset", by=["split"])
@@ -56,11 +65,30 @@ def build_dataset(
 
 def _dataset(spark: SparkSession, sf_dir: str) -> tuple[guards.Status, str]:
     out = runs.scratch(spark, "dataset")
-    evidence = shape(spark, sf_dir, "evidence")
-    return build_dataset(shape(spark, sf_dir, "raw_telemetry"), evidence, out, keys=KEYS, now_us=NOW_US, end_us=END_US), out
-
-
-@query()
+    evidence, ledger = shape(spark, sf_dir, "evidence"), shape(spark, sf_dir, "ledger")
+    readings = shape(spark, sf_dir, "raw_telemetry")
+    return build_dataset(readings, evidence, out, keys=KEYS, now_us=NOW_US, end_us=END_US, ledger=ledger, coverage_days=2), out
+
+
+#: The run's samples as the labels' oracle has its own: anchors of good readings, devices split as wholes, borders purged.
+_RUN_SAMPLES = f"""{_JUDGED.replace("judged AS", "sorted_out AS")}, clean AS (SELECT * FROM sorted_out WHERE reason IS NULL),
+  ends AS (SELECT max(us) AS end_us FROM clean), starts AS (SELECT device_id, min(us) AS start_us FROM clean GROUP BY 1),
+  anchors AS (SELECT device_id, unnest(generate_series(CAST(ceil(start_us::DOUBLE / {STEP_US}) AS BIGINT) * {STEP_US}, end_us, {STEP_US})) AS anchor_us FROM starts, ends),
+  g AS (SELECT device_id, median(anchor_us) AS median_us, count(*) AS n FROM anchors GROUP BY 1),
+  u AS (SELECT *, row_number() OVER w AS k, sum(n) OVER w AS upto, sum(n) OVER () AS total, count(*) OVER () AS groups FROM g WINDOW w AS (ORDER BY median_us, device_id)),
+  cut AS (SELECT a.k AS c1, b.k AS c2 FROM u a JOIN u b ON a.k < b.k AND b.k < b.groups
+    ORDER BY round(abs(a.upto - 0.7E0 * a.total) + abs(b.upto - a.upto - 0.15E0 * a.total) + abs(a.total - b.upto - 0.15E0 * a.total), 6), 1, 2 LIMIT 1),
+  rows_ AS (SELECT a.*, CASE WHEN k <= c1 THEN 'train' WHEN k <= c2 THEN 'validation' ELSE 'test' END AS split FROM anchors a JOIN u USING (device_id), cut),
+  borders AS (SELECT (max(anchor_us) FILTER (split = 'train') + min(anchor_us) FILTER (split = 'validation')) / 2.0E0 AS b1,
+    (max(anchor_us) FILTER (split = 'validation') + min(anchor_us) FILTER (split = 'test')) / 2.0E0 AS b2 FROM rows_),
+  tagged AS (SELECT device_id, anchor_us, CASE WHEN split = 'train' AND anchor_us > b1 - {24 * HOUR_US} OR split = 'validation' AND anchor_us < b1 + {24 * HOUR_US}
+    OR split = 'validation' AND anchor_us > b2 - {24 * HOUR_US} OR split = 'test' AND anchor_us < b2 + {24 * HOUR_US} THEN 'purged' ELSE split END AS split FROM rows_, borders)"""
+
+
+@query(f"""WITH {_labels_sql(True).replace(_SAMPLES, _RUN_SAMPLES)},
+  ages AS (SELECT f.*, (f.anchor_us - (SELECT max(us) FROM clean c WHERE c.device_id = f.device_id AND c.us <= f.anchor_us AND c.value_num IS NOT NULL)) / {float(HOUR_US)} AS age_h FROM final f)
+  SELECT split, label_status, censor_reason, label_status = 'measured' AND split <> 'purged' AND coalesce(age_h <= 24, false) AS eligible,
+    count(*) AS n, count(DISTINCT device_id) AS n_devices, 0 AS status FROM ages GROUP BY ALL""")
 def cli_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written dataset's rows by split, label and eligibility, with the run's status."""
     status, out = _dataset(spark, sf_dir)

@@ -48,6 +48,31 @@ def test_status_without_keys_rows_or_verified_outages(tables, tmp_path, monkeypa
     assert not (tmp_path / "d" / "dataset").exists()
 
 
+def test_prohibited_columns_are_not_written(tables, tmp_path, monkeypatch):
+    readings, evidence = tables
+    whole = dataset.device_features
+    monkeypatch.setattr(dataset, "device_features", lambda *a, **o: whole(*a, **o).withColumn("view__risk_score", F.lit(1)))
+    assert dataset.build_dataset(readings, evidence, str(tmp_path / "p"), **OPTIONS) is guards.Status.CONFIGURATION
+    assert not (tmp_path / "p" / "dataset").exists()
+
+
+def test_negatives_need_a_source_that_covers_them(spark, tables, tmp_path):
+    """One device covered to the end, one whose source ended early, the others without a record."""
+    readings, evidence = tables
+    one, two = sorted(r.device_id for r in evidence.select("device_id").distinct().collect())[:2]
+    ledger = spark.createDataFrame([(one, "complete", END_US), (two, "complete", END_US - 3 * 24 * HOUR_US), (two, "failed", END_US)], "device_id string, completeness string, newest_us long")
+    out = str(tmp_path / "gated")
+    assert dataset.build_dataset(readings, evidence, out, **OPTIONS, ledger=ledger, coverage_days=2) is guards.Status.OK
+    rows = spark.read.parquet(f"{out}/dataset")
+    negatives = {r.device_id for r in rows.where("y = 0").select("device_id").distinct().collect()}
+    assert negatives <= {one}
+    stale = rows.where("censor_reason = 'label_source_history_stale'").select("device_id").distinct().collect()
+    assert {r.device_id for r in stale} == {two}
+    nowhere = rows.where("censor_reason = 'no_label_source_coverage_for_device'").select("device_id").distinct().collect()
+    assert nowhere and not {r.device_id for r in nowhere} & {one, two}
+    assert rows.where("y = 1 AND device_id NOT IN ('%s', '%s')" % (one, two)).count() > 0  # a seen outage is proof by itself
+
+
 def test_quality_figures_of_empty_tables_are_zero(spark):
     samples = spark.createDataFrame([], "device_id string, anchor_us long, split string, y int, label_status string, censor_reason string, n_rows long, last_age_h double")
     evidence = spark.createDataFrame([], "device_id string, us long, observed_us long, evidence_type string, evidence_strength string")
