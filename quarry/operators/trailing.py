@@ -80,6 +80,67 @@ def trailing_stats(
     return found
 
 
+def _pane_sums(inside: Column | None, tag: str) -> list[Column]:
+    """Sums of a pane's numbers, or of those ``inside``: times are from the pane's end, values from the pair's mean."""
+    given = (lambda c: c) if inside is None else (lambda c: F.when(inside, c))
+    x, w = F.col("_x"), F.col("_w")
+    sums = {"n": F.lit(1), "s": F.col("value_num"), "w": w, "ww": w * w, "x": x, "xx": x * x, "xw": x * w}
+    out = [F.sum(given(c)).alias(f"{name}{tag}") for name, c in sums.items()]
+    for name, c in (("v", F.col("value_num")), ("us", F.col("us"))):
+        out += [F.min(given(c)).alias(f"lo_{name}{tag}"), F.max(given(c)).alias(f"hi_{name}{tag}")]
+    return out
+
+
+def pane_stats(
+    readings: DataFrame, hours: Sequence[int], step_us: int, end: DataFrame, *, by: Sequence[str] = ("device_id", "key"), min_n: int = 6, cadence_s: int = 300
+) -> DataFrame:
+    """What ``trailing_stats`` gives for windows (T - w, T], at anchors on whole multiples of ``step_us`` up to ``end`` (one row, end_us).
+
+    Readings are summed once to panes, the steps that end at an anchor, and panes are added up to
+    windows: a pane is passed on to the anchors whose windows hold it, so the cost is one of
+    panes and steps in a window, however many readings a step has. The part of a window
+    that is no whole step comes from sums of its own in the pane that it cuts. Anchors with
+    no number in any window have no row.
+    """
+    pair = Window.partitionBy(*by)
+    numbers = readings.where("value_num IS NOT NULL").select(*by, "us", F.col("value_num").cast("double").alias("value_num"))
+    placed = numbers.withColumn("_end", F.col("us") + F.pmod(-F.col("us"), F.lit(step_us))).withColumns(
+        {"_x": (F.col("us") - F.col("_end")) / float(HOUR_US), "_w": F.col("value_num") - F.avg("value_num").over(pair)}
+    )
+    parts = sorted({h * HOUR_US % step_us for h in hours} - {0})
+    sums = _pane_sums(None, "_full")
+    for r in parts:
+        sums += _pane_sums(F.col("us") > F.col("_end") - r, f"_{r}")
+    panes = placed.groupBy(*by, "_end").agg(*sums)
+    most = max(h * HOUR_US // step_us - (h * HOUR_US % step_us == 0) for h in hours)
+    later = panes.crossJoin(F.broadcast(end.select("end_us"))).select("*", F.explode(F.sequence(F.lit(0), F.lit(most))).alias("_i"))
+    spread = later.withColumn("anchor_us", F.col("_end") + F.col("_i") * F.lit(step_us)).where("anchor_us <= end_us")
+    shift = -F.col("_i") * (step_us / HOUR_US)  # from the pane's end to the anchor, in hours
+    names = ("n", "s", "w", "ww", "x", "xx", "xw", "lo_v", "hi_v", "lo_us", "hi_us")
+    aggs, out = [], []
+    for h in hours:
+        whole, rest = divmod(h * HOUR_US, step_us)
+        def of(name: str, whole: int = whole, rest: int = rest) -> Column:  # noqa: E306
+            full = F.when(F.col("_i") < whole, F.col(f"{name}_full"))
+            return full.when(F.col("_i") == whole, F.col(f"{name}_{rest}")) if rest else full
+        n, w, x, xx, xw = (of(c) for c in ("n", "w", "x", "xx", "xw"))
+        moved = {"x": x + n * shift, "xx": xx + 2 * shift * x + n * shift * shift, "xw": xw + shift * w}
+        for name in names:
+            merge = F.min if name.startswith("lo_") else F.max if name.startswith("hi_") else F.sum
+            aggs.append(merge(moved.get(name, of(name))).alias(f"{name}__{h}"))
+        n, s, w, ww, x, xx, xw, lo, hi, first, last = (F.col(f"{name}__{h}") for name in names)
+        enough = n >= max(2, min_n)
+        spread_of = F.when(lo == hi, F.lit(0.0)).otherwise(F.sqrt(F.greatest(F.lit(0.0), (ww - w * w / n) / (n - 1))))
+        expected = max(1.0, h * 3600 / cadence_s)
+        out += [
+            F.coalesce(n, F.lit(0)).alias(f"n_{h}h"), (s / n).alias(f"mean_{h}h"), lo.alias(f"min_{h}h"), hi.alias(f"max_{h}h"),
+            F.when(enough, spread_of).alias(f"std_{h}h"),
+            F.when(enough & (first < last), (n * xw - x * w) / (n * xx - x * x)).alias(f"slope_{h}h"),
+            F.greatest(F.lit(0.0), F.lit(1.0) - F.coalesce(n, F.lit(0)) / F.lit(expected)).alias(f"missing_frac_{h}h"),
+        ]
+    return spread.groupBy(*by, "anchor_us").agg(*aggs).select(*by, "anchor_us", *out)
+
+
 def asof_backward(
     anchors: DataFrame, readings: DataFrame, values: Sequence[str], *, by: Sequence[str] = ("device_id", "key"), order: str = "arrival_seq"
 ) -> DataFrame:

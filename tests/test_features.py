@@ -141,3 +141,31 @@ def test_grid_rounds_the_start_up(spark):
     b = spark.createDataFrame([("d", T0 + 1, T0 + DAY_US)], "device_id string, start_us long, end_us long")
     found = [r.anchor_us for r in trailing.grid(b, 6 * HOUR_US).collect()]
     assert found[0] == T0 + 6 * HOUR_US and found[-1] == T0 + DAY_US
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_panes_equal_frames(spark, seed):
+    """Windows of whole steps, of parts of a step and of both, with values on the borders and pairs that never change."""
+    import random
+
+    rng, step, hour = random.Random(seed), 6 * HOUR_US, HOUR_US
+    t0 = 1_704_067_200_000_000
+    rows = []
+    for key, kind in (("k", "noise"), ("flat", "same"), ("far", "far")):
+        for n in range(150):
+            us = t0 + (rng.choice([rng.randrange(0, 60 * step), rng.randrange(0, 60) * step, rng.randrange(0, 300) * hour]))
+            value = {"noise": round(rng.uniform(-50, 500), 2), "same": 7.1, "far": 1e6 + rng.random()}[kind]
+            rows.append(("d", key, us, n, None if rng.random() < 0.1 else value))
+    r = spark.createDataFrame(rows, "device_id string, key string, us long, arrival_seq long, value_num double")
+    end = spark.createDataFrame([(t0 + 70 * step + 5,)], "end_us long")
+    at = spark.createDataFrame([("d", k, t0 + i * step) for k in ("k", "flat", "far") for i in range(71)], "device_id string, key string, anchor_us long")
+    hours = [1, 6, 10, 24, 168]
+    frames = {(x.key, x.anchor_us): x.asDict() for x in trailing.trailing_stats(at, r, hours).collect()}
+    panes = {(x.key, x.anchor_us): x.asDict() for x in trailing.pane_stats(r, hours, step, end).collect()}
+    assert panes.keys() <= frames.keys()
+    for place, frame in frames.items():
+        pane = panes.get(place, {f"{c}_{h}h": v for h in hours for c, v in (("n", 0), ("missing_frac", 1.0))})
+        for name in frame.keys() - {"device_id", "key", "anchor_us"}:
+            a, b = frame[name], pane.get(name)
+            assert (a is None) == (b is None), (place, name)
+            assert a is None or a == pytest.approx(b, rel=1e-7, abs=1e-7), (place, name)
