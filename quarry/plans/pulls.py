@@ -8,8 +8,9 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.sources import paged, staged_series
-from quarry.sources.tables import shape
+from quarry.operators import chain
+from quarry.sources import paged, registry_pull, staged_series
+from quarry.sources.tables import shape, table
 from quarry.streaming import runs
 
 from .features import NOW_US
@@ -105,3 +106,77 @@ def fetch_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pulled.groupBy("batch").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("device_id").alias("n_devices"), F.min("ts").alias("oldest_us"), F.max("ts").alias("newest_us")
     )
+
+
+def _listing(spark: SparkSession, sf_dir: str, kinds: dict[str, DataFrame], schema: str, **options: str) -> dict[str, DataFrame]:
+    """Each kind's rows as a paged service lists them."""
+    folder = runs.scratch(spark, "registry")
+    spark.dataSource.register(registry_pull.RegistrySource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    for kind, rows in kinds.items():
+        rows.write.json(f"{folder}/kind={kind}")
+    common = {"client": "quarry.sources.registry_pull:StagedRegistry", "store": folder, "page_size": "7", "partitions": "4", "base_s": "0.001", "faults": "busy"}
+    return {kind: spark.read.format("paged_registry").schema(schema).options(**common, kind=kind, **options).load() for kind in kinds}
+
+
+@query("""SELECT 'device' AS kind, device_id AS id, name, type, customer_id FROM devices
+  UNION ALL SELECT 'customer', CAST(n_nationkey AS VARCHAR), n_name, NULL, NULL FROM nation
+  UNION ALL SELECT 'asset', CAST(r_regionkey AS VARCHAR), r_name, 'region', NULL FROM region""")
+def src_registry_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices, customers and assets, page after page, each entity once though first calls are turned away."""
+    kinds = {
+        "device": shape(spark, sf_dir, "devices").select(F.col("device_id").alias("id"), "name", "type", "customer_id"),
+        "customer": table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name")),
+        "asset": table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("string").alias("id"), F.col("r_name").alias("name"), F.lit("region").alias("type")),
+    }
+    listed = _listing(spark, sf_dir, kinds, "id string, name string, type string, customer_id string")
+    whole = None
+    for kind, rows in listed.items():
+        own = rows.select(F.lit(kind).alias("kind"), "id", "name", "type", "customer_id")
+        whole = own if whole is None else whole.unionByName(own)
+    return whole
+
+
+@query("SELECT device_id AS id, name, customer_id FROM devices WHERE type = 'gateway' AND customer_id = '3'")
+def fetch_pacing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gateways of one customer: the service searches by both columns, and four tasks share two hundred calls a second."""
+    devices = shape(spark, sf_dir, "devices").select(F.col("device_id").alias("id"), "name", "type", "customer_id")
+    listed = _listing(spark, sf_dir, {"device": devices}, "id string, name string, type string, customer_id string", calls_per_second="200")
+    return listed["device"].where("type = 'gateway' AND customer_id = '3'").select("id", "name", "customer_id")
+
+
+_PULLED = """registry AS (SELECT device_id FROM devices), keys AS (SELECT DISTINCT device_id, key FROM telemetry),
+  series AS (SELECT DISTINCT device_id, key, us, value_num FROM telemetry), alarm_rows AS (SELECT * FROM alarms WHERE start_us IS NOT NULL)"""
+
+
+def pull_steps(spark: SparkSession, sf_dir: str, faulty: bool = False) -> list[chain.Step]:
+    """The steps of a full pull; with ``faulty`` the keys cannot be read, and what needs them is skipped."""
+    def series(done: dict[str, DataFrame]) -> DataFrame:
+        return _values(spark.read.format("paged_series").options(**_options(_staged(spark, sf_dir), 0, 2 * NOW_US, "busy")).load().where("ts IS NOT NULL"))
+
+    def keys(done: dict[str, DataFrame]) -> DataFrame:
+        found = shape(spark, sf_dir, "telemetry").select("device_id", "key").distinct()
+        return found.where(F.raise_error(F.lit("keys service down")).isNull()) if faulty else found
+
+    def events(done: dict[str, DataFrame]) -> DataFrame:
+        return shape(spark, sf_dir, "evidence").join(done["registry"].select("device_id"), "device_id", "left_semi")
+
+    return [
+        chain.Step("registry", lambda done: shape(spark, sf_dir, "devices"), tolerated=False),
+        chain.Step("keys", keys, ("registry",)), chain.Step("series", series, ("keys",)), chain.Step("events", events, ("registry",)),
+        chain.Step("alarms", lambda done: shape(spark, sf_dir, "alarms").where("start_us IS NOT NULL"), ("registry",)),
+    ]
+
+
+@query(f"""WITH {_PULLED}, c(step, place, first_status, n_rows, attempt) AS (
+    SELECT 'registry', 0, 'ok', count(*), 1 FROM registry UNION ALL SELECT 'keys', 1, 'failed', count(*), 2 FROM keys UNION ALL SELECT 'series', 2, 'skipped', count(*), 2 FROM series
+    UNION ALL SELECT 'events', 3, 'ok', count(*), 1 FROM evidence WHERE device_id IN (SELECT device_id FROM registry) UNION ALL SELECT 'alarms', 4, 'ok', count(*), 1 FROM alarm_rows)
+  SELECT step, place, first_status, 'ok' AS status, n_rows, attempt, 5 AS first_outcome, 0 AS outcome FROM c""")
+def pull_orchestrator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of a pull in which one step fails, and of the rerun that does what was left."""
+    path = runs.scratch(spark, "pull")
+    first, _, manifest = chain.run(spark, pull_steps(spark, sf_dir, faulty=True), path)
+    before = runs.written(manifest.select("step", F.col("status").alias("first_status")), "manifest")
+    last, _, manifest = chain.run(spark, pull_steps(spark, sf_dir), path)
+    both = manifest.drop("error").join(before, "step")
+    return both.select("step", "place", "first_status", "status", "n_rows", "attempt", F.lit(int(first)).alias("first_outcome"), F.lit(int(last)).alias("outcome"))

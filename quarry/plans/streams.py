@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import models
+from quarry.operators import chain, models, outages, quality
 from quarry.sources.tables import _SPARK_US, shape
 from quarry.streaming import runs, snapshots, stateful
 
@@ -99,15 +99,68 @@ def stm_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_to_end(stateful.freshness(events))
 
 
+SCORED_FROM = NOW_US - 10 * 24 * HOUR_US
+MODEL_KEYS = ["view", "click"]
+
+
+def _risk_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """Features of every anchor with y, whether the device disconnects in the next day; and the features' names."""
+    wide = device_features(shape(spark, sf_dir, "telemetry"), MODEL_KEYS)
+    columns = [c for c in wide.columns if "__" in c]
+    off = shape(spark, sf_dir, "evidence").where("evidence_type = 'lc_disconnect'")
+    starts = off.select("device_id", F.col("us").alias("outage_start"), F.lit(None).cast("long").alias("outage_end"))
+    ahead = outages.sweep(wide.select("device_id", "anchor_us", *columns), starts, 24 * HOUR_US)
+    return ahead.withColumn("y", (F.col("n_ahead") > 0).cast("int")).drop("inside", "n_ahead"), columns
+
+
+def _stored_model(spark: SparkSession, rows: DataFrame, columns: list[str]) -> str:
+    """Fitted on anchors whose next day is over before scoring begins."""
+    path = runs.scratch(spark, "model")
+    models.save(models.fit(rows.where(F.col("anchor_us") < SCORED_FROM - 24 * HOUR_US), columns, trees=5, depth=3), columns, path)
+    return path
+
+
 @query()
 def ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit on the first two thirds of the month, score the rest."""
-    readings = shape(spark, sf_dir, "telemetry")
-    wide = device_features(readings, ["view", "click"]).withColumn("y", (F.col("view__n_24h") % 2).cast("int"))
-    columns = [c for c in wide.columns if "__" in c and c != "view__n_24h"]
-    rows = wide.where("y IS NOT NULL").select("device_id", "anchor_us", "y", *columns)
-    cut = NOW_US - 86_400_000_000 * 10
-    path = runs.scratch(spark, "model")
-    models.save(models.fit(rows.where(F.col("anchor_us") < cut), columns, trees=5, depth=3), columns, path)
-    model, columns = models.load(spark, path)
-    return models.predict(model, rows.where(F.col("anchor_us") >= cut), columns).select("device_id", "anchor_us", "probability", "risk_score", "tier")
+    """Fit on the first two thirds of the month, store, load, and score the rest."""
+    rows, columns = _risk_rows(spark, sf_dir)
+    rows = runs.written(rows, "risk-rows")
+    model, columns = models.load(spark, _stored_model(spark, rows, columns))
+    return models.predict(model, rows.where(F.col("anchor_us") >= SCORED_FROM), columns).select("device_id", "anchor_us", "probability", "risk_score", "tier")
+
+
+def nightly_steps(spark: SparkSession, sf_dir: str, model_path: str) -> list[chain.Step]:
+    """Registry, readings, features, scores of each device's last anchor, and the report with devices without data."""
+    def features(done: dict[str, DataFrame]) -> DataFrame:
+        wide = device_features(done["readings"], MODEL_KEYS)
+        return wide.join(wide.groupBy("device_id").agg(F.max("anchor_us").alias("anchor_us")), ["device_id", "anchor_us"])
+
+    def score(done: dict[str, DataFrame]) -> DataFrame:
+        model, columns = models.load(spark, model_path)
+        return models.predict(model, done["features"], columns).select("device_id", "anchor_us", "probability", "risk_score", "tier")
+
+    def report(done: dict[str, DataFrame]) -> DataFrame:
+        both = done["registry"].where("keep").join(done["scores"], "device_id", "left")
+        silent = F.col("probability").isNull()
+        return both.select(
+            "device_id", F.col("name").alias("device_name"), "anchor_us", "probability", "risk_score",
+            F.when(silent, "NO_DATA").otherwise(F.col("tier")).alias("tier"), F.when(silent, "no telemetry in the window").alias("note"),
+        )
+
+    recent = lambda done: shape(spark, sf_dir, "telemetry").where(F.col("us") >= SCORED_FROM)
+    return [
+        chain.Step("registry", lambda done: quality.decide_devices(shape(spark, sf_dir, "devices"))),
+        chain.Step("readings", recent), chain.Step("features", features, ("readings",), tolerated=False),
+        chain.Step("scores", score, ("features",), tolerated=False), chain.Step("report", report, ("registry", "scores"), tolerated=False),
+    ]
+
+
+@query()
+def nightly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The night's report: every device in service with its tier, those without data last in probability."""
+    rows, columns = _risk_rows(spark, sf_dir)
+    steps = nightly_steps(spark, sf_dir, _stored_model(spark, runs.written(rows, "risk-rows"), columns))
+    outcome, done, _ = chain.run(spark, steps, runs.scratch(spark, "nightly"))
+    if outcome is chain.Outcome.FAILED:
+        raise RuntimeError("the nightly run ended early")
+    return done["report"]

@@ -58,6 +58,9 @@ class Folder:
     def data(self, batch: str) -> str:
         return f"{self.path}/data/{batch}"
 
+    def has(self, name: str) -> bool:
+        return self._files.exists(self._path(name))
+
     def remove(self, batch: str) -> None:
         self._files.delete(self._path("data", batch), True)
 
@@ -76,7 +79,7 @@ class Folder:
         self.put(f"manifest/{record['batch']}.json", json.dumps(record).encode())
 
     def manifest(self) -> DataFrame:
-        if not self._files.exists(self._path("manifest")):
+        if not self.has("manifest"):
             return self._spark.createDataFrame([], MANIFEST)
         return self._spark.read.schema(MANIFEST).json(f"{self.path}/manifest")
 
