@@ -376,6 +376,10 @@ def latest_values(rows: DataFrame, by: str, order: str, columns: Sequence[str])
 def pivot_features(
     long: DataFrame, keys: Sequence[str], values: Sequence[str], *, by: Sequence[str] = ("device_id", "anchor_us"), extra: Sequence[Column] = ()
 ) -> DataFrame:
-    """One row per anchor with columns key__value, for the keys named, in their order, and ``extra`` aggregates."""
+    """One row per anchor with columns key__value, for the keys named, in their order, and ``extra`` aggregates.
+
+    Rows are dealt by anchor before they are widened: aggregates made before the shuffle would
+    have every key's columns in every key's row.
+    """
     aggs: list[Column] = [F.max(F.when(F.col("key") == k, F.col(v))).alias(f"{k}__{v}") for k in keys for v in values]
-    return long.groupBy(*by).agg(*aggs, *extra)
+    return long.repartition(*by).groupBy(*by).agg(*aggs, *extra)
