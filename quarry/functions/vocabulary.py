@@ -68,3 +68,7 @@ ALARM_ONLINE_TEXT = r"(?i)cleared|restored|reconnect"
 SEVERITIES = [(70, "CRITICAL"), (45, "HIGH"), (20, "MEDIUM")]
 TIERS = [(0.50, "CRITICAL"), (0.40, "HIGH"), (0.25, "MEDIUM")]
 COVERED_STATUSES = ["ok", "complete", "success", "empty_verified"]
+#: How an exported output text names its class, score and reasons.
+FAULT_CLASS = r"(?i)fault_class\s*:\s*([A-Za-z]+)"
+FAULT_SCORE = r"(?i)fault_score\s*:\s*([0-9]+(?:\.[0-9]+)?)"
+FAULT_REASONS = r"(?is)reasons\s*:\s*(.+)$"

@@ -140,7 +140,10 @@ AUDIT_COLUMNS = [
 
 
 def audit_ladders() -> list[Ladder]:
-    """Rules for a device's state at audit time; here a missing data volume counts as none."""
+    """Rules for a device's state at audit time; here a missing data volume counts as none.
+
+    The points, thresholds and labels are fixed values.
+    """
     number = lambda c: F.coalesce(S.number(F.col(c).cast("string")), F.lit(0.0))
     flag = lambda c: ~F.coalesce(F.lower(F.col(c).cast("string")).isin("false", "0", "", "null"), F.lit(True))
     fault = lambda c: S.is_audit_fault(F.col(c))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions import vocabulary as V
+
 TELEMETRY = T.StructType(
     [
         T.StructField("device_id", T.StringType()), T.StructField("key", T.StringType()), T.StructField("us", T.LongType()),
@@ -104,10 +106,8 @@ def snapshots(spark: SparkSession, path: str) -> DataFrame:
 def fault_output(text: Column) -> Column:
     """A struct of fault_class, fault_score and reasons from an exported ``output`` text."""
     part = lambda p: F.nullif(F.regexp_extract(text, p, 1), F.lit(""))
-    return F.struct(
-        F.upper(part(r"(?i)fault_class\s*:\s*([A-Za-z]+)")).alias("fault_class"),
-        part(r"(?i)fault_score\s*:\s*([0-9]+(?:\.[0-9]+)?)").cast("double").alias("fault_score"),
-        part(r"(?is)reasons\s*:\s*(.+)$").alias("reasons"),
+    return F.struct(
+        F.upper(part(V.FAULT_CLASS)).alias("fault_class"), part(V.FAULT_SCORE).cast("double").alias("fault_score"), part(V.FAULT_REASONS).alias("reasons"),
     )
 
 
