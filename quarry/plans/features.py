@@ -281,9 +281,9 @@ def device_features(readings: DataFrame, keys: list[str], text_keys: list[str] |
     starts = known.groupBy("device_id").agg(F.min("us").alias("start_us")).crossJoin(F.broadcast(end))  # end: one row
     anchors = trailing.grid(starts, STEP_US).withColumn("key", F.explode(F.array(*map(F.lit, listed))))
     windows = hours or WINDOWS
-    # numbers' windows by panes, all else by one pass in order of time; both are rows of one pivot
+    # numbers' windows by panes, all else by one pass in order of time; each has a pivot of its own columns
     long = trailing.capped_last(trailing.key_features(anchors, known, ()))
-    long = long.unionByName(trailing.pane_stats(known, windows, STEP_US, end), allowMissingColumns=True)
+    panes = trailing.pane_stats(known.where(F.col("key").isin(keys)), windows, STEP_US, end)
     numeric, text = F.col("key").isin(keys), F.col("key").isin(texts)
     seen = numeric & F.col("source_us").isNotNull()
     extra = [
@@ -292,10 +292,13 @@ def device_features(readings: DataFrame, keys: list[str], text_keys: list[str] |
         F.count_if(text & F.col("text_last_len").isNotNull()).alias("g__n_text_keys"), F.min(F.when(numeric, F.col("last_age_h"))).alias("g__last_age_h"),
         (F.count_if(seen & (F.col("stale") == 1)) / F.greatest(F.lit(1), F.count_if(seen))).alias("g__stale_key_frac"),
     ]
-    of_numbers = [f"{stat}_{h}h" for h in windows for stat in _STATS] + ["last", "last_age_h", "stale", "ffill_capped"]
+    of_windows, of_last = [f"{stat}_{h}h" for h in windows for stat in _STATS], ["last", "last_age_h", "stale", "ffill_capped"]
     of_texts = ["text_n_24h", "text_distinct_24h", "text_changes_24h", "text_last_age_h", "text_last_len", "text_bad_flag", "text_last_numeric"]
     said = [F.max(F.when(F.col("key") == k, F.col(v))).alias(f"{k}__{v}") for k in texts for v in of_texts]
-    wide = trailing.pivot_features(long, keys, of_numbers, extra=[*said, *extra])
+    rest = trailing.pivot_features(long, keys, of_last, extra=[*said, *extra])
+    wide = rest.join(trailing.pivot_features(panes, keys, of_windows), ["device_id", "anchor_us"], "left")
+    first = ["device_id", "anchor_us", *(f"{k}__{v}" for k in keys for v in (*of_windows, *of_last))]
+    wide = wide.select(*first, *(c for c in rest.columns if c not in first))
     # a window without a number has no row of panes
     bare = {f"{k}__n_{h}h": F.lit(0) for k in keys for h in windows} | {f"{k}__missing_frac_{h}h": F.lit(1.0) for k in keys for h in windows}
     wide = wide.withColumns({c: F.coalesce(c, nothing) for c, nothing in bare.items()})
