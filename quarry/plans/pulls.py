@@ -114,8 +114,8 @@ def _listing(spark: SparkSession, sf_dir: str, kinds: dict[str, DataFrame], sche
     spark.dataSource.register(registry_pull.RegistrySource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     for kind, rows in kinds.items():
-        rows.write.json(f"{folder}/kind={kind}")
-    common = {"client": "quarry.sources.registry_pull:StagedRegistry", "store": folder, "page_size": "7", "partitions": "4", "base_s": "0.001", "faults": "busy"}
+        registry_pull.stage(rows, folder, kind)
+    common = {"client": "quarry.sources.registry_pull:SlicedRegistry", "store": folder, "page_size": "7", "partitions": "4", "base_s": "0.001", "faults": "busy"}
     return {kind: spark.read.format("paged_registry").schema(schema).options(**common, kind=kind, **options).load() for kind in kinds}
 
 

@@ -9,12 +9,16 @@ to it. Calls are paced over all tasks together.
 
 from __future__ import annotations
 
+import bisect
 import importlib
+import itertools
 import json
 import time
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
 
 from .paged import Pacer, with_retries
@@ -99,8 +103,28 @@ class RegistryReader(DataSourceReader):
                 yield tuple(row.get(c) for c in self._columns)
 
 
+#: Rows in a slice of a staged listing: what a task holds of it at a time.
+SLICE = 50_000
+
+
+def stage(rows: DataFrame, folder: str, kind: str, slice_rows: int = SLICE) -> None:
+    """Write a listing in slices of its names' order, and for ``SlicedRegistry`` how many rows of each search value a slice has."""
+    store, by = f"{folder}/kind={kind}", [c for c in SlicedRegistry.searchable if c in rows.columns]
+    dealt = rows.repartitionByRange("name", "id").sortWithinPartitions("name", "id")
+    dealt.write.option("maxRecordsPerFile", slice_rows).parquet(store)
+    slices = rows.sparkSession.read.schema(rows.schema).parquet(store).groupBy(F.col("_metadata.file_name").alias("slice"), *by)
+    slices.agg(F.count(F.lit(1)).alias("n")).coalesce(1).write.parquet(f"{folder}/index={kind}")  # a few rows a slice
+
+
+def _opened(store: str) -> tuple:
+    """The file system of a path or URI, and the path there."""
+    import pyarrow.fs as fs
+
+    return fs.FileSystem.from_uri(store) if "://" in store or store.startswith("file:") else (fs.LocalFileSystem(), store)
+
+
 class StagedRegistry:
-    """A listing from JSON lines that Spark wrote sorted, a file a slice, with their places in their names' order.
+    """A listing from JSON lines, held whole and in its names' order: for small ones.
 
     Options: ``store``, a folder that all nodes reach, with ``kind=<kind>`` folders. ``faults``: ``busy`` turns
     the first call for each page away. ``log``, a local folder in tests, gets a line a call with its time.
@@ -109,22 +133,25 @@ class StagedRegistry:
     searchable = ("type", "customer_id")
 
     def __init__(self, options: dict) -> None:
-        self._options, self._seen, self._rows = options, set(), {}
+        self._options, self._asked, self._held = options, None, {}
 
     def _all(self, kind: str) -> list[dict]:
         import pyarrow.fs as fs
 
-        if kind not in self._rows:
-            store = self._options["store"]
-            files, root = fs.FileSystem.from_uri(store) if "://" in store or store.startswith("file:") else (fs.LocalFileSystem(), store)
-            found = files.get_file_info(fs.FileSelector(f"{root}/kind={kind}", allow_not_found=True))
-            rows = []
-            for info in found:
-                if info.is_file and info.base_name.startswith("part-") and info.base_name.endswith(".json"):
-                    with files.open_input_stream(info.path) as stream:
-                        rows += [json.loads(line) for line in stream.read().decode().splitlines()]
-            self._rows[kind] = sorted(rows, key=lambda r: (r.get("name") or "", r["id"]))
-        return self._rows[kind]
+        files, root = _opened(self._options["store"])
+        rows = []
+        for info in files.get_file_info(fs.FileSelector(f"{root}/kind={kind}", allow_not_found=True)):
+            if info.is_file and info.base_name.startswith("part-") and info.base_name.endswith(".json"):
+                with files.open_input_stream(info.path) as stream:
+                    rows += [json.loads(line) for line in stream.read().decode().splitlines()]
+        return sorted(rows, key=lambda r: (r.get("name") or "", r["id"]))
+
+    def _found(self, kind: str, wanted: dict, first: int, size: int) -> tuple[list[dict], int]:
+        """``size`` of the wanted rows from place ``first`` on, and how many there are in all."""
+        asked = (kind, *sorted(wanted.items()))
+        if asked not in self._held:
+            self._held = {asked: [r for r in self._all(kind) if all(r.get(c) == v for c, v in wanted.items())]}
+        return self._held[asked][first : first + size], len(self._held[asked])
 
     def page(self, kind: str, number: int, size: int, wanted: dict) -> dict:
         from .paged import RetryableError
@@ -132,9 +159,58 @@ class StagedRegistry:
         if self._options.get("log"):
             with open(f"{self._options['log']}/{time.time_ns()}-{kind}-{number}", "w") as f:
                 f.write(json.dumps(wanted))
-        if "busy" in self._options.get("faults", "") and (kind, number) not in self._seen:
-            self._seen.add((kind, number))
+        if "busy" in self._options.get("faults", "") and (kind, number) != self._asked:
+            self._asked = (kind, number)
             raise RetryableError("429", 0.001)
-        rows = [r for r in self._all(kind) if all(r.get(c) == v for c, v in wanted.items())]
-        own = rows[number * size : (number + 1) * size]
-        return {"data": own, "hasNext": (number + 1) * size < len(rows), "total": len(rows)}
+        own, total = self._found(kind, wanted, number * size, size)
+        return {"data": own, "hasNext": (number + 1) * size < total, "total": total}
+
+
+class SlicedRegistry(StagedRegistry):
+    """A listing that ``stage`` wrote. A page is found by the counts of its slices, and one slice is held at a time."""
+
+    def _places(self, kind: str, wanted: dict) -> tuple[list[str], list[int]]:
+        """The slices with wanted rows, and how many of these there are up to the end of each."""
+        import pyarrow.dataset as pads
+
+        files, root = _opened(self._options["store"])
+        index = pads.dataset(f"{root}/index={kind}", filesystem=files, format="parquet")
+        if not set(wanted) <= set(index.schema.names):
+            return [], []
+        counts: dict[str, int] = {}
+        for batch in index.to_batches(columns=["slice", "n"], filter=self._test(wanted)):
+            for name, n in zip(batch.column("slice").to_pylist(), batch.column("n").to_pylist()):
+                counts[name] = counts.get(name, 0) + n
+        names = sorted(counts)
+        return names, list(itertools.accumulate(counts[s] for s in names))
+
+    @staticmethod
+    def _test(wanted: dict) -> object:
+        import pyarrow.compute as pc
+
+        test = pc.scalar(True)
+        for column, value in wanted.items():
+            test = test & (pc.field(column) == value)
+        return test
+
+    def _slice(self, kind: str, wanted: dict, name: str) -> object:
+        import pyarrow.dataset as pads
+
+        if self._held.get("slice") != name:
+            files, root = _opened(self._options["store"])
+            self._held |= {"slice": name, "rows": pads.dataset(f"{root}/kind={kind}/{name}", filesystem=files, format="parquet").to_table(filter=self._test(wanted))}
+        return self._held["rows"]
+
+    def _found(self, kind: str, wanted: dict, first: int, size: int) -> tuple[list[dict], int]:
+        asked = (kind, *sorted(wanted.items()))
+        if self._held.get("asked") != asked:
+            self._held = {"asked": asked, "places": self._places(kind, wanted)}
+        names, ends = self._held["places"]
+        total, own = ends[-1] if ends else 0, []
+        last = min(first + size, total)
+        while first < last:
+            k = bisect.bisect_right(ends, first)
+            inside = first - (ends[k - 1] if k else 0)
+            own += self._slice(kind, wanted, names[k]).slice(inside, last - first).to_pylist()
+            first = min(last, ends[k])
+        return own, total

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 
@@ -56,3 +57,36 @@ def test_pages_are_asked_for_at_the_stated_rate(listing, tmp_path):
     spread = [t for t in times[1:]]
     # each of four tasks asks at most five times a second
     assert spread[-1] - spread[0] >= 2 * 0.2 - 0.05
+
+
+def test_a_task_reads_each_slice_once_and_holds_one(spark, tmp_path, monkeypatch):
+    """Pages come from the slices that hold them, with and without conditions, and no slice is opened again for each page."""
+    import pyarrow.dataset as pads
+
+    registry_pull.stage(spark.createDataFrame(ROWS, SCHEMA), str(tmp_path), "device", slice_rows=10)
+    slices = len(glob.glob(f"{tmp_path}/kind=device/part-*"))
+    opened, dataset = [], pads.dataset
+    monkeypatch.setattr(pads, "dataset", lambda path, **rest: opened.append(path) or dataset(path, **rest))
+    for wanted in ({}, {"type": "a"}, {"type": "a", "customer_id": "1"}, {"type": "none"}):
+        client, found, number, more = registry_pull.SlicedRegistry({"store": str(tmp_path)}), [], 0, True
+        expected = [r for r in ROWS if ("type", r[2]) in wanted.items() or "type" not in wanted]
+        expected = [r for r in expected if ("customer_id", r[3]) in wanted.items() or "customer_id" not in wanted]
+        opened.clear()
+        while more:
+            page = client.page("device", number, 7, wanted)
+            assert page["total"] == len(expected) and len(page["data"]) <= 7
+            found, number, more = found + page["data"], number + 1, page["hasNext"]
+        assert number == max(1, -(-len(expected) // 7))
+        assert sorted(tuple(r.values()) for r in found) == sorted(expected)
+        assert len(opened) == len(set(opened)) <= slices + 1  # the counts, and each slice at most once
+        assert client.page("device", 0, 7, {"absent": "x"})["total"] == 0
+
+
+@pytest.mark.parametrize("parts", ["1", "4", "50"])
+def test_a_sliced_listing_through_the_source(spark, listing, tmp_path, parts):
+    registry_pull.stage(spark.createDataFrame(ROWS, SCHEMA), f"{tmp_path}/sliced", "device", slice_rows=10)
+    registry_pull.stage(spark.createDataFrame([], "id string, name string"), f"{tmp_path}/sliced", "none")
+    sliced = {"client": "quarry.sources.registry_pull:SlicedRegistry", "store": f"{tmp_path}/sliced", "faults": "busy", "partitions": parts}
+    assert sorted(tuple(r) for r in listing(**sliced).collect()) == sorted(ROWS)
+    assert sorted(tuple(r) for r in listing(**sliced).where("type = 'b'").collect()) == sorted(r for r in ROWS if r[2] == "b")
+    assert listing(**sliced, kind="none").count() == 0 == listing(**sliced, kind="none").where("type = 'b'").count()
