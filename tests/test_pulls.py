@@ -63,6 +63,21 @@ def test_a_stopped_pull_goes_on_with_its_frozen_window(spark, store, tmp_path):
     assert points(spark.read.parquet(out).collect()) == expected(0, 39)
 
 
+def test_a_task_holds_one_pair_at_a_time(spark, tmp_path, monkeypatch):
+    """Batches that cut pairs, and a first call for each that is turned away: every pair whole, and no other held."""
+    monkeypatch.setattr(staged_series, "BATCH", 7)
+    staged_series.stage(spark.createDataFrame(READINGS, "device_id string, key string, ts long, value double"), f"{tmp_path}/store", 2)
+    client, found = staged_series.StagedSeries({"store": f"{tmp_path}/store", "buckets": "2", "faults": "busy"}), []
+    for group in client.groups():
+        for pair in client.pairs(group):
+            assert list(client._points) == [pair]
+            page = client.page(*pair)
+            with pytest.raises(paged.RetryableError):
+                page(0, 100, 100)
+            found += [(*pair, p["ts"], p["value"]) for p in page(0, 100, 100)]
+    assert sorted(found) == sorted(READINGS)
+
+
 def test_retries_by_kind_of_error():
     waits, renewed = [], []
 
