@@ -16,6 +16,8 @@ from quarry.functions.scalars import tier
 from quarry.operators import metrics, splits
 
 SENTINEL = -1e6
+#: What a task of a fit keeps of the rows, twice eight bytes for each input: the values and what the trees make of them.
+PART_BYTES = 64 << 20
 
 
 def prepared(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -27,6 +29,12 @@ def prepared(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.withColumns(filled | missing)
 
 
+def dealt(rows: DataFrame, total: int, inputs: int) -> DataFrame:
+    """``rows`` in even parts of ``PART_BYTES`` as a fit keeps them; files that compress well would give it few and large ones."""
+    parts = -(-total * inputs * 16 // PART_BYTES)
+    return rows.repartition(max(parts, rows.sparkSession.sparkContext.defaultParallelism)) if parts > 1 else rows
+
+
 def fit(rows: DataFrame, columns: Sequence[str], label: str = "y", *, trees: int = 20, depth: int = 4, rate: float = 0.06, seed: int = 7) -> PipelineModel:
     """Gradient-boosted trees with both classes weighted alike."""
     counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}  # two rows
@@ -34,7 +42,7 @@ def fit(rows: DataFrame, columns: Sequence[str], label: str = "y", *, trees: int
     weight = F.when(F.col(label) == 1, total / (2 * max(1, counts.get(1, 0)))).otherwise(total / (2 * max(1, counts.get(0, 0))))
     inputs = [f"{c}__{k}" for c in columns for k in ("x", "na")]
     trees_ = GBTClassifier(labelCol=label, featuresCol="_features", weightCol="_weight", maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="_features"), trees_]).fit(prepared(rows, columns).withColumn("_weight", weight))
+    return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="_features"), trees_]).fit(prepared(dealt(rows, total, len(inputs)), columns).withColumn("_weight", weight))
 
 
 def predict(model: PipelineModel, rows: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -118,3 +118,16 @@ def test_late_sources_raise(spark):
     df = spark.createDataFrame([(1, 2)], "anchor_us long, max_source_us long")
     with pytest.raises(trailing.LeakageError):
         trailing.require_no_leakage(df, source="max_source_us")
+
+
+def test_a_fit_keeps_its_rows_in_parts_of_bounded_size(spark, monkeypatch):
+    """Rows that lie in one file are dealt by what their inputs take, and small ones are left where they are."""
+    rows = spark.range(0, 2000, 1, 1).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id % 7 AS DOUBLE) AS b", "CAST(id % 2 AS INT) AS y")
+    parts, prepared = [], models.prepared
+    monkeypatch.setattr(models, "prepared", lambda rows, columns: parts.append([sum(1 for _ in p) for p in rows.rdd.glom().collect()]) or prepared(rows, columns))
+    models.fit(rows, ["a", "b"], trees=1, depth=1)
+    monkeypatch.setattr(models, "PART_BYTES", 10_000)
+    models.fit(rows, ["a", "b"], trees=1, depth=1)
+    small, large = parts
+    assert small == [2000]
+    assert sum(large) == 2000 and len(large) == 13 and max(large) * 4 * 16 < 1.2 * 10_000
