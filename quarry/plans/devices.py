@@ -168,7 +168,7 @@ def anomaly_features(readings: DataFrame, keys: list[str], *, streak_keys: int =
     long = long.withColumnsRenamed({"z": "z24h_vs_28d", "gap_max_h": "gap_max_7d"})
     values = ["last", "last_age_h", "stale"] + [f"count_{h}h" for h in WINDOWS] + [f"{s}_{h}h" for h in WINDOWS for s in ("mean", "std", "min", "max")]
     extra = [F.max("row_us").alias("max_source_us"), F.sum("rows_total").alias("n_rows_used"), F.lit(True).alias("feature_ready")]
-    return trailing.pivot_features(long, keys, [*values, "z24h_vs_28d", "gap_max_7d"], extra=extra)
+    return trailing.pivot_features(long, keys, [*values, "z24h_vs_28d", "gap_max_7d"], extra=extra, apart=["z24h_vs_28d", "gap_max_7d"])
 
 
 @query(_anomaly_sql())

@@ -169,3 +169,17 @@ def test_panes_equal_frames(spark, seed):
             a, b = frame[name], pane.get(name)
             assert (a is None) == (b is None), (place, name)
             assert a is None or a == pytest.approx(b, rel=1e-7, abs=1e-7), (place, name)
+
+
+def test_a_pivot_takes_over_whole_rows(spark):
+    """Values of a key with nulls among them, a key without a row, rows of their own for ``apart``; one aggregate for a key's row."""
+    rows = [("d", 1, "x", 1.0, None, None), ("d", 1, "x", None, None, 7), ("d", 1, "y", None, "t", None), ("d", 2, "y", None, None, None), ("e", 1, "z", 9.0, "t", 9)]
+    long = spark.createDataFrame(rows, "device_id string, anchor_us long, key string, a double, b string, c int")
+    wide = trailing.pivot_features(long, ["x", "y"], ["a", "c", "b"], extra=[F.count(F.lit(1)).alias("n")], apart=["c"])
+    assert wide.columns == ["device_id", "anchor_us", "x__a", "x__c", "x__b", "y__a", "y__c", "y__b", "n"]
+    assert sorted(tuple(r) for r in wide.collect()) == [
+        ("d", 1, 1.0, 7, None, None, None, "t", 3), ("d", 2, None, None, None, None, None, None, 1), ("e", 1, None, None, None, None, None, None, 1)
+    ]
+    many = trailing.pivot_features(long, ["x", "y"], ["a", "b", "c"])
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("first(") + plan.count("max(") == 2
