@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from quarry.functions.scalars import DAY_US
 
@@ -74,16 +77,36 @@ def rollup_summary(devices: DataFrame, levels: Sequence[str]) -> DataFrame:
     return grouped
 
 
+def _slope(values: list[float]) -> float | None:
+    """The slope of values over their places: running moments in the values' order, each product added with one rounding."""
+    mean_x = mean_y = both = spread = 0.0
+    for x, y in enumerate(values):
+        dx = x - mean_x
+        mean_x += dx / (x + 1)
+        mean_y += (y - mean_y) / (x + 1)
+        both, spread = math.fma(dx, y - mean_y, both), math.fma(dx, x - mean_x, spread)
+    return (both / len(values)) / (spread / len(values)) if len(values) > 1 else None
+
+
+@F.arrow_udf(DoubleType())
+def _slopes(values: pa.Array) -> pa.Array:
+    return pa.array([_slope(v) for v in values.to_pylist()], pa.float64())
+
+
 def score_trend(scored: DataFrame, *, least_days: int = 7, by: str = "device_id") -> DataFrame:
-    """Slope of the daily score over its row number, first, last, mean and greatest, for devices of enough days."""
-    order = Window.partitionBy(by).orderBy("day")
-    rows = scored.withColumns({"_x": F.row_number().over(order) - 1, "_y": F.coalesce("score", F.lit(0.0))})
+    """Slope of the daily score over its row number, first, last, mean and greatest, for devices of enough days.
+
+    ``scored`` has a row per device and day. A slope on the border of a direction falls on a side by its last
+    bits: these come from adding up in the order of days, so they depend on neither partitions nor merges.
+    """
+    rows = scored.withColumn("_y", F.coalesce("score", F.lit(0.0)))
     found = rows.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n_days"), F.regr_slope("_y", "_x").alias("slope"), F.min_by("_y", "day").alias("first_score"),
+        F.count(F.lit(1)).alias("n_days"), F.sort_array(F.collect_list(F.struct("day", "_y"))).alias("_days"), F.min_by("_y", "day").alias("first_score"),
         F.max_by("_y", "day").alias("last_score"), F.avg("_y").alias("mean_score"), F.max("_y").alias("max_score"),
     )
+    long = found.where(F.col("n_days") >= least_days).withColumn("slope", _slopes("_days._y"))
     direction = F.when(F.col("slope") > 0.1, "worsening").when(F.col("slope") < -0.1, "improving").otherwise("stable")
-    return found.where(F.col("n_days") >= least_days).withColumn("direction", direction)
+    return long.select(by, "n_days", "slope", "first_score", "last_score", "mean_score", "max_score", direction.alias("direction"))
 
 
 def key_coverage(readings: DataFrame) -> DataFrame:

@@ -112,7 +112,9 @@ def agg_severity_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agg_trend_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = _scored_days(spark, sf_dir).groupBy("device", "day").agg(F.max("score").alias("score"))
     found = grid.score_trend(daily, by="device")
-    return found.withColumns({"slope": F.round("slope", 6), "mean_score": F.round("mean_score", 6)})
+    # a slope that rounds to nothing keeps its sign
+    slope = F.when((F.col("slope") < 0) & (F.round("slope", 6) == 0), F.lit(-0.0)).otherwise(F.round("slope", 6))
+    return found.withColumns({"slope": slope, "mean_score": F.round("mean_score", 6)})
 
 
 @query(f"""WITH {_scored_sql()} SELECT device, count(*) AS n_rows, round(avg(score), 6) AS mean_score, max(score) AS max_score, count_if(severity = 'CRITICAL') AS n_critical,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -247,3 +248,26 @@ def test_cuts_equal_a_full_search(spark, seed):
             best = min(best or (off, one, two), (off, one, two))
     found = {r.grp: r.split for r in splits.group_splits(df, "grp").collect()}
     assert [found[f"g{k:02d}"] for k in range(len(sizes))] == [splits.SPLITS[(k >= best[1]) + (k >= best[2])] for k in range(len(sizes))]
+
+
+#: Daily scores whose exact slopes are 0.1, 0.1, a hair below 0, and beyond them one of a score that is missing.
+TRENDS = {"a": [60, 100, 89, 54, 100, 38, 100, 100, 60], "b": [100, 68, 69, 53, 59, 100, 100, 55, 84], "c": [100, 48, 100, 46, 76, 78, 88], "d": [5, None, 1, 7, 7, 7, 9, 3]}
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_slopes_on_a_border_are_those_of_the_sql_to_the_last_bit(spark, parts):
+    rows = [(device, day, None if v is None else float(v)) for device, values in TRENDS.items() for day, v in enumerate(values)]
+    random.Random(parts).shuffle(rows)
+    found = {r.device_id: r for r in grid.score_trend(spark.createDataFrame(rows, "device_id string, day int, score double").repartition(parts), least_days=7).collect()}
+    con = duckdb.connect()
+    con.sql("SET threads = 1")
+    for device, values in TRENDS.items():
+        listed = ", ".join(f"({x}, {float(v or 0)!r}::DOUBLE)" for x, v in enumerate(values))
+        assert con.sql(f"SELECT regr_slope(y, x) FROM (SELECT * FROM (VALUES {listed}) v(x, y) ORDER BY x)").fetchall() == [(found[device].slope,)]
+    assert [found[d].direction for d in "abc"] == ["worsening", "worsening", "stable"]
+    assert found["c"].slope < 0 and (found["d"].n_days, found["d"].first_score, found["d"].last_score) == (8, 5.0, 3.0)
+
+
+def test_a_trend_over_one_day_has_no_slope(spark):
+    only = grid.score_trend(spark.createDataFrame([("d", 1, 2.0)], "device_id string, day int, score double"), least_days=1).first()
+    assert (only.slope, only.direction) == (None, "stable")
