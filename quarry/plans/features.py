@@ -294,11 +294,13 @@ def device_features(readings: DataFrame, keys: list[str], text_keys: list[str] |
     ]
     of_windows, of_last = [f"{stat}_{h}h" for h in windows for stat in _STATS], ["last", "last_age_h", "stale", "ffill_capped"]
     of_texts = ["text_n_24h", "text_distinct_24h", "text_changes_24h", "text_last_age_h", "text_last_len", "text_bad_flag", "text_last_numeric"]
-    said = [F.max(F.when(F.col("key") == k, F.col(v))).alias(f"{k}__{v}") for k in texts for v in of_texts]
-    rest = trailing.pivot_features(long, keys, of_last, extra=[*said, *extra])
+    # a key's last values and texts are taken over together, as one row's
+    rest = trailing.pivot_features(long, listed, [*of_last, *of_texts], extra=extra)
+    rest = rest.drop(*(f"{k}__{v}" for k in listed for v in ([] if k in keys else of_last) + ([] if k in texts else of_texts)))
     wide = rest.join(trailing.pivot_features(panes, keys, of_windows), ["device_id", "anchor_us"], "left")
     first = ["device_id", "anchor_us", *(f"{k}__{v}" for k in keys for v in (*of_windows, *of_last))]
-    wide = wide.select(*first, *(c for c in rest.columns if c not in first))
+    said = [f"{k}__{v}" for k in texts for v in of_texts]
+    wide = wide.select(*first, *said, *(c for c in rest.columns if c not in {*first, *said}))
     # a window without a number has no row of panes
     bare = {f"{k}__n_{h}h": F.lit(0) for k in keys for h in windows} | {f"{k}__missing_frac_{h}h": F.lit(1.0) for k in keys for h in windows}
     wide = wide.withColumns({c: F.coalesce(c, nothing) for c, nothing in bare.items()})

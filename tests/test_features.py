@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -202,3 +203,13 @@ def test_own_norms_and_gaps_come_in_one_row_with_the_windows(spark):
     for at_key, row in found.items():
         assert row.z == (None if z[at_key] is None else pytest.approx(z[at_key], abs=1e-9))
         assert row.gap_max_h == (gaps[at_key] if at_key[0] in "ab" else None)
+
+
+def test_texts_are_taken_over_with_the_last_values(spark):
+    """A key that is numeric only, one of both kinds and one of texts only: no aggregate for each text column, and columns in their order."""
+    r = readings(spark, [("n", 0, 1.0, None), ("b", 1, 2.0, None), ("b", 2, None, "-"), ("t", 3, None, "ok"), ("n", 13, 4.0, None)])
+    wide = device_features(r, ["n", "b"], ["b", "t"], hours=[24])
+    assert not re.search(r"max\(CASE WHEN \(key#\d+ = ", wide._jdf.queryExecution().optimizedPlan().toString())
+    assert [c for c in wide.columns if c.endswith(("__last", "text_n_24h"))] == ["n__last", "b__last", "b__text_n_24h", "t__text_n_24h"]
+    last = wide.orderBy(F.col("anchor_us").desc()).first()
+    assert (last.b__text_n_24h, last.t__text_n_24h, last.b__text_last_len, last.t__text_bad_flag, last.n__n_24h) == (1, 1, 1, 0, 1)
