@@ -109,4 +109,5 @@ def time_folds(scored: DataFrame, *, cuts: Sequence[float] = (0.4, 0.6, 0.8), ga
     if label is None:
         return rows
     both = rows.where(F.col(label) == 1).groupBy("fold").agg(F.countDistinct("side").alias("n")).where("n = 2")
-    return rows.join(both.select("fold"), "fold", "left_semi").select(*scored.columns, "fold", "side")
+    # both: a row per cut; joined by a shuffle, all rows of a fold would go to one task
+    return rows.join(F.broadcast(both.select("fold")), "fold", "left_semi").select(*scored.columns, "fold", "side")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from quarry.functions.scalars import tier
-from quarry.operators import metrics, splits
+from quarry.operators import metrics, outputs, splits
 
 SENTINEL = -1e6
 #: What a task of a fit keeps of the rows, twice eight bytes for each input: the values and what the trees make of them.
@@ -68,6 +68,11 @@ def load(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str]]:
     return PipelineModel.load(f"{path}/model"), [r["name"] for r in names]
 
 
+def _placed(rows: DataFrame, path: str, by: list[str]) -> DataFrame:
+    outputs.write_parquet(rows, path, by=by)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def cross_validate(
     rows: DataFrame, columns: Sequence[str], path: str, *, group: str = "device_id", time: str = "anchor_us", folds: int = 5, gap_us: int = 86_400_000_000, trees: int = 20, depth: int = 4
 ) -> DataFrame:
@@ -76,11 +81,11 @@ def cross_validate(
     ``group`` folds keep a group on one side; ``time`` folds train before a cut and test
     after it and a gap. Folds without a positive on either side are left out, and columns
     that are constant among a fold's training rows are no inputs of its model.
-    ``rows`` are read once a fold, so give a written table.
+    Rows are placed in folds once and written beside ``path``, since a fold is read several times.
     """
     ids = [c for c in rows.columns if c not in columns]
-    by_group = rows.join(splits.group_folds(rows, group, folds), group)
-    by_time = metrics.time_folds(rows, gap_us=gap_us, time=time, label="y")
+    by_group = _placed(rows.join(splits.group_folds(rows, group, folds), group), f"{path}-group", ["fold"])
+    by_time = _placed(metrics.time_folds(rows, gap_us=gap_us, time=time, label="y"), f"{path}-time", ["fold", "side"])
     of_time = sorted(r["fold"] for r in by_time.select("fold").distinct().collect())  # a row per fold
     jobs = [("group", k, by_group.where(F.col("fold") != k), by_group.where(F.col("fold") == k)) for k in range(folds)]
     jobs += [("time", k, by_time.where((F.col("fold") == k) & (F.col("side") == "train")), by_time.where((F.col("fold") == k) & (F.col("side") == "test"))) for k in of_time]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions.scalars import HOUR_US
-from quarry.operators import guards, models, outages, reports, trailing
+from quarry.operators import guards, metrics, models, outages, reports, trailing
 from quarry.plans import dataset
 from quarry.plans.features import KEYS, NOW_US
 from quarry.plans.labels import END_US
@@ -101,6 +101,21 @@ def test_folds_cover_all_rows_once_and_rank_a_clear_label(spark, tmp_path):
     assert nothing.count() == 0
 
 
+def test_rows_are_placed_in_folds_once_and_no_fold_is_one_task(spark, tmp_path, monkeypatch):
+    rows, plans, fit = _separable(spark), [], models.fit
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(models, "fit", lambda train, *a, **k: plans.append(plan(train)) or fit(train, *a, **k))
+    models.cross_validate(rows, ["a"], str(tmp_path / "cv"), folds=2, trees=1, depth=1)
+    assert plans and not any("Join" in p or "Generate" in p for p in plans)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "hashpartitioning(fold" not in plan(metrics.time_folds(rows, gap_us=HOUR_US, label="y")).split("BroadcastExchange")[0]
+        assert "SortMergeJoin" not in plan(metrics.time_folds(rows, gap_us=HOUR_US, label="y"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_a_stored_model_scores_alike_and_fills_absent_columns(spark, tmp_path):
     rows, path = _separable(spark), str(tmp_path / "model")
     model = models.fit(rows, ["a", "same"], trees=2, depth=2)
