@@ -12,8 +12,11 @@ again, and a later run goes on from where that ends.
 
 from __future__ import annotations
 
+import heapq
 import importlib
+import itertools
 import json
+import math
 import random
 import time
 from collections.abc import Callable, Iterator
@@ -21,6 +24,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
+from .spool import Spool
+
 SERVER_CAP = 5000
 Page = Callable[[int, int, int], list[dict]]
 
@@ -35,11 +40,13 @@ class AuthError(Exception):
 
 class PermanentError(Exception):
     """No other try will help: the request itself is refused."""
+
+
 @dataclass
 class Outcome:
     """Points in order of time, how complete they are, and what it took."""
 
-    points: list[dict] = field(default_factory=list)
+    points: Spool | list[dict] = field(default_factory=list)
     completeness: str = "complete"
     pages: int = 0
     error: str | None = None
@@ -56,8 +63,14 @@ def read_pages(page: Page, start: int, end: int, limit: int = SERVER_CAP, most_p
     may be split between pages; repeats are dropped. A full page of a single time is
     asked for once more at the server's cap. A full page at the cap, or a page with
     points from before its start, can bring nothing new: the read is partial.
+    Points from before the next page's start are spooled, so a page is held and not the window.
     """
-    limit, seen, out, cursor = min(limit, SERVER_CAP), {}, Outcome(), start
+    limit, seen, out, cursor = min(limit, SERVER_CAP), {}, Outcome(Spool()), start
+
+    def settle(before: float) -> None:
+        for k in sorted(k for k in seen if k[0] < before):
+            out.points.append(seen.pop(k))
+
     while True:
         if out.pages == most_pages:
             out.completeness, out.error = "partial", "page_limit"
@@ -73,12 +86,22 @@ def read_pages(page: Page, start: int, end: int, limit: int = SERVER_CAP, most_p
         last = max(int(p["ts"]) for p in got)
         if last > cursor:
             cursor = last
+            settle(cursor)
         elif limit < SERVER_CAP:
             limit = SERVER_CAP
         else:
             out.completeness, out.error = "partial", "stalled"
             break
-    out.points = [seen[k] for k in sorted(seen)]
+    settle(math.inf)
+    return out
+
+
+def _merged(parts: list) -> Spool:
+    """The points of parts in order, each once."""
+    out, keyed = Spool(), [((_identity(p), p) for p in part) for part in parts]
+    for _, same in itertools.groupby(heapq.merge(*keyed, key=lambda x: x[0]), key=lambda x: x[0]):
+        *_, (_, point) = same
+        out.append(point)
     return out
 
 
@@ -89,12 +112,12 @@ def resolve(page: Page, start: int, end: int, limit: int = SERVER_CAP, least_win
     except (RetryableError, AuthError, PermanentError) as e:
         return Outcome([], "failed", 0, f"{type(e).__name__}: {e.args[0] if e.args else ''}")
     if whole.completeness == "partial" and end - start > least_window:
+        whole.points = []  # the halves are read anew
         middle = (start + end) // 2
         parts = [resolve(page, a, b, limit, least_window, most_pages) for a, b in ((start, middle), (middle + 1, end))]
         kinds = {p.completeness for p in parts}
-        merged = {_identity(p): p for part in parts for p in part.points}
         worst = "failed" if kinds == {"failed"} else "partial" if kinds & {"failed", "partial"} else "complete"
-        whole = Outcome([merged[k] for k in sorted(merged)], worst, whole.pages + sum(p.pages for p in parts), next((p.error for p in parts if p.error), None))
+        whole = Outcome(_merged([p.points for p in parts]), worst, whole.pages + sum(p.pages for p in parts), next((p.error for p in parts if p.error), None))
     if whole.completeness == "complete" and not whole.points:
         whole.completeness = "empty_verified"
     return whole

@@ -5,7 +5,10 @@ from __future__ import annotations
 import glob
 import json
 import random
+import tracemalloc
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 
@@ -78,6 +81,44 @@ def test_a_task_holds_one_pair_at_a_time(spark, tmp_path, monkeypatch):
     assert sorted(found) == sorted(READINGS)
 
 
+def _most_held(folder, n, kind, options):
+    """The most bytes of Python objects while a task reads one pair of ``n`` readings, each of which must come once."""
+    (folder / "bucket=0").mkdir(parents=True)
+    times = pa.array(range(0, 1000 * n, 1000), pa.int64())
+    pq.write_table(pa.table({"device_id": ["d"] * n, "key": ["k"] * n, "ts": times, "value": pa.array(range(n), pa.float64())}), f"{folder}/bucket=0/part-0.parquet")
+    reader = kind({"client": "quarry.sources.staged_series:StagedSeries", "store": str(folder), "buckets": "1", "base_s": "0.001", **options})
+    (task,) = reader.partitions({"through": -1}, {"through": 1000 * n}) if kind is paged.SeriesStreamReader else reader.partitions()
+    tracemalloc.start()
+    try:
+        for k, row in enumerate(reader.read(task)):
+            assert row[:5] == ("d", "k", 1000 * k, str(float(k)), "complete")
+        assert k == n - 1
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("kind", [paged.SeriesReader, paged.SeriesStreamReader])
+def test_what_a_task_holds_of_a_pair_does_not_grow_with_it(tmp_path, monkeypatch, kind):
+    """A device that sends often has pairs of millions of readings: a page and a batch of them are held; also where a window is halved."""
+    monkeypatch.setattr(staged_series, "BATCH", 512)
+    monkeypatch.setattr(paged.Spool.__init__, "__defaults__", (512,))
+    for name, limit in (("whole", "500"), ("halved", "8")):  # eight a page for a thousand pages do not reach the end
+        held = [_most_held(tmp_path / f"{name}-{n}", n, kind, {"start": "0", "end": str(1000 * n), "limit": limit, "faults": "busy"}) for n in (9_000, 36_000)]
+        assert held[1] < 1.5 * held[0]
+
+
+def test_pages_and_halves_give_each_point_once_in_order():
+    """Bursts of one time, repeated points and several values a time, against a plain reading; windows are halved where pages run out."""
+    draw = random.Random(5)
+    for _ in range(60):
+        points = sorted(({"ts": draw.randrange(0, 2_000_000, 50_000), "value": draw.randrange(3)} for _ in range(draw.randrange(300))), key=lambda p: p["ts"])
+        page = lambda start, end, limit, points=points: [p for p in points if start <= p["ts"] <= end][:limit]
+        got = paged.resolve(page, 0, 2_000_000, draw.choice([2, 7, 50]), most_pages=draw.choice([4, 30, 1000]))
+        assert [(p["ts"], p["value"]) for p in got.points] == sorted({(p["ts"], p["value"]) for p in points}) or got.completeness == "partial"
+        assert got.completeness == "partial" or (got.completeness == "empty_verified") == (not points)
+
+
 def test_retries_by_kind_of_error():
     waits, renewed = [], []
 
