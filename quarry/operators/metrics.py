@@ -91,7 +91,18 @@ def constant_columns(rows: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if not row[c]]
 
 
-def time_folds(scored: DataFrame, *, cuts: Sequence[float] = (0.4, 0.6, 0.8), gap_us: int, time: str = "anchor_us", label: str | None = None) -> DataFrame:
+#: Shares of rows in order of time before the cuts of expanding windows.
+TIME_CUTS = (0.4, 0.6, 0.8)
+
+
+def fold_sides(bounds: Sequence[float], gap_us: int, time: str = "anchor_us") -> list[Column]:
+    """For each cut a row's side: ``train`` before the cut, ``test`` after cut + gap up to the next cut, else null."""
+    t, ends = F.col(time), [*bounds[1:], None]
+    tests = [(t >= cut + gap_us) & (F.lit(True) if end is None else t < end) for cut, end in zip(bounds, ends)]
+    return [F.when(t < cut, "train").when(test, "test") for cut, test in zip(bounds, tests)]
+
+
+def time_folds(scored: DataFrame, *, cuts: Sequence[float] = TIME_CUTS, gap_us: int, time: str = "anchor_us", label: str | None = None) -> DataFrame:
     """Rows per expanding-window fold: side ``train`` before the cut, ``test`` after cut + gap up to the next cut.
 
     With a ``label``, folds without a positive on one side are left out.
@@ -99,12 +110,7 @@ def time_folds(scored: DataFrame, *, cuts: Sequence[float] = (0.4, 0.6, 0.8), ga
     bounds = quantiles.exact_quantiles(scored, time, cuts)
     if None in bounds:
         return scored.withColumns({"fold": F.lit(0), "side": F.lit("train")}).where("false")
-    t, sides = F.col(time), []
-    for k, cut in enumerate(bounds):
-        test = t >= cut + gap_us
-        if k + 1 < len(bounds):
-            test = test & (t < bounds[k + 1])
-        sides.append(F.struct(F.lit(k).alias("fold"), F.when(t < cut, "train").when(test, "test").alias("side")))
+    sides = [F.struct(F.lit(k).alias("fold"), side.alias("side")) for k, side in enumerate(fold_sides(bounds, gap_us, time))]
     rows = scored.select("*", F.explode(F.array(*sides)).alias("_s")).select(*scored.columns, "_s.fold", "_s.side").where("side IS NOT NULL")
     if label is None:
         return rows

@@ -34,7 +34,8 @@ def running_sums(values: DataFrame, by: Sequence[str], column: str, sums: Sequen
         *(F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}_before") for c in sums),
         *(F.sum(f"_{c}").over(Window.partitionBy(*by)).alias(f"{c}_all") for c in sums),
     )
-    same = F.col("_part") == F.col("_p")
+    # no plain equality, from which the optimizer may infer the slice's own expression for the side that has no values
+    same = F.struct("_part") == F.struct("_p")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
     inside = Window.partitionBy(*by, "_part").orderBy(column).rowsBetween(Window.unboundedPreceding, 0)

@@ -147,10 +147,10 @@ def ml_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = device_features(readings, ["view", "click"], text_keys=[], hours=[24])
     before = F.col("us") - 1
     ahead = readings.where("key = 'error'").select("device_id", (before - before % STEP_US).alias("anchor_us")).distinct().withColumn("y", F.lit(1))
-    labelled = wide.join(ahead, ["device_id", "anchor_us"], "left").fillna(0, ["y"])
-    outputs.write_parquet(labelled, f"{path}/rows")
     columns = [c for c in wide.columns if "__" in c and not c.startswith("g__")]
-    rows = spark.read.parquet(f"{path}/rows").select("device_id", "anchor_us", "y", *columns)
+    labelled = wide.select("device_id", "anchor_us", *columns).join(ahead, ["device_id", "anchor_us"], "left").fillna(0, ["y"])
+    outputs.write_parquet(labelled.select("device_id", "anchor_us", "y", *columns), f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
     return models.fold_report(models.cross_validate(rows, columns, f"{path}/folds", trees=5, depth=3))
 
 

@@ -294,6 +294,7 @@ def device_features(readings: DataFrame, keys: list[str], text_keys: list[str] |
     ]
     of_windows, of_last = [f"{stat}_{h}h" for h in windows for stat in _STATS], ["last", "last_age_h", "stale", "ffill_capped"]
     of_texts = ["text_n_24h", "text_distinct_24h", "text_changes_24h", "text_last_age_h", "text_last_len", "text_bad_flag", "text_last_numeric"]
+    of_texts = of_texts if texts else []  # a row's values are dealt whole, so what no key wants would be worked out too
     # a key's last values and texts are taken over together, as one row's
     rest = trailing.pivot_features(long, listed, [*of_last, *of_texts], extra=extra)
     rest = rest.drop(*(f"{k}__{v}" for k in listed for v in ([] if k in keys else of_last) + ([] if k in texts else of_texts)))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions.scalars import HOUR_US
-from quarry.operators import guards, metrics, models, outages, reports, trailing
+from quarry.operators import boosting, guards, metrics, models, outages, reports, splits, trailing
 from quarry.plans import dataset
 from quarry.plans.features import KEYS, NOW_US
 from quarry.plans.labels import END_US
@@ -116,6 +119,43 @@ def test_rows_are_placed_in_folds_once_and_no_fold_is_one_task(spark, tmp_path,
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def _mixed(spark, days=40):
+    """Rows of which values decide the label in part; nulls, a column that is constant where a fold is trained, and one without values."""
+    rows = spark.range(0, 12 * days, 1, 3).selectExpr("CAST(id % 12 AS STRING) AS device_id", f"(id DIV 12) * {6 * HOUR_US} AS anchor_us", "id", "pmod(xxhash64(id), 100) AS h")
+    rows = rows.selectExpr("device_id", "anchor_us", "h", "CASE WHEN h % 5 > 0 THEN CAST(h % 17 AS DOUBLE) END AS a", "CAST(pmod(xxhash64(id, 1), 9) AS DOUBLE) AS b", f"CASE WHEN anchor_us >= {24 * days // 8 * 6 * HOUR_US} THEN 2.0D ELSE 1.0D END AS late", "CAST(NULL AS DOUBLE) AS none")
+    return rows.withColumn("y", F.expr("CASE WHEN coalesce(a, 12) + b / 2 + h % 3 > 13 THEN 1 ELSE 0 END")).drop("h")
+
+
+def test_folds_fitted_together_predict_as_each_fold_by_itself(spark, tmp_path, monkeypatch):
+    """One fit serves all folds, and its trees are those that Spark's learner finds for a fold on its rows alone."""
+    rows, columns, calls, fit = _mixed(spark), ["a", "b", "late", "none"], [], models.fit
+    monkeypatch.setattr(models, "fit", lambda *a, **k: calls.append(1) or fit(*a, **k))
+    found = models.cross_validate(rows, columns, str(tmp_path / "cv"), folds=3, gap_us=12 * HOUR_US, trees=4, depth=3)
+    assert len(calls) == 1
+    placed = rows.join(splits.group_folds(rows, "device_id", 3), "device_id")
+    by_time = metrics.time_folds(rows, gap_us=12 * HOUR_US, label="y")
+    alone = [("group", k, placed.where(F.col("fold") != k), placed.where(F.col("fold") == k)) for k in range(3)]
+    alone += [("time", k, by_time.where((F.col("fold") == k) & (F.col("side") == "train")), by_time.where((F.col("fold") == k) & (F.col("side") == "test"))) for k in range(3)]
+    for kind, k, train, test in alone:
+        used = [c for c in columns if c not in metrics.constant_columns(train, columns)]
+        expected = {(r.device_id, r.anchor_us): r.probability for r in models.predict(fit(train, used, trees=4, depth=3), test, used).collect()}
+        here = {(r.device_id, r.anchor_us): r.probability for r in found.where((F.col("kind") == kind) & (F.col("fold") == k)).collect()}
+        assert len(set(expected.values())) > 4 and here.keys() == expected.keys()
+        assert max(abs(here[i] - expected[i]) for i in here) <= 2e-6
+
+
+def test_thresholds_are_those_of_the_learner_where_values_are_many(spark, tmp_path):
+    rows = spark.range(0, 3000, 1, 2).selectExpr("CAST(pmod(xxhash64(id), 1000) AS DOUBLE) / 8 AS a", "CAST(id % 2 AS INT) AS y").withColumn("y", F.expr("CASE WHEN a > 70 OR a % 7 < 1 THEN 1 ELSE 0 END"))
+    model = models.fit(rows, ["a"], trees=6, depth=4)
+    asked = {float(x) for t in model.stages[1].trees for x in re.findall(r"feature 0 <= ([\d.]+)", t.toDebugString)}
+    values = rows.toPandas()
+    ones = values.y.sum()
+    weights = np.where(values.y == 1, len(values) / (2 * ones), len(values) / (2 * (len(values) - ones)))
+    found = boosting.thresholds(values.a.to_numpy(), weights, boosting.BINS)
+    assert len(found) == boosting.BINS - 1
+    assert asked and all(np.abs(found - x).min() < 1e-9 for x in asked)
+
+
 def test_a_stored_model_scores_alike_and_fills_absent_columns(spark, tmp_path):
     rows, path = _separable(spark), str(tmp_path / "model")
     model = models.fit(rows, ["a", "same"], trees=2, depth=2)
