@@ -144,12 +144,11 @@ def ml_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group and time folds over features of two keys; the label is an error in the step of the grid after the anchor."""
     path = runs.scratch(spark, "cv")
     readings = shape(spark, sf_dir, "telemetry")
-    wide = device_features(readings, ["view", "click"], text_keys=[], hours=[24])
     before = F.col("us") - 1
     ahead = readings.where("key = 'error'").select("device_id", (before - before % STEP_US).alias("anchor_us")).distinct().withColumn("y", F.lit(1))
+    wide = device_features(readings, ["view", "click"], text_keys=[], hours=[24], beside=ahead)
     columns = [c for c in wide.columns if "__" in c and not c.startswith("g__")]
-    labelled = wide.select("device_id", "anchor_us", *columns).join(ahead, ["device_id", "anchor_us"], "left").fillna(0, ["y"])
-    outputs.write_parquet(labelled.select("device_id", "anchor_us", "y", *columns), f"{path}/rows")
+    outputs.write_parquet(wide.select("device_id", "anchor_us", F.coalesce("y", F.lit(0)).alias("y"), *columns), f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows")
     return models.fold_report(models.cross_validate(rows, columns, f"{path}/folds", trees=5, depth=3))
 

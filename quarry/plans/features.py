@@ -268,22 +268,12 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.select([F.round(c, 6).alias(c) if any(p in c for p in _ROUNDED) else F.col(c) for c in df.columns])
 
 
-def device_features(readings: DataFrame, keys: list[str], text_keys: list[str] | None = None, hours: list[int] | None = None) -> DataFrame:
-    """The wide training features per device and anchor: the flagship plan.
-
-    Anchors begin with a device's first reading of a listed key; a key not yet seen has
-    counts of 0, missing_frac 1 and stale 1. The g__ columns are over the listed keys.
-    """
-    texts = keys if text_keys is None else text_keys
-    listed = sorted({*keys, *texts})
-    known = readings.where(F.col("key").isin(listed))
-    end = known.agg(F.max("us").alias("end_us"))
-    starts = known.groupBy("device_id").agg(F.min("us").alias("start_us")).crossJoin(F.broadcast(end))  # end: one row
-    anchors = trailing.grid(starts, STEP_US).withColumn("key", F.explode(F.array(*map(F.lit, listed))))
-    windows = hours or WINDOWS
-    # numbers' windows by panes, all else by one pass in order of time; each has a pivot of its own columns
+def _with_texts(
+    anchors: DataFrame, known: DataFrame, panes: DataFrame, keys: list[str], texts: list[str], listed: list[str], first: list[str], of_windows: list[str], of_last: list[str]
+) -> DataFrame:
+    anchors = anchors.withColumn("key", F.explode(F.array(*map(F.lit, listed))))
+    # each has a pivot of its own columns
     long = trailing.capped_last(trailing.key_features(anchors, known, ()))
-    panes = trailing.pane_stats(known.where(F.col("key").isin(keys)), windows, STEP_US, end)
     numeric, text = F.col("key").isin(keys), F.col("key").isin(texts)
     seen = numeric & F.col("source_us").isNotNull()
     extra = [
@@ -292,16 +282,53 @@ def device_features(readings: DataFrame, keys: list[str], text_keys: list[str] |
         F.count_if(text & F.col("text_last_len").isNotNull()).alias("g__n_text_keys"), F.min(F.when(numeric, F.col("last_age_h"))).alias("g__last_age_h"),
         (F.count_if(seen & (F.col("stale") == 1)) / F.greatest(F.lit(1), F.count_if(seen))).alias("g__stale_key_frac"),
     ]
-    of_windows, of_last = [f"{stat}_{h}h" for h in windows for stat in _STATS], ["last", "last_age_h", "stale", "ffill_capped"]
     of_texts = ["text_n_24h", "text_distinct_24h", "text_changes_24h", "text_last_age_h", "text_last_len", "text_bad_flag", "text_last_numeric"]
-    of_texts = of_texts if texts else []  # a row's values are dealt whole, so what no key wants would be worked out too
     # a key's last values and texts are taken over together, as one row's
     rest = trailing.pivot_features(long, listed, [*of_last, *of_texts], extra=extra)
     rest = rest.drop(*(f"{k}__{v}" for k in listed for v in ([] if k in keys else of_last) + ([] if k in texts else of_texts)))
     wide = rest.join(trailing.pivot_features(panes, keys, of_windows), ["device_id", "anchor_us"], "left")
-    first = ["device_id", "anchor_us", *(f"{k}__{v}" for k in keys for v in (*of_windows, *of_last))]
     said = [f"{k}__{v}" for k in texts for v in of_texts]
-    wide = wide.select(*first, *said, *(c for c in rest.columns if c not in {*first, *said}))
+    return wide.select(*first, *said, *(c for c in rest.columns if c not in {*first, *said}))
+
+
+def _without_texts(found: DataFrame, keys: list[str], first: list[str], beside: DataFrame | None) -> DataFrame:
+    """The same columns from rows that have all keys already."""
+    ages = [F.col(f"{k}__last_age_h") for k in keys]
+    seen = sum((a.isNotNull().cast("long") for a in ages), F.lit(0))
+    stale = sum((F.when(a.isNotNull() & (F.col(f"{k}__stale") == 1), 1).otherwise(0).cast("long") for k, a in zip(keys, ages)), F.lit(0))
+    least = F.array_min(F.array(*ages))
+    return found.select(
+        *first, F.col("row_us").alias("max_source_us"), F.col("rows_total").alias("g__n_rows_total"), F.col("rows_24h").alias("g__n_rows_24h"),
+        F.col("keys_24h").alias("g__n_keys_24h"), seen.alias("g__n_numeric_keys"), F.lit(0).cast("long").alias("g__n_text_keys"), least.alias("g__last_age_h"),
+        (stale / F.greatest(F.lit(1), seen)).alias("g__stale_key_frac"), *([] if beside is None else [c for c in beside.columns if c not in ("device_id", "anchor_us")]),
+    )
+
+
+def device_features(
+    readings: DataFrame, keys: list[str], text_keys: list[str] | None = None, hours: list[int] | None = None, beside: DataFrame | None = None
+) -> DataFrame:
+    """The wide training features per device and anchor: the flagship plan.
+
+    Anchors begin with a device's first reading of a listed key; a key not yet seen has
+    counts of 0, missing_frac 1 and stale 1. The g__ columns are over the listed keys.
+    ``beside`` (device_id, anchor_us, others; a row per anchor at most) gives its other columns to the anchors it has.
+    """
+    texts = keys if text_keys is None else text_keys
+    listed = sorted({*keys, *texts})
+    known = readings.where(F.col("key").isin(listed))
+    end = known.agg(F.max("us").alias("end_us"))
+    starts = known.groupBy("device_id").agg(F.min("us").alias("start_us")).crossJoin(F.broadcast(end))  # end: one row
+    windows = hours or WINDOWS
+    # numbers' windows by panes, all else by one pass in order of time
+    panes = trailing.pane_stats(known.where(F.col("key").isin(keys)), windows, STEP_US, end)
+    anchors = trailing.grid(starts, STEP_US)
+    of_windows, of_last = [f"{stat}_{h}h" for h in windows for stat in _STATS], ["last", "last_age_h", "stale", "ffill_capped"]
+    first = ["device_id", "anchor_us", *(f"{k}__{v}" for k in keys for v in (*of_windows, *of_last))]
+    if texts or not keys:
+        wide = _with_texts(anchors, known, panes, keys, texts, listed, first, of_windows, of_last)
+        wide = wide if beside is None else wide.join(beside, ["device_id", "anchor_us"], "left")
+    else:
+        wide = _without_texts(trailing.last_and_panes(anchors, known, panes, keys, beside=beside), keys, first, beside)
     # a window without a number has no row of panes
     bare = {f"{k}__n_{h}h": F.lit(0) for k in keys for h in windows} | {f"{k}__missing_frac_{h}h": F.lit(1.0) for k in keys for h in windows}
     wide = wide.withColumns({c: F.coalesce(c, nothing) for c, nothing in bare.items()})

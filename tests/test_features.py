@@ -213,3 +213,22 @@ def test_texts_are_taken_over_with_the_last_values(spark):
     assert [c for c in wide.columns if c.endswith(("__last", "text_n_24h"))] == ["n__last", "b__last", "b__text_n_24h", "t__text_n_24h"]
     last = wide.orderBy(F.col("anchor_us").desc()).first()
     assert (last.b__text_n_24h, last.t__text_n_24h, last.b__text_last_len, last.t__text_bad_flag, last.n__n_24h) == (1, 1, 1, 0, 1)
+
+
+def test_without_texts_a_device_comes_from_one_pass(spark):
+    """Without pivot or join the columns are those of the pivots: equal times, nulls, keys not yet seen, ages at the caps; ``beside`` only where there are anchors."""
+    rng = random.Random(5)
+    rows = [(k, rng.randrange(0, 20 * 24) / 2, None if rng.random() < 0.2 else rng.random() * 9, "x") for k, n in (("n", 40), ("b", 15)) for _ in range(n)]
+    r = readings(spark, [*rows, ("late", 230, 1.0, None), ("n", 6, 1.0, None), ("other", 0, 1.0, None)])
+    r = r.union(r.where("key = 'n'").withColumn("device_id", F.lit("d2")))
+    keys = ["n", "late", "b"]
+    pivoted = device_features(r, keys, keys, hours=[24, 7])
+    pivoted = pivoted.drop("g__n_text_keys", *(c for c in pivoted.columns if "__text_" in c))
+    beside = spark.createDataFrame([("d1", (T0 // (6 * HOUR_US) + i) * 6 * HOUR_US, i) for i in (-9, 3, 8)], "device_id string, anchor_us long, y int")
+    wide = device_features(r, keys, [], hours=[24, 7], beside=beside)
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in plan and "RepartitionByExpression" not in plan
+    assert sorted((x.device_id, x.y) for x in wide.where("y IS NOT NULL").collect()) == [("d1", 3), ("d1", 8)]
+    wide = wide.drop("y", "g__n_text_keys")
+    assert wide.columns == pivoted.columns and wide.dtypes == pivoted.dtypes and wide.count() == pivoted.count() > 70
+    assert wide.exceptAll(pivoted).isEmpty() and pivoted.exceptAll(wide).isEmpty()
