@@ -21,6 +21,8 @@ SENTINEL = -1e6
 BINS, SAMPLE = 32, 25_000
 #: Residuals are rounded to this unit, so that sums of them are exact and do not depend on the order of parts.
 UNIT = 2.0**-24
+#: Gains that differ by less than this share are one gain: splits that part the same rows, seen from two columns.
+SAME = 1e-9
 
 
 @dataclass(frozen=True)
@@ -191,8 +193,8 @@ def _best(sums: np.ndarray, by: Coding, fold: int) -> tuple[int, np.ndarray, flo
         with np.errstate(divide="ignore", invalid="ignore"):
             both = lg**2 / lw + rg**2 / rw
             gain = np.where((ln > 0) & (rn > 0), both - (lg + rg) ** 2 / (lw + rw), -np.inf)
-        k = int(np.argmax(gain))
-        if gain[k] > max(most, 1e-12 * both[k] if np.isfinite(both[k]) else 0.0):
+        k = int(np.argmax(gain >= gain.max() * (1 - SAME)))
+        if gain[k] > max(most * (1 + SAME), 1e-12 * both[k] if np.isfinite(both[k]) else 0.0):
             most, codes = gain[k], np.arange(by.size)
             goes = codes > 0
             if k < len(own):

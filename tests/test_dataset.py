@@ -144,6 +144,16 @@ def test_folds_fitted_together_predict_as_each_fold_by_itself(spark, tmp_path, m
         assert max(abs(here[i] - expected[i]) for i in here) <= 2e-6
 
 
+def test_of_splits_that_part_the_same_rows_the_first_column_is_asked():
+    """A column and its mirror image have the same gains but for rounding."""
+    rng = np.random.default_rng(1)
+    by = boosting.Coding([np.arange(4.0)] * 2, [[np.arange(4)] * 2], [[True, True]], [(977, 61)])
+    for _ in range(200):
+        one = np.concatenate([np.zeros((2, 2, 1)), rng.integers(1, 99, (2, 2, 5)) * np.array([1, boosting.UNIT * 1_234_567])[:, None, None]], axis=2)
+        both = np.stack([one, np.concatenate([one[..., :1], one[..., :0:-1]], axis=2)], axis=2)
+        assert boosting._best(both, by, 0)[0] == 0
+
+
 def test_thresholds_are_those_of_the_learner_where_values_are_many(spark, tmp_path):
     rows = spark.range(0, 3000, 1, 2).selectExpr("CAST(pmod(xxhash64(id), 1000) AS DOUBLE) / 8 AS a", "CAST(id % 2 AS INT) AS y").withColumn("y", F.expr("CASE WHEN a > 70 OR a % 7 < 1 THEN 1 ELSE 0 END"))
     model = models.fit(rows, ["a"], trees=6, depth=4)
